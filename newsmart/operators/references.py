@@ -45,37 +45,62 @@ def _already_stored(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return stored.select(key).join(wanted, key, "left_semi")
 
 
+_IDENTITY = ["event_id", "content_hash"]
+_ORDER = ["timestamp", "event_id", "content_hash"]
+
+
+def _settle(fresh: DataFrame, taken: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Who gets stored when rows compete for contents and for ids.
+
+    Rows count in time order: one is stored if neither its content nor its id
+    is taken by then.  A row that is the first left for both is certain, and
+    settles every other row with its content or id; the rest goes another
+    round.  Without ids that carry several contents the first round settles
+    all.  Rounds work on narrow rows and are cut by ``checkpoint``.
+    """
+    refused = fresh.join(taken, "event_id", "left_semi")
+    left = fresh.join(taken, "event_id", "left_anti")
+    stored = None
+    while True:
+        first_of_content = first_per_key(left, ["content_hash"], _ORDER)
+        first_of_id = first_per_key(left, ["event_id"], _ORDER)
+        certain = first_of_content.join(
+            first_of_id.select(*_IDENTITY), _IDENTITY, "left_semi"
+        ).checkpoint()
+        stored = certain if stored is None else stored.unionByName(certain)
+        others = left.join(certain.select("content_hash"), "content_hash", "left_anti")
+        refused = refused.unionByName(
+            others.join(certain.select("event_id"), "event_id", "left_semi")
+        )
+        left = others.join(certain.select("event_id"), "event_id", "left_anti").checkpoint()
+        if left.isEmpty():
+            return stored, refused
+
+
 def insert_ignore(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split a batch into rows to insert and rows that clash.
 
-    ``stored`` has ``content_hash`` and ``event_id``.  Content already stored,
-    and later copies within the batch, are dropped without notice.  A row that
-    brings new content under an id that is already taken is a clash: it is
-    returned as such, never stored and never lost.
+    ``stored`` has ``content_hash`` and ``event_id``.  Content that is taken --
+    by the table or by an earlier row of the batch -- is dropped without notice.
+    A row that brings new content under a taken id is a clash: it is returned
+    as such, never stored and never lost.
 
-    The decision is taken on (event_id, content_hash, timestamp) alone; the wide
+    The decision is made on (event_id, content_hash, timestamp) alone; the wide
     rows are shuffled once, after repeats of the same record have been dropped
     in the map tasks.
     """
-    identity = ["event_id", "content_hash"]
-    keys = batch.groupBy(*identity).agg(F.min("timestamp").alias("timestamp"))
-    fresh = keys.join(
-        _already_stored(stored, keys, "content_hash"), "content_hash", "left_anti"
-    )
-    # The owner of an id: the stored row, else the batch's first row with it.
-    owners = (
-        fresh.groupBy("event_id")
-        .agg(F.min(F.struct("timestamp", "content_hash")).alias("_first"))
-        .select("event_id", F.col("_first.content_hash").alias("_owner"))
+    keys = batch.groupBy(*_IDENTITY).agg(F.min("timestamp").alias("timestamp"))
+    seen = _already_stored(stored, keys, "content_hash")
+    fresh = keys.join(seen, "content_hash", "left_anti").checkpoint()
+    winners, refused = _settle(fresh, _already_stored(stored, fresh, "event_id"))
+    # A refused row whose content an earlier row brought in is just a copy.
+    owner = winners.select(
+        "content_hash", F.struct("timestamp", "event_id").alias("_owner")
     )
-    taken = _already_stored(stored, fresh, "event_id").withColumn("_taken", F.lit(True))
-    marked = fresh.join(owners, "event_id").join(taken, "event_id", "left")
-    clash = F.coalesce("_taken", F.lit(False)) | (F.col("content_hash") != F.col("_owner"))
-    marked = marked.withColumn("_clash", clash)
-    winners = first_per_key(
-        marked.where(~F.col("_clash")), ["content_hash"], ["timestamp", "event_id"]
+    clashing = refused.join(owner, "content_hash", "left").where(
+        F.col("_owner").isNull() | (F.struct("timestamp", "event_id") < F.col("_owner"))
     )
-    rows = first_per_key(batch, identity, ["timestamp"])
-    inserts = rows.join(winners.select(*identity), identity, "left_semi")
-    clashes = rows.join(marked.where("_clash").select(*identity), identity, "left_semi")
+    rows = first_per_key(batch, _IDENTITY, ["timestamp"])
+    inserts = rows.join(winners.select(*_IDENTITY), _IDENTITY, "left_semi")
+    clashes = rows.join(clashing.select(*_IDENTITY), _IDENTITY, "left_semi")
     return inserts.select(*batch.columns), clashes.select(*batch.columns)

@@ -27,6 +27,8 @@ _RUNTIME = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on to an existing session."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     for key, value in _RUNTIME.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
