@@ -22,7 +22,12 @@ from newsmart.catalog.registry import (
 )
 from newsmart.functions.text import extract_terms
 from newsmart.functions.times import compact_timestamp, entry_timestamp
-from newsmart.operators.dedup import dedup_entry, dedup_source_url
+from newsmart.operators.dedup import (
+    dedup_content as first_per_content,
+    dedup_entry,
+    dedup_source_url,
+)
+from newsmart.operators.enrich import with_content_hash
 from newsmart.operators.normalize import (
     filing_entries_to_raw,
     market_items_to_raw,
@@ -252,9 +257,6 @@ def dedup_entry_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     select event_id, content_hash, {at_sql('ts', 'timestamp')} from kept"""
 )
 def dedup_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from newsmart.operators.dedup import dedup_content as first_per_content
-    from newsmart.operators.enrich import with_content_hash
-
     kept = first_per_content(with_content_hash(B.news(spark, sf_dir)))
     return kept.select("event_id", "content_hash", at("timestamp"))
 

@@ -22,7 +22,7 @@ from newsmart.catalog.registry import (
 from newsmart.functions import companies, identity, text
 from newsmart.functions.wire import encode
 from newsmart.operators import annotate, enrich
-from newsmart.operators.validate import PROCESSED_RULES, accepted, decode
+from newsmart.operators.validate import PROCESSED_RULES, RAW_RULES, accepted, decode
 from newsmart.plans import news as plans
 from newsmart.session import scratch_path
 
@@ -79,10 +79,11 @@ def dead_letter_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.agg(F.count("value").alias("record_count"))
 
 
-@query("select count(*) as tombstones, count(distinct doc_id) as rows_seen from documents where doc_id % 20 = 5")
+@query(
+    """select count(*) as tombstones, count(distinct doc_id) as rows_seen from documents
+    where doc_id % 20 = 5"""
+)
 def drop_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from newsmart.operators.validate import RAW_RULES
-
     values = B.raw_values(spark, sf_dir)
     seen = decode(values, RAW_RULES).select("doc_id")
     dropped = values.select("doc_id").join(seen, "doc_id", "left_anti")
@@ -258,10 +259,11 @@ def _count_sql(words: tuple[str, ...]) -> str:
     from votes"""
 )
 def annotate_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    articles = plans.process_news(B.news(spark, sf_dir), _processed_at())
+    stored = plans.process_news(B.news(spark, sf_dir), _processed_at())
     none_yet = spark.createDataFrame([], S.ANALYSIS)
     good, _ = plans.annotate_articles(
-        articles,
+        B.articles(spark, sf_dir),
+        stored,
         none_yet,
         annotate.keyword_annotator(BULLISH, BEARISH),
         "keywords",

@@ -182,7 +182,9 @@ def land_topics(spark: SparkSession, sf_dir: str) -> str:
 def stored_records(spark: SparkSession, root: str) -> DataFrame:
     """What the serving tables and the dead letters hold, one line per record."""
     articles = read_table(spark, f"{root}/{tables.ARTICLES}", S.PROCESSED_NEWS).select(
-        F.lit("articles").alias("table"), F.col("event_id").alias("id"), F.col("content_hash").alias("detail")
+        F.lit("articles").alias("table"),
+        F.col("event_id").alias("id"),
+        F.col("content_hash").alias("detail"),
     )
     aggregates = read_table(spark, f"{root}/{tables.AGGREGATES}", S.TICKER_AGGREGATE).select(
         F.lit("ticker_aggregations").alias("table"),
@@ -194,14 +196,7 @@ def stored_records(spark: SparkSession, root: str) -> DataFrame:
         F.col("article_event_id").alias("id"),
         F.concat_ws(" ", "sentiment", "analysis_version").alias("detail"),
     )
-    dead_schema = S.ENVELOPE.fields[0], S.ENVELOPE.fields[2]
-    from pyspark.sql import types as T
-
-    dead = read_table(
-        spark,
-        f"{root}/{tables.DEAD}",
-        T.StructType([*dead_schema, T.StructField("reason", T.StringType())]),
-    ).select(
+    dead = read_table(spark, f"{root}/{tables.DEAD}", S.DEAD_LETTER).select(
         F.lit("dead_letters").alias("table"),
         F.get_json_object("value", "$.article_event_id").alias("id"),
         F.col("reason").alias("detail"),

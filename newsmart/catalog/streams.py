@@ -15,13 +15,16 @@ from newsmart.catalog.storage import (
     stored_records,
 )
 from newsmart.catalog.tickers import kept_news
-from newsmart.operators.aggregate import tumbling_counts
+from newsmart.functions.wire import envelope
+from newsmart.operators.aggregate import snapshot_by_emit_interval, tumbling_counts
 from newsmart.operators.dedup import stream_dedup as dedup_stream
 from newsmart.operators.enrich import with_content_hash
+from newsmart.operators.validate import PROCESSED_RULES, accepted, decode
 from newsmart.plans import news as plans
 from newsmart.session import scratch_path
+from newsmart.sinks.tables import ARTICLES
 from newsmart.sinks.topics import land
-from newsmart.sources.tables import read_lake
+from newsmart.sources.tables import read_lake, read_table
 from newsmart.sources.topics import landed_topics
 from newsmart.streaming import streams
 
@@ -41,8 +44,6 @@ def _stream_news(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw topic records followed from the start, checked, and stored once."""
     topic, out = scratch_path(spark, "raw"), scratch_path(spark, "ingest")
-    from newsmart.functions.wire import envelope
-
     news = B.news(spark, sf_dir)
     land(envelope(news, S.RAW_NEWS, S.RAW_TOPIC, F.get("tickers", F.lit(0))), path=topic)
     good, _ = plans.raw_records(landed_topics(spark, topic))
@@ -63,6 +64,36 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/data").select("content_hash")
 
 
+@query(f"with {NEWS} select distinct content_hash, length(content) as n_chars from news")
+def stream_process_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw news followed through hash, de-duplication and enrichment."""
+    out = scratch_path(spark, "process")
+    processed = plans.process_stream(_stream_news(spark, sf_dir), _minute_later())
+    streams.to_folder(processed, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    stored = spark.read.schema(S.PROCESSED_NEWS).parquet(f"{out}/data")
+    return stored.select("content_hash", F.length("content").alias("n_chars"))
+
+
+@query(
+    f"""with {NEWS}, spread as (select processed_at, unnest(tickers) as ticker from news),
+    counted as (
+      select ticker, to_timestamp(floor(epoch(processed_at) / 300) * 300 + 300) at time zone 'UTC'
+               as window_end, min(processed_at) as window_start, count(*) as article_count
+      from spread group by 1, 2)
+    select ticker, {company('ticker')} as company_name, {at_sql('window_start')},
+           {at_sql('window_end')}, article_count from counted"""
+)
+def stream_emit_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per ticker and emit interval, kept up by a stream."""
+    out = scratch_path(spark, "emit")
+    news = _stream_news(spark, sf_dir).withColumn("processed_at", _minute_later())
+    counted = snapshot_by_emit_interval(news.withWatermark("processed_at", "10 minutes"))
+    streams.to_snapshot(counted, f"{out}/data", f"{out}/checkpoint", None).awaitTermination()
+    return spark.read.parquet(f"{out}/data").select(
+        "ticker", "company_name", at("window_start"), at("window_end"), "article_count"
+    )
+
+
 @query(
     f"""with {NEWS}, spread as (select ts, score, unnest(tickers) as ticker from news)
     select ticker, {company('ticker')} as company_name,
@@ -95,8 +126,6 @@ def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {LAKE} select {LAKE_SQL} from lake")
 def stream_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed topic records followed into the lake."""
-    from newsmart.operators.validate import PROCESSED_RULES, accepted, decode
-
     topic, out = scratch_path(spark, "processed"), scratch_path(spark, "stream-lake")
     land(plans.processed_envelopes(kept_news(spark, sf_dir)), topic)
     processed = accepted(decode(landed_topics(spark, topic), PROCESSED_RULES), PROCESSED_RULES)
@@ -113,10 +142,6 @@ def stream_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One processed topic into the tables and the lake, each at its own pace."""
-    from newsmart.operators.validate import PROCESSED_RULES, accepted, decode
-    from newsmart.sinks.tables import ARTICLES
-    from newsmart.sources.tables import read_table
-
     topic, out = scratch_path(spark, "processed"), scratch_path(spark, "fan-out")
     land(plans.processed_envelopes(kept_news(spark, sf_dir)), topic)
     envelopes = landed_topics(spark, topic)

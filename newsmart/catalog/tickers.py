@@ -105,21 +105,22 @@ def ticker_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """select event_type as ticker, event_type as company_name,
            strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as window_start,
            strftime(date_trunc('hour', ts) + interval 1 hour, '%Y-%m-%d %H:%M:%S') as window_end,
-           count(*) as article_count, round(avg("value"), 6) as avg_sentiment_score
+           count(*) as article_count, round(avg("value"), 9) as avg_sentiment_score
     from events group by event_type, date_trunc('hour', ts)"""
 )
 def event_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _windows(aggregate.tumbling_counts(B.ticker_events(spark, sf_dir)))
+    # Values have two digits, so means end on a five at the seventh place.
+    return _windows(aggregate.tumbling_counts(B.ticker_events(spark, sf_dir)), digits=9)
 
 
-def _windows(frame: DataFrame) -> DataFrame:
+def _windows(frame: DataFrame, digits: int = 6) -> DataFrame:
     return frame.select(
         "ticker",
         "company_name",
         at("window_start"),
         at("window_end"),
         "article_count",
-        F.round("avg_sentiment_score", 6).alias("avg_sentiment_score"),
+        F.round("avg_sentiment_score", digits).alias("avg_sentiment_score"),
     )
 
 

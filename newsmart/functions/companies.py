@@ -25,5 +25,6 @@ def company_names(tickers: Column) -> Column:
 
 
 def company_dimension(spark: SparkSession) -> DataFrame:
-    """The built-in lookup as a (ticker, company_name) table."""
-    return spark.createDataFrame(list(COMPANIES.items()), "ticker string, company_name string")
+    """The built-in lookup as a (ticker, company_name) table, 52 rows and fixed."""
+    rows = spark.createDataFrame(list(COMPANIES.items()), "ticker string, company_name string")
+    return F.broadcast(rows)

@@ -8,15 +8,20 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsmart import schemas as S
 from newsmart.functions.text import render_prompt, unfence_json
 from newsmart.operators.validate import RecordRules, decode
 
+# Workers get these functions with the job and need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Takes prompts, gives replies in the same order; None marks a failed article.
 Complete = Callable[[pd.Series], Sequence[str | None]]
 
@@ -53,13 +58,26 @@ def _one_by_one(complete: Complete, prompts: pd.Series) -> tuple[list, list]:
     return replies, errors
 
 
+def prompts_for(articles: DataFrame, max_chars: int = S.PROMPT_CONTENT_CHARS) -> DataFrame:
+    """One (event_id, prompt) row per article."""
+    prompt = render_prompt(F.col("title"), F.col("content"), max_chars)
+    return articles.select("event_id", prompt.alias("prompt"))
+
+
+def pending(
+    prompts: DataFrame, analyses: DataFrame, model_id: str, version: str = S.ANALYSIS_VERSION
+) -> DataFrame:
+    """Rows whose article this model and version has not analysed yet."""
+    done = analyses.where(
+        (F.col("model_id") == model_id) & (F.col("analysis_version") == version)
+    ).select(F.col("article_event_id").alias("event_id"))
+    return prompts.join(done.distinct(), "event_id", "left_anti")
+
+
 def ask_model(
-    articles: DataFrame,
-    make_complete: Callable[[], Complete],
-    max_chars: int = S.PROMPT_CONTENT_CHARS,
-    partitions: int | None = None,
+    prompts: DataFrame, make_complete: Callable[[], Complete], partitions: int | None = None
 ) -> DataFrame:
-    """Raw replies for (event_id, title, content) rows: reply, or error.
+    """Raw replies for (event_id, prompt) rows: reply, or error.
 
     ``make_complete`` runs once per task and may open a client.  A batch that
     fails is repeated one article at a time, so a failure costs one article.
@@ -69,9 +87,6 @@ def ask_model(
     Write the result to a table before using it twice: every reading of this
     frame calls the model.
     """
-    prompts = articles.select(
-        "event_id", render_prompt(F.col("title"), F.col("content"), max_chars).alias("prompt")
-    )
     if partitions:
         prompts = prompts.repartition(partitions, "event_id")
 
@@ -92,16 +107,6 @@ def ask_model(
     return prompts.mapInPandas(annotate, _RAW_REPLY)
 
 
-def pending_articles(
-    articles: DataFrame, analyses: DataFrame, model_id: str, version: str = S.ANALYSIS_VERSION
-) -> DataFrame:
-    """Articles not yet analysed by this model and version."""
-    done = analyses.where(
-        (F.col("model_id") == model_id) & (F.col("analysis_version") == version)
-    ).select(F.col("article_event_id").alias("event_id"))
-    return articles.join(done.distinct(), "event_id", "left_anti")
-
-
 def _checked(replies: DataFrame) -> DataFrame:
     """Replies with ``record``, ``confidence`` and ``reasons``."""
     answered = replies.withColumn("value", unfence_json(F.coalesce("reply", F.lit(""))))

@@ -53,28 +53,25 @@ def _settle(fresh: DataFrame, taken: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Who gets stored when rows compete for contents and for ids.
 
     Rows count in time order: one is stored if neither its content nor its id
-    is taken by then.  A row that is the first left for both is certain, and
-    settles every other row with its content or id; the rest goes another
-    round.  Without ids that carry several contents the first round settles
-    all.  Rounds work on narrow rows and are cut by ``checkpoint``.
+    is taken by then.  While no id brings several contents, that is the first
+    row of each content.  Otherwise a row that is the first left for both its
+    content and its id is certain and settles all rows that share either; the
+    rest goes another round.  Rounds work on narrow rows and are cut by
+    ``checkpoint``.
     """
     refused = fresh.join(taken, "event_id", "left_semi")
     left = fresh.join(taken, "event_id", "left_anti")
-    stored = None
-    while True:
+    stored = left.limit(0)
+    while not left.groupBy("event_id").count().where("count > 1").isEmpty():
         first_of_content = first_per_key(left, ["content_hash"], _ORDER)
-        first_of_id = first_per_key(left, ["event_id"], _ORDER)
-        certain = first_of_content.join(
-            first_of_id.select(*_IDENTITY), _IDENTITY, "left_semi"
-        ).checkpoint()
-        stored = certain if stored is None else stored.unionByName(certain)
+        first_of_id = first_per_key(left, ["event_id"], _ORDER).select(*_IDENTITY)
+        certain = first_of_content.join(first_of_id, _IDENTITY, "left_semi").checkpoint()
+        stored = stored.unionByName(certain)
         others = left.join(certain.select("content_hash"), "content_hash", "left_anti")
-        refused = refused.unionByName(
-            others.join(certain.select("event_id"), "event_id", "left_semi")
-        )
-        left = others.join(certain.select("event_id"), "event_id", "left_anti").checkpoint()
-        if left.isEmpty():
-            return stored, refused
+        ids = certain.select("event_id")
+        refused = refused.unionByName(others.join(ids, "event_id", "left_semi"))
+        left = others.join(ids, "event_id", "left_anti").checkpoint()
+    return stored.unionByName(first_per_key(left, ["content_hash"], _ORDER)), refused
 
 
 def insert_ignore(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:

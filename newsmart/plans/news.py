@@ -14,7 +14,8 @@ from newsmart.operators.annotate import (
     Complete,
     ask_model,
     parse_replies,
-    pending_articles,
+    pending,
+    prompts_for,
 )
 from newsmart.operators.dedup import dedup_content, stream_dedup
 from newsmart.operators.enrich import to_processed, with_content_hash
@@ -68,6 +69,7 @@ def dead_letter_envelopes(dead: DataFrame) -> DataFrame:
 
 def annotate_articles(
     articles: DataFrame,
+    stored_articles: DataFrame,
     stored_analyses: DataFrame,
     make_complete: Callable[[], Complete],
     model_id: str,
@@ -78,17 +80,19 @@ def annotate_articles(
 ) -> tuple[DataFrame, DataFrame]:
     """Annotate the articles this model has not seen: (analyses, dead letters).
 
-    Replies are written to ``replies_path`` first and read back from there, so
-    each article is sent to the model once however often the result is read.
+    Prompts are cut to size before any shuffle.  Replies are written to
+    ``replies_path`` first and read back from there, so each article is sent to
+    the model once however often the result is read.  An analysis whose article
+    is not stored is a dead letter.
     """
-    todo = pending_articles(articles, stored_analyses, model_id)
-    replies = ask_model(todo, make_complete, max_chars, partitions)
+    todo = pending(prompts_for(articles, max_chars), stored_analyses, model_id)
+    replies = ask_model(todo, make_complete, partitions)
     replies.write.mode("overwrite").parquet(replies_path)
     written = articles.sparkSession.read.schema(replies.schema).parquet(replies_path)
     analyses, dead = parse_replies(written, model_id, analyzed_at)
-    orphans = orphan_analyses(analyses, articles).select(
+    orphans = orphan_analyses(analyses, stored_articles).select(
         "article_event_id",
         F.lit(None).cast("string").alias("reply"),
         F.lit("no_such_article").alias("reason"),
     )
-    return valid_analyses(analyses, articles), dead.unionByName(orphans)
+    return valid_analyses(analyses, stored_articles), dead.unionByName(orphans)

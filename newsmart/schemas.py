@@ -101,6 +101,9 @@ FILING_ENTRY = _struct(
 # A topic record: what a broker hands over, or what a landing folder holds.
 ENVELOPE = _struct(("topic", _S), ("key", _S), ("value", _S))
 
+# A record that could not be stored, as it came, and why.
+DEAD_LETTER = _struct(("topic", _S), ("value", _S), ("reason", _S))
+
 LAKE_COLUMNS = (
     "event_id",
     "timestamp",

@@ -35,7 +35,7 @@ def write_lake(
 
 
 def spread(rows: DataFrame, tasks_per_partition: int = 8) -> DataFrame:
-    """The stream's form of ``lay_out``: AQE does not split a stream's shuffle.
+    """``lay_out`` for a stream that keeps state, whose shuffles AQE leaves alone.
 
     A hot partition is spread over a fixed number of tasks by a salt taken from
     the event id, which comes out the same on replay.

@@ -6,9 +6,10 @@ again replaces what the first attempt left behind.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from newsmart import schemas as S
+from newsmart.functions.wire import encode
 from newsmart.operators.references import insert_ignore, orphan_analyses, valid_analyses
 from newsmart.operators.validate import (
     AGGREGATE_RULES,
@@ -34,10 +35,9 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
-def _dead(rows: DataFrame, topic: str, reason: str, schema_columns: list[str]) -> DataFrame:
-    return rows.selectExpr(
-        f"'{topic}' as topic", f"to_json(struct({','.join(schema_columns)})) as value",
-        f"'{reason}' as reason",
+def _dead(rows: DataFrame, schema: T.StructType, topic: str, reason: str) -> DataFrame:
+    return rows.select(
+        F.lit(topic).alias("topic"), encode(schema).alias("value"), F.lit(reason).alias("reason")
     )
 
 
@@ -47,7 +47,7 @@ def write_articles(batch: DataFrame, root: str, batch_id: int) -> DataFrame:
     stored = read_table(batch.sparkSession, path, S.PROCESSED_NEWS, except_batch=batch_id)
     inserts, clashes = insert_ignore(batch, stored.select("content_hash", "event_id"))
     write_batch(inserts, path, batch_id)
-    return _dead(clashes, S.PROCESSED_TOPIC, "event_id_taken", S.PROCESSED_NEWS.fieldNames())
+    return _dead(clashes, S.PROCESSED_NEWS, S.PROCESSED_TOPIC, "event_id_taken")
 
 
 def write_aggregates(batch: DataFrame, root: str, batch_id: int) -> None:
@@ -60,7 +60,7 @@ def write_analyses(batch: DataFrame, root: str, batch_id: int) -> DataFrame:
     articles = read_table(batch.sparkSession, f"{root}/{ARTICLES}", S.PROCESSED_NEWS)
     write_batch(valid_analyses(batch, articles), f"{root}/{ANALYSES}", batch_id)
     orphans = orphan_analyses(batch, articles)
-    return _dead(orphans, S.ANALYSIS_TOPIC, "no_such_article", S.ANALYSIS.fieldNames())
+    return _dead(orphans, S.ANALYSIS, S.ANALYSIS_TOPIC, "no_such_article")
 
 
 def _decoded(envelopes: DataFrame, topic: str, rules: RecordRules) -> DataFrame:

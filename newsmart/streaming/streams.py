@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from newsmart.operators.lake import lake_rows
-from newsmart.sinks.lake import PARTITIONS, spread
+from newsmart.sinks.lake import PARTITIONS, lay_out, spread
 from newsmart.sinks.tables import write_topics
 
 # Lake flush settings and the aggregate emit interval.
@@ -52,14 +52,18 @@ def to_lake(
     checkpoint: str,
     every: str | None = LAKE_FLUSH,
     rows_per_file: int = LAKE_ROWS_PER_FILE,
+    stateful: bool = False,
 ) -> StreamingQuery:
     """Append processed news to the lake, exactly once.
 
     ``rows_per_file`` and ``every`` are the small-batch settings the lake is
     flushed with by default; raise both for files of a size worth scanning.
+    Spark does not re-plan a stream that keeps state: say so with ``stateful``
+    and hot partitions are spread by hand.
     """
+    rows = lake_rows(processed)
     writer = (
-        spread(lake_rows(processed))
+        (spread(rows) if stateful else lay_out(rows))
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", rows_per_file)
