@@ -38,19 +38,31 @@ def orphan_analyses(analyses: DataFrame, articles: DataFrame, salts: int = 1) ->
     return left.join(right, _keys(salts), "left_anti").select(*analyses.columns)
 
 
-def _already_stored(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    # Cuts the big table down to the batch's keys first: it is never shuffled
-    # whole while the batch's key set is small enough to broadcast.
-    wanted = batch.select(key).distinct()
-    return stored.select(key).join(wanted, key, "left_semi")
+# Keys are ids or hashes of at most 64 characters: about 100 MB once broadcast.
+BROADCAST_KEYS = 1_000_000
+
+
+def few(keys: DataFrame) -> bool:
+    """Whether a batch's keys may be broadcast; reads them, so write or persist first."""
+    return keys.count() <= BROADCAST_KEYS
+
+
+def present(stored: DataFrame, wanted: DataFrame, key: str, small: bool) -> DataFrame:
+    """The keys of ``wanted`` that the stored table has.
+
+    While they are few the table is only scanned.  Beyond that both sides are
+    shuffled on the key.
+    """
+    keys = wanted.select(key)
+    return stored.select(key).join(F.broadcast(keys) if small else keys, key, "left_semi").distinct()
 
 
 _IDENTITY = ["event_id", "content_hash"]
 _ORDER = ["timestamp", "event_id", "content_hash"]
 
 
-def _settle(fresh: DataFrame, taken: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Who gets stored when rows compete for contents and for ids.
+def _settle(left: DataFrame) -> DataFrame:
+    """The rows that get stored when rows compete for contents and for ids.
 
     Rows count in time order: one is stored if neither its content nor its id
     is taken by then.  While no id brings several contents, that is the first
@@ -59,19 +71,16 @@ def _settle(fresh: DataFrame, taken: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest goes another round.  Rounds work on narrow rows and are cut by
     ``checkpoint``.
     """
-    refused = fresh.join(taken, "event_id", "left_semi")
-    left = fresh.join(taken, "event_id", "left_anti")
     stored = left.limit(0)
     while not left.groupBy("event_id").count().where("count > 1").isEmpty():
         first_of_content = first_per_key(left, ["content_hash"], _ORDER)
         first_of_id = first_per_key(left, ["event_id"], _ORDER).select(*_IDENTITY)
         certain = first_of_content.join(first_of_id, _IDENTITY, "left_semi").checkpoint()
         stored = stored.unionByName(certain)
-        others = left.join(certain.select("content_hash"), "content_hash", "left_anti")
-        ids = certain.select("event_id")
-        refused = refused.unionByName(others.join(ids, "event_id", "left_semi"))
-        left = others.join(ids, "event_id", "left_anti").checkpoint()
-    return stored.unionByName(first_per_key(left, ["content_hash"], _ORDER)), refused
+        for key in _IDENTITY:
+            left = left.join(certain.select(key), key, "left_anti")
+        left = left.checkpoint()
+    return stored.unionByName(first_per_key(left, ["content_hash"], _ORDER))
 
 
 def insert_ignore(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -86,16 +95,23 @@ def insert_ignore(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataF
     rows are shuffled once, after repeats of the same record have been dropped
     in the map tasks.
     """
-    keys = batch.groupBy(*_IDENTITY).agg(F.min("timestamp").alias("timestamp"))
-    seen = _already_stored(stored, keys, "content_hash")
-    fresh = keys.join(seen, "content_hash", "left_anti").checkpoint()
-    winners, refused = _settle(fresh, _already_stored(stored, fresh, "event_id"))
-    # A refused row whose content an earlier row brought in is just a copy.
-    owner = winners.select(
-        "content_hash", F.struct("timestamp", "event_id").alias("_owner")
+    keys = batch.groupBy(*_IDENTITY).agg(F.min("timestamp").alias("timestamp")).checkpoint()
+    small = few(keys)
+    seen = present(stored, keys, "content_hash", small)
+    taken = present(stored, keys, "event_id", small).withColumn("_taken", F.lit(True))
+    fresh = (
+        keys.join(seen, "content_hash", "left_anti")
+        .join(taken, "event_id", "left")
+        .select(*_ORDER, F.coalesce("_taken", F.lit(False)).alias("_taken"))
+        .checkpoint()
     )
-    clashing = refused.join(owner, "content_hash", "left").where(
-        F.col("_owner").isNull() | (F.struct("timestamp", "event_id") < F.col("_owner"))
+    winners = _settle(fresh.where(~F.col("_taken")).drop("_taken"))
+    # What is left is a copy if an earlier row brought its content in, else a
+    # clash: its id was taken before it came.
+    brought = winners.select("content_hash", F.struct("timestamp", "event_id").alias("_by"))
+    others = fresh.join(winners.select(*_IDENTITY), _IDENTITY, "left_anti")
+    clashing = others.join(brought, "content_hash", "left").where(
+        F.col("_by").isNull() | (F.struct("timestamp", "event_id") < F.col("_by"))
     )
     rows = first_per_key(batch, _IDENTITY, ["timestamp"])
     inserts = rows.join(winners.select(*_IDENTITY), _IDENTITY, "left_semi")

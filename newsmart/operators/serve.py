@@ -3,6 +3,10 @@
 Every ordering ends in a unique column, so equal timestamps page the same way
 each time.  ``orderBy().limit()`` plans as ``TakeOrderedAndProject``: each task
 keeps its own top rows and only those are sent on.
+
+A page is found on its sort columns first.  The time of its last row then goes
+to the scan as a pushed-down filter, so the wide columns are read from the row
+groups of that time span and not from the whole table.
 """
 
 from __future__ import annotations
@@ -31,21 +35,31 @@ def _newest() -> list[Column]:
     return [F.desc("timestamp"), F.asc("event_id")]
 
 
+def _page(
+    found: DataFrame, columns: Sequence[str], order: list[Column], time: str, limit: int, offset: int
+) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` of a newest-first order on ``time``."""
+    narrow = found.orderBy(*order).limit(offset + limit)
+    oldest = narrow.agg(F.min(time)).scalar()
+    recent = found.where(F.col(time) >= oldest).select(*columns)
+    return recent.orderBy(*order).offset(offset).limit(limit)
+
+
 def articles_page(
     articles: DataFrame, ticker: str | None = None, limit: int = 10, offset: int = 0
 ) -> DataFrame:
     """A page of articles, newest first, optionally those that name a ticker."""
     _check("limit", limit, 1, 100)
     _check("offset", offset, 0)
-    found = articles.where(_mentions(ticker)).select(*S.ARTICLE_VIEW)
-    return found.orderBy(*_newest()).offset(offset).limit(limit)
+    found = articles.where(_mentions(ticker))
+    return _page(found, S.ARTICLE_VIEW, _newest(), "timestamp", limit, offset)
 
 
 def latest_for_ticker(articles: DataFrame, ticker: str, limit: int = 5) -> DataFrame:
     """The newest articles that name the ticker."""
     _check("limit", limit, 1, 50)
-    found = articles.where(F.array_contains("tickers", ticker)).select(*S.ARTICLE_VIEW)
-    return found.orderBy(*_newest()).limit(limit)
+    found = articles.where(F.array_contains("tickers", ticker))
+    return _page(found, S.ARTICLE_VIEW, _newest(), "timestamp", limit, 0)
 
 
 def latest_per_ticker(articles: DataFrame, k: int = 5) -> DataFrame:
@@ -113,7 +127,7 @@ def recent_analyses(analyses: DataFrame, limit: int = 10) -> DataFrame:
     """The newest analyses."""
     _check("limit", limit, 1)
     order = [F.desc("analyzed_at"), F.asc("article_event_id"), F.asc("analysis_version")]
-    return analyses.select(*S.ANALYSIS.fieldNames()).orderBy(*order).limit(limit)
+    return _page(analyses, S.ANALYSIS.fieldNames(), order, "analyzed_at", limit, 0)
 
 
 def entity_rows(analyses: DataFrame) -> DataFrame:

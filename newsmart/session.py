@@ -17,6 +17,8 @@ _RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Timestamps with min/max statistics, so time filters skip row groups.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Stream state beyond executor memory goes to local disk and is
     # snapshotted to the checkpoint folder.
     "spark.sql.streaming.stateStore.providerClass": (
@@ -43,6 +45,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

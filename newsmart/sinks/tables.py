@@ -10,7 +10,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from newsmart import schemas as S
 from newsmart.functions.wire import encode
-from newsmart.operators.references import insert_ignore, orphan_analyses, valid_analyses
+from newsmart.operators.references import (
+    few,
+    insert_ignore,
+    orphan_analyses,
+    present,
+    valid_analyses,
+)
 from newsmart.operators.validate import (
     AGGREGATE_RULES,
     ANALYSIS_RULES,
@@ -31,8 +37,21 @@ ARTICLES, AGGREGATES, ANALYSES, DEAD = (
 )
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int, lookup: str | None = None) -> None:
+    """Write one batch; ``lookup`` names a column that is searched by value.
+
+    That column gets Bloom filters, sized to its values, which let a search for
+    an id skip the row groups without it.
+    """
+    writer = df.write.mode("overwrite")
+    if lookup:
+        writer = writer.options(
+            **{
+                f"parquet.bloom.filter.enabled#{lookup}": "true",
+                "parquet.bloom.filter.adaptive.enabled": "true",
+            }
+        )
+    writer.parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def _dead(rows: DataFrame, schema: T.StructType, topic: str, reason: str) -> DataFrame:
@@ -46,7 +65,7 @@ def write_articles(batch: DataFrame, root: str, batch_id: int) -> DataFrame:
     path = f"{root}/{ARTICLES}"
     stored = read_table(batch.sparkSession, path, S.PROCESSED_NEWS, except_batch=batch_id)
     inserts, clashes = insert_ignore(batch, stored.select("content_hash", "event_id"))
-    write_batch(inserts, path, batch_id)
+    write_batch(inserts, path, batch_id, lookup="event_id")
     return _dead(clashes, S.PROCESSED_NEWS, S.PROCESSED_TOPIC, "event_id_taken")
 
 
@@ -58,15 +77,14 @@ def write_aggregates(batch: DataFrame, root: str, batch_id: int) -> None:
 def write_analyses(batch: DataFrame, root: str, batch_id: int) -> DataFrame:
     """Append the analyses whose article is stored; returns the others."""
     articles = read_table(batch.sparkSession, f"{root}/{ARTICLES}", S.PROCESSED_NEWS)
-    write_batch(valid_analyses(batch, articles), f"{root}/{ANALYSES}", batch_id)
-    orphans = orphan_analyses(batch, articles)
+    wanted = batch.select(F.col("article_event_id").alias("event_id")).distinct().checkpoint()
+    known = present(articles, wanted, "event_id", few(wanted))
+    valid = valid_analyses(batch, known)
+    write_batch(valid, f"{root}/{ANALYSES}", batch_id, lookup="article_event_id")
+    orphans = orphan_analyses(batch, known)
     return _dead(orphans, S.ANALYSIS, S.ANALYSIS_TOPIC, "no_such_article")
 
 
-def _decoded(envelopes: DataFrame, topic: str, rules: RecordRules) -> DataFrame:
-    return decode(topic_values(envelopes, topic), rules)
-
-
 def write_topics(envelopes: DataFrame, root: str, batch_id: int) -> None:
     """One batch of mixed topic records into the three serving tables.
 
@@ -74,16 +92,25 @@ def write_topics(envelopes: DataFrame, root: str, batch_id: int) -> None:
     article.  Whatever cannot be stored goes to the dead letters with a reason.
     """
     batch = envelopes.persist()
+    held = [batch]
+
+    def records(topic: str, rules: RecordRules) -> tuple[DataFrame, DataFrame]:
+        decoded = decode(topic_values(batch, topic), rules)
+        # Read several times below; decoded once.
+        held.append(accepted(decoded, rules).persist())
+        return held[-1], rejected(decoded).select("topic", "value", "reason")
+
     try:
-        news = _decoded(batch, S.PROCESSED_TOPIC, PROCESSED_RULES)
-        aggregates = _decoded(batch, S.AGGREGATION_TOPIC, AGGREGATE_RULES)
-        analyses = _decoded(batch, S.ANALYSIS_TOPIC, ANALYSIS_RULES)
-        taken = write_articles(accepted(news, PROCESSED_RULES), root, batch_id)
-        write_aggregates(accepted(aggregates, AGGREGATE_RULES), root, batch_id)
-        orphans = write_analyses(accepted(analyses, ANALYSIS_RULES), root, batch_id)
+        news, bad_news = records(S.PROCESSED_TOPIC, PROCESSED_RULES)
+        aggregates, bad_aggregates = records(S.AGGREGATION_TOPIC, AGGREGATE_RULES)
+        analyses, bad_analyses = records(S.ANALYSIS_TOPIC, ANALYSIS_RULES)
+        taken = write_articles(news, root, batch_id)
+        write_aggregates(aggregates, root, batch_id)
+        orphans = write_analyses(analyses, root, batch_id)
         dead = taken.unionByName(orphans)
-        for decoded in (news, aggregates, analyses):
-            dead = dead.unionByName(rejected(decoded).select("topic", "value", "reason"))
+        for bad in (bad_news, bad_aggregates, bad_analyses):
+            dead = dead.unionByName(bad)
         write_batch(dead, f"{root}/{DEAD}", batch_id)
     finally:
-        batch.unpersist()
+        for frame in held:
+            frame.unpersist()

@@ -35,3 +35,24 @@ def stamp(text: str):
     from pyspark.sql import functions as F
 
     return F.lit(text).cast("timestamp")
+
+
+def rows_read(frame) -> int:
+    """Rows that came out of the widest scan of a frame that has been run."""
+    found = []
+
+    def walk(plan) -> None:
+        name = plan.nodeName()
+        if name.startswith("Scan"):
+            width = len(plan.schema().fieldNames())
+            found.append((width, plan.metrics().apply("numOutputRows").value()))
+        if name == "AdaptiveSparkPlan":
+            walk(plan.executedPlan())
+        elif "QueryStage" in name:
+            walk(plan.plan())
+        children = plan.children().iterator()
+        while children.hasNext():
+            walk(children.next())
+
+    walk(frame._jdf.queryExecution().executedPlan())
+    return max(found)[1]

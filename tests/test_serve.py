@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import plan_of
+from conftest import plan_of, rows_read
 
 from newsmart import schemas as S
 from newsmart.operators import serve
@@ -136,3 +136,42 @@ def test_aggregations(spark):
     page = serve.aggregations_page(aggregates, limit=3).collect()
     assert [(r.ticker, r.window_end.hour) for r in page] == [("A", 3), ("A", 2), ("A", 1)]
     assert [r.ticker for r in serve.aggregations_page(aggregates, "B").collect()] == ["B"]
+
+
+def test_page_reads_wide_columns_of_recent_rows_only(spark, folder):
+    rows = spark.range(0, 200_000, 1, 4).selectExpr(
+        "concat('e', id) as event_id",
+        "timestamp_seconds(id) as timestamp",
+        "'synthetic' as source",
+        "'u' as source_url",
+        "'t' as title",
+        "repeat(sha2(string(id), 256), 4) as content",
+        "array('A') as tickers",
+        "array('A') as companies",
+        "timestamp_seconds(id) as processed_at",
+    )
+    rows.write.option("parquet.block.size", 1 << 20).parquet(folder)
+    page = serve.articles_page(spark.read.parquet(folder), "A", limit=20, offset=10)
+    assert [r.event_id for r in page.collect()] == [f"e{199_989 - i}" for i in range(20)]
+    assert rows_read(page) < 20_000
+
+
+def test_lookup_by_id_skips_files_without_it(spark, folder):
+    from newsmart.sinks.tables import write_batch
+
+    rows = spark.range(0, 40_000, 1, 8).selectExpr(
+        "concat('00000000-0000-0000-0000-', lpad(string(pmod(id * 7919, 40000)), 12, '0')) as event_id",
+        "timestamp_seconds(id) as timestamp",
+        "'synthetic' as source",
+        "'u' as source_url",
+        "'t' as title",
+        "'c' as content",
+        "array('A') as tickers",
+        "array('A') as companies",
+        "timestamp_seconds(id) as processed_at",
+    )
+    write_batch(rows, folder, 0, lookup="event_id")
+    wanted = "00000000-0000-0000-0000-000000000005"
+    found = serve.articles_by_ids(spark.read.parquet(folder), [wanted])
+    assert [r.event_id for r in found.collect()] == [wanted]
+    assert rows_read(found) <= 10_000
