@@ -37,8 +37,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reader = spark.readStream.schema(DOCUMENTS).option("pathGlobFilter", "documents.parquet")
-    return reader.parquet(sf_dir)
+    # A glob, since a stream's path may be one file or a folder of them.
+    return spark.readStream.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parque[t]")
 
 
 def event_id() -> Column:

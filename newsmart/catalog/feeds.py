@@ -34,6 +34,7 @@ from newsmart.operators.normalize import (
     union_sources as select_sources,
 )
 from newsmart.operators.validate import rejected
+from newsmart.plans.news import raw_envelopes
 from newsmart.session import scratch_path
 from newsmart.sources import feeds
 
@@ -158,7 +159,8 @@ def scan_market_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """with items as (
       select unnest(case doc_id % 10
-        when 0 then ['missing:url'] when 3 then ['malformed'] when 4 then ['malformed']
+        when 0 then ['missing:url'] when 3 then ['malformed']
+        when 4 then ['number:overall_sentiment_score']
         when 7 then ['missing:url,missing:summary,missing:source,missing:time_published,'
                      || 'missing:overall_sentiment_score,missing:overall_sentiment_label']
         else [] end) as reason
@@ -261,6 +263,20 @@ def dedup_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("event_id", "content_hash", at("timestamp"))
 
 
+@query(
+    f"""with {_ITEMS}, {_MARKET_RAW}, {_ENTRIES}, {_FILING_RAW}, sent as (
+      select coalesce(tickers[1], 'QUERIED') as key, event_id from market
+      union all select coalesce(tickers[1], '{S.NO_TICKER_FILING}'), event_id from filings)
+    select '{S.RAW_TOPIC}' as topic, key, event_id from sent"""
+)
+def publish_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds as records of the raw topic, each with its own fallback key."""
+    market = raw_envelopes(_market_raw(spark, sf_dir), "QUERIED")
+    filings = raw_envelopes(_filing_raw(spark, sf_dir), S.NO_TICKER_FILING)
+    sent = market.unionByName(filings)
+    return sent.select("topic", "key", F.get_json_object("value", "$.event_id").alias("event_id"))
+
+
 @query(
     f"""with {NEWS}, {_ITEMS}, {_MARKET_RAW}, {_ENTRIES}, {_FILING_RAW}, unioned as (
       select event_id, ts, source, source_url, title, tickers, raw_metadata from market

@@ -22,6 +22,7 @@ from newsmart.catalog.registry import (
 from newsmart.functions import companies, identity, text
 from newsmart.functions.wire import encode
 from newsmart.operators import annotate, enrich
+from newsmart.operators.references import valid_analyses
 from newsmart.operators.validate import PROCESSED_RULES, RAW_RULES, accepted, decode
 from newsmart.plans import news as plans
 from newsmart.session import scratch_path
@@ -189,6 +190,15 @@ def unfence_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.replies(spark, sf_dir).select(
+        "*",
+        F.lit(ANALYZED_AT).cast("timestamp").alias("analyzed_at"),
+        F.lit("model-a").alias("model_id"),
+        F.lit(S.ANALYSIS_VERSION).alias("analysis_version"),
+    )
+
+
 @query(
     f"""with {_REPLIES}
     select article_event_id, 'Summary of ' || doc_id as summary, sentiment,
@@ -199,9 +209,7 @@ def unfence_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     from replies where kind not in (3, 4, 5, 8, 9, 10, 11)"""
 )
 def parse_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = annotate.parse_replies(
-        B.replies(spark, sf_dir), "model-a", F.lit(ANALYZED_AT).cast("timestamp")
-    )
+    good, _ = annotate.parse_replies(_replies(spark, sf_dir))
     return good.select(
         "article_event_id",
         "summary",
@@ -219,14 +227,12 @@ def parse_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""with {_REPLIES}
     select article_event_id, case kind when 3 then 'missing:summary' when 4 then 'domain:sentiment'
            when 5 then 'range:sentiment_confidence' when 8 then 'malformed'
-           when 9 then 'range:sentiment_confidence' when 10 then 'no_reply'
+           when 9 then 'number:sentiment_confidence' when 10 then 'no_reply'
            else 'element:entities' end as reason
     from replies where kind in (3, 4, 5, 8, 9, 10, 11)"""
 )
 def analysis_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, dead = annotate.parse_replies(
-        B.replies(spark, sf_dir), "model-a", F.lit(ANALYZED_AT).cast("timestamp")
-    )
+    _, dead = annotate.parse_replies(_replies(spark, sf_dir))
     return dead.select("article_event_id", "reason")
 
 
@@ -259,19 +265,17 @@ def _count_sql(words: tuple[str, ...]) -> str:
     from votes"""
 )
 def annotate_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = plans.process_news(B.news(spark, sf_dir), _processed_at())
-    none_yet = spark.createDataFrame([], S.ANALYSIS)
-    good, _ = plans.annotate_articles(
+    """All news annotated; analyses of articles that were not kept are dropped."""
+    analyses, _ = plans.annotate_articles(
         B.articles(spark, sf_dir),
-        stored,
-        none_yet,
+        scratch_path(spark, "replies"),
         annotate.keyword_annotator(BULLISH, BEARISH),
         "keywords",
         F.lit(ANALYZED_AT).cast("timestamp"),
-        scratch_path(spark, "replies"),
         partitions=spark.sparkContext.defaultParallelism,
     )
-    return good.select(
+    stored = plans.process_news(B.news(spark, sf_dir), _processed_at())
+    return valid_analyses(analyses, stored).select(
         "article_event_id",
         "sentiment",
         F.round("sentiment_confidence", 6).alias("sentiment_confidence"),

@@ -137,9 +137,9 @@ def _stored_twice(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """All news stored, then all of it again together with corrections."""
     root = scratch_path(spark, "serving")
     news = B.articles(spark, sf_dir)
-    tables.write_articles(news, root, 0)
+    tables.write_articles(news, root, "first")
     again = news.unionByName(_corrections(spark, sf_dir))
-    return root, tables.write_articles(again, root, 1)
+    return root, tables.write_articles(again, root, "second")
 
 
 @query(
@@ -221,7 +221,7 @@ STORED = f"""with {SNAPSHOTS}
 def topic_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "serving")
     envelopes = landed_topics(spark, land_topics(spark, sf_dir), streaming=False)
-    tables.write_topics(envelopes, root, 0)
+    tables.write_topics(envelopes, root, "all")
     return stored_records(spark, root)
 
 

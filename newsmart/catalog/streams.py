@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsmart import bindings as B, schemas as S
-from newsmart.catalog.registry import NEWS, at, at_sql, company, listed, listed_sql, query
+from newsmart.catalog.records import BEARISH, BULLISH
+from newsmart.catalog.registry import KEPT, NEWS, at, at_sql, company, listed, listed_sql, query
 from newsmart.catalog.storage import (
     LAKE,
     LAKE_SQL,
@@ -15,14 +16,14 @@ from newsmart.catalog.storage import (
     stored_records,
 )
 from newsmart.catalog.tickers import kept_news
-from newsmart.functions.wire import envelope
 from newsmart.operators.aggregate import snapshot_by_emit_interval, tumbling_counts
+from newsmart.operators.annotate import keyword_annotator
 from newsmart.operators.dedup import stream_dedup as dedup_stream
 from newsmart.operators.enrich import with_content_hash
 from newsmart.operators.validate import PROCESSED_RULES, accepted, decode
 from newsmart.plans import news as plans
 from newsmart.session import scratch_path
-from newsmart.sinks.tables import ARTICLES
+from newsmart.sinks.tables import AGGREGATES, ANALYSES, ARTICLES
 from newsmart.sinks.topics import land
 from newsmart.sources.tables import read_lake, read_table
 from newsmart.sources.topics import landed_topics
@@ -45,7 +46,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw topic records followed from the start, checked, and stored once."""
     topic, out = scratch_path(spark, "raw"), scratch_path(spark, "ingest")
     news = B.news(spark, sf_dir)
-    land(envelope(news, S.RAW_NEWS, S.RAW_TOPIC, F.get("tickers", F.lit(0))), path=topic)
+    land(plans.raw_envelopes(news, S.NO_TICKER), topic)
     good, _ = plans.raw_records(landed_topics(spark, topic))
     streams.to_folder(good, f"{out}/data", f"{out}/checkpoint").awaitTermination()
     stored = spark.read.schema(S.RAW_NEWS).parquet(f"{out}/data")
@@ -114,6 +115,41 @@ def stream_ticker_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""with {NEWS}, spread as (select ts, score, unnest(tickers) as ticker from news)
+    select ticker, {at_sql("date_trunc('hour', ts)", 'window_start')},
+           max(n) as article_count from (
+      select *, count(*) over (partition by ticker, date_trunc('hour', ts)) as n from spread)
+    group by ticker, date_trunc('hour', ts)"""
+)
+def stream_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window snapshots appended to the aggregate table; the last one counts."""
+    out = scratch_path(spark, "aggregates")
+    counted = tumbling_counts(_stream_news(spark, sf_dir).withWatermark("timestamp", "1 hour"))
+    full = counted.withColumn("dominant_sentiment", F.lit(None).cast("string"))
+    streams.to_aggregates(full, out, f"{out}/checkpoint", None).awaitTermination()
+    stored = read_table(spark, f"{out}/{AGGREGATES}", S.TICKER_AGGREGATE)
+    last = stored.groupBy("ticker", "window_start").agg(F.max("article_count").alias("article_count"))
+    return last.select("ticker", at("window_start"), "article_count")
+
+
+@query(
+    f"""with {NEWS}, {KEPT}
+    select event_id as article_event_id, 'keywords' as model_id from kept"""
+)
+def stream_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed topic records followed through the model into the analyses."""
+    topic, out = scratch_path(spark, "processed"), scratch_path(spark, "stream-annotate")
+    land(plans.processed_envelopes(kept_news(spark, sf_dir)), topic)
+    envelopes = landed_topics(spark, topic)
+    streams.to_tables(envelopes, out, f"{out}/c1").awaitTermination()
+    processed = accepted(decode(envelopes, PROCESSED_RULES), PROCESSED_RULES)
+    model = keyword_annotator(BULLISH, BEARISH)
+    streams.to_analyses(processed, out, f"{out}/c2", model, "keywords").awaitTermination()
+    stored = read_table(spark, f"{out}/{ANALYSES}", S.ANALYSIS)
+    return stored.select("article_event_id", "model_id")
+
+
 @query(STORED)
 def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixed topic records followed into the serving tables."""

@@ -79,7 +79,7 @@ def snapshot_by_emit_interval(news: DataFrame, interval: str = "300 seconds") ->
     """Counts per ticker and emit interval of processing time.
 
     The window opens when the ticker is first seen in the interval and closes
-    when the interval is emitted.
+    when the interval is emitted.  Sentiment is left empty.
     """
     counted = (
         by_ticker(news, "processed_at")
@@ -92,6 +92,8 @@ def snapshot_by_emit_interval(news: DataFrame, interval: str = "300 seconds") ->
         "window_start",
         F.col("window.end").alias("window_end"),
         "article_count",
+        F.lit(None).cast("double").alias("avg_sentiment_score"),
+        F.lit(None).cast("string").alias("dominant_sentiment"),
     )
 
 

@@ -39,10 +39,14 @@ SYSTEM_PROMPT = (
 )
 
 REPLY_RULES = RecordRules(
-    schema=S.ANALYSIS_REPLY, required=("summary", "sentiment", "sentiment_confidence")
+    schema=S.ANALYSIS_REPLY,
+    required=("summary", "sentiment", "sentiment_confidence"),
+    domains={"sentiment": S.SENTIMENTS},
+    ranges={"sentiment_confidence": (0.0, 1.0)},
+    numbers=("sentiment_confidence",),
 )
 
-_RAW_REPLY = "article_event_id string, reply string, error string"
+_ANSWER = "article_event_id string, reply string, error string"
 
 
 def _one_by_one(complete: Complete, prompts: pd.Series) -> tuple[list, list]:
@@ -64,16 +68,6 @@ def prompts_for(articles: DataFrame, max_chars: int = S.PROMPT_CONTENT_CHARS) ->
     return articles.select("event_id", prompt.alias("prompt"))
 
 
-def pending(
-    prompts: DataFrame, analyses: DataFrame, model_id: str, version: str = S.ANALYSIS_VERSION
-) -> DataFrame:
-    """Rows whose article this model and version has not analysed yet."""
-    done = analyses.where(
-        (F.col("model_id") == model_id) & (F.col("analysis_version") == version)
-    ).select(F.col("article_event_id").alias("event_id"))
-    return prompts.join(done.distinct(), "event_id", "left_anti")
-
-
 def ask_model(
     prompts: DataFrame, make_complete: Callable[[], Complete], partitions: int | None = None
 ) -> DataFrame:
@@ -104,50 +98,47 @@ def ask_model(
                 {"article_event_id": batch["event_id"], "reply": replies, "error": errors}
             )
 
-    return prompts.mapInPandas(annotate, _RAW_REPLY)
+    return prompts.mapInPandas(annotate, _ANSWER)
 
 
-def _checked(replies: DataFrame) -> DataFrame:
-    """Replies with ``record``, ``confidence`` and ``reasons``."""
+def _entities(record: Column) -> Column:
+    """Entities with the score as a number; null where one does not read."""
+    return F.transform(
+        record["entities"],
+        lambda e: F.struct(
+            e["name"].alias("name"),
+            e["entity_type"].alias("entity_type"),
+            e["relevance_score"].try_cast("double").alias("relevance_score"),
+        ),
+    )
+
+
+def parse_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored replies as (analyses, dead letters)."""
     answered = replies.withColumn("value", unfence_json(F.coalesce("reply", F.lit(""))))
     decoded = decode(answered, REPLY_RULES)
     record = F.col("record")
-    confidence = record["sentiment_confidence"].try_cast("double")
-    extra = F.array_compact(
-        F.array(
-            F.when(~record["sentiment"].isin(*S.SENTIMENTS), F.lit("domain:sentiment")),
-            F.when(
-                record["sentiment_confidence"].isNotNull()
-                & ~F.coalesce(confidence.between(0.0, 1.0), F.lit(False)),
-                F.lit("range:sentiment_confidence"),
-            ),
-        )
+    unscored = F.exists(
+        F.coalesce(record["entities"], F.array()),
+        lambda e: e["relevance_score"].isNotNull()
+        & e["relevance_score"].try_cast("double").isNull(),
     )
-    reasons = F.when(F.col("error").isNotNull(), F.array("error")).otherwise(
-        F.concat("reasons", F.when(F.array_contains("reasons", "malformed"), F.array()).otherwise(extra))
+    reasons = (
+        F.when(F.col("error").isNotNull(), F.array("error"))
+        .when((F.size("reasons") == 0) & unscored, F.array(F.lit("number:entities")))
+        .otherwise(F.col("reasons"))
     )
-    return decoded.withColumn("confidence", confidence).withColumn("reasons", reasons)
-
-
-def parse_replies(
-    replies: DataFrame,
-    model_id: str,
-    analyzed_at: Column,
-    version: str = S.ANALYSIS_VERSION,
-) -> tuple[DataFrame, DataFrame]:
-    """Raw replies as (analyses, dead letters)."""
-    checked = _checked(replies)
-    record = F.col("record")
+    checked = decoded.withColumn("reasons", reasons)
     analyses = checked.where(F.size("reasons") == 0).select(
         "article_event_id",
         record["summary"].alias("summary"),
         record["sentiment"].alias("sentiment"),
-        F.col("confidence").alias("sentiment_confidence"),
-        F.coalesce(record["entities"], F.array()).alias("entities"),
+        record["sentiment_confidence"].cast("double").alias("sentiment_confidence"),
+        F.coalesce(_entities(record), F.array()).alias("entities"),
         F.coalesce(record["key_topics"], F.array()).alias("key_topics"),
-        analyzed_at.alias("analyzed_at"),
-        F.lit(model_id).alias("model_id"),
-        F.lit(version).alias("analysis_version"),
+        "analyzed_at",
+        "model_id",
+        "analysis_version",
     )
     dead = checked.where(F.size("reasons") > 0).select(
         "article_event_id", "reply", F.array_join("reasons", ",").alias("reason")

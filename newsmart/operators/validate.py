@@ -29,6 +29,7 @@ class RecordRules:
     uuids: Sequence[str] = ()
     objects: Sequence[str] = ()
     lengths: Mapping[str, int] = field(default_factory=dict)
+    numbers: Sequence[str] = ()  # text fields that must read as a number
 
 
 _RAW_REQUIRED = ("timestamp", "source", "title", "content", "tickers")
@@ -86,6 +87,7 @@ MARKET_ITEM_RULES = RecordRules(
         "overall_sentiment_score",
         "overall_sentiment_label",
     ),
+    numbers=("overall_sentiment_score",),
 )
 
 
@@ -117,8 +119,12 @@ def problems(rules: RecordRules, record: Column) -> Column:
         note(record[name].isNull(), f"missing:{name}")
     for name, allowed in rules.domains.items():
         note(~record[name].isin(*allowed), f"domain:{name}")
+    for name in rules.numbers:
+        read = record[name].try_cast("double")
+        note(record[name].isNotNull() & read.isNull(), f"number:{name}")
     for name, (low, high) in rules.ranges.items():
-        note(~record[name].between(low, high), f"range:{name}")
+        read = record[name].try_cast("double")
+        note(~read.between(low, high), f"range:{name}")
     for name in rules.uuids:
         note(record[name].isNotNull() & canonical_uuid(record[name]).isNull(), f"uuid:{name}")
     for name in rules.objects:

@@ -10,17 +10,12 @@ from newsmart import schemas as S
 from newsmart.functions.text import routing_key
 from newsmart.functions.wire import envelope
 from newsmart.operators.aggregate import ticker_snapshots
-from newsmart.operators.annotate import (
-    Complete,
-    ask_model,
-    parse_replies,
-    pending,
-    prompts_for,
-)
+from newsmart.operators.annotate import Complete, ask_model, parse_replies, prompts_for
 from newsmart.operators.dedup import dedup_content, stream_dedup
 from newsmart.operators.enrich import to_processed, with_content_hash
-from newsmart.operators.references import orphan_analyses, valid_analyses
+from newsmart.operators.references import few, present
 from newsmart.operators.validate import RAW_RULES, accepted, decode, rejected, with_event_id
+from newsmart.sources.tables import read_replies
 
 
 def raw_records(values: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -47,6 +42,13 @@ def aggregate_news(processed: DataFrame, analyses: DataFrame, duration: str) ->
     return ticker_snapshots(processed, analyses, duration)
 
 
+def raw_envelopes(raw: DataFrame, default_key: str | Column) -> DataFrame:
+    """Raw news keyed by first ticker, else by what the feed was asked for."""
+    default = F.lit(default_key) if isinstance(default_key, str) else default_key
+    key = F.coalesce(F.get("tickers", F.lit(0)), default)
+    return envelope(raw, S.RAW_NEWS, S.RAW_TOPIC, key)
+
+
 def processed_envelopes(processed: DataFrame) -> DataFrame:
     key = routing_key(F.col("tickers"), S.NO_TICKER)
     return envelope(processed, S.PROCESSED_NEWS, S.PROCESSED_TOPIC, key)
@@ -69,30 +71,41 @@ def dead_letter_envelopes(dead: DataFrame) -> DataFrame:
 
 def annotate_articles(
     articles: DataFrame,
-    stored_articles: DataFrame,
-    stored_analyses: DataFrame,
+    replies_path: str,
     make_complete: Callable[[], Complete],
     model_id: str,
     analyzed_at: Column,
-    replies_path: str,
+    version: str = S.ANALYSIS_VERSION,
     max_chars: int = S.PROMPT_CONTENT_CHARS,
     partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Annotate the articles this model has not seen: (analyses, dead letters).
+    """Annotate articles: (analyses, dead letters).
 
-    Prompts are cut to size before any shuffle.  Replies are written to
-    ``replies_path`` first and read back from there, so each article is sent to
-    the model once however often the result is read.  An analysis whose article
-    is not stored is a dead letter.
+    Answers are added to the table at ``replies_path`` before anything is made
+    of them, and an article with an answer there is not sent again: a replay,
+    or reading the result twice, asks the model nothing.  Prompts are cut to
+    size before any shuffle.  ``articles`` is read several times, its ids first:
+    pass a stored or persisted frame.
     """
-    todo = pending(prompts_for(articles, max_chars), stored_analyses, model_id)
-    replies = ask_model(todo, make_complete, partitions)
-    replies.write.mode("overwrite").parquet(replies_path)
-    written = articles.sparkSession.read.schema(replies.schema).parquet(replies_path)
-    analyses, dead = parse_replies(written, model_id, analyzed_at)
-    orphans = orphan_analyses(analyses, stored_articles).select(
-        "article_event_id",
-        F.lit(None).cast("string").alias("reply"),
-        F.lit("no_such_article").alias("reason"),
+    spark = articles.sparkSession
+
+    def answers() -> DataFrame:
+        replies = read_replies(spark, replies_path, model_id, version)
+        return replies.withColumnRenamed("article_event_id", "event_id")
+
+    ids = articles.select("event_id")
+    small = few(ids)
+    answered = present(answers(), ids, "event_id", small)
+    todo = prompts_for(articles, max_chars).join(answered, "event_id", "left_anti")
+    (
+        ask_model(todo, make_complete, partitions)
+        .withColumn("analyzed_at", analyzed_at)
+        .withColumn("model_id", F.lit(model_id))
+        .withColumn("analysis_version", F.lit(version))
+        .write.mode("append")
+        .partitionBy("model_id", "analysis_version")
+        .parquet(replies_path)
     )
-    return valid_analyses(analyses, stored_articles), dead.unionByName(orphans)
+    wanted = F.broadcast(ids) if small else ids
+    found = answers().join(wanted, "event_id", "left_semi")
+    return parse_replies(found.withColumnRenamed("event_id", "article_event_id"))

@@ -43,16 +43,29 @@ ANALYSIS = _struct(
     ("analysis_version", _S),
 )
 
-# What a model is asked to return; confidence is read as text because the
-# reply may quote the number ("0.9"), which still counts.
+# What a model is asked to return.  Numbers are read as text: one in quotes
+# ("0.9") still counts as a number.
 ANALYSIS_REPLY = _struct(
     ("summary", _S),
     ("sentiment", _S),
     ("sentiment_confidence", _S),
-    ("entities", T.ArrayType(ENTITY)),
+    (
+        "entities",
+        T.ArrayType(_struct(("name", _S), ("entity_type", _S), ("relevance_score", _S))),
+    ),
     ("key_topics", _STRINGS),
 )
 
+# What a model answered, kept as it came.
+REPLY = _struct(
+    ("article_event_id", _S),
+    ("reply", _S),
+    ("error", _S),
+    ("analyzed_at", _TS),
+    ("model_id", _S),
+    ("analysis_version", _S),
+)
+
 TICKER_AGGREGATE = _struct(
     ("ticker", _S),
     ("company_name", _S),
@@ -67,6 +80,7 @@ TICKER_AGGREGATE = _struct(
 # JSON text, then each item on its own, so one bad item costs one item.
 MARKET_RESPONSE = _struct(("items", _S), ("feed", _STRINGS))
 
+# The score is read as text: one in quotes still counts as a number.
 MARKET_ITEM = _struct(
     ("title", _S),
     ("url", _S),
@@ -74,7 +88,7 @@ MARKET_ITEM = _struct(
     ("source", _S),
     ("time_published", _S),
     ("authors", _STRINGS),
-    ("overall_sentiment_score", _D),
+    ("overall_sentiment_score", _S),
     ("overall_sentiment_label", _S),
     (
         "ticker_sentiment",

@@ -1,12 +1,13 @@
 """Serving tables.
 
-Each batch owns a folder, ``batch_id=N``, and writes it whole: running a batch
-again replaces what the first attempt left behind.
+Each batch owns a folder, ``batch_id=<writer>-<number>``, and writes it whole:
+running a batch again replaces what the first attempt left behind, and two
+writers of one table never touch each other's batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from newsmart import schemas as S
 from newsmart.functions.wire import encode
@@ -37,7 +38,7 @@ ARTICLES, AGGREGATES, ANALYSES, DEAD = (
 )
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, lookup: str | None = None) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: str, lookup: str | None = None) -> None:
     """Write one batch; ``lookup`` names a column that is searched by value.
 
     That column gets Bloom filters, sized to its values, which let a search for
@@ -60,7 +61,7 @@ def _dead(rows: DataFrame, schema: T.StructType, topic: str, reason: str) -> Dat
     )
 
 
-def write_articles(batch: DataFrame, root: str, batch_id: int) -> DataFrame:
+def write_articles(batch: DataFrame, root: str, batch_id: str) -> DataFrame:
     """Insert-ignore on content; returns the rows whose id was already taken."""
     path = f"{root}/{ARTICLES}"
     stored = read_table(batch.sparkSession, path, S.PROCESSED_NEWS, except_batch=batch_id)
@@ -69,12 +70,12 @@ def write_articles(batch: DataFrame, root: str, batch_id: int) -> DataFrame:
     return _dead(clashes, S.PROCESSED_NEWS, S.PROCESSED_TOPIC, "event_id_taken")
 
 
-def write_aggregates(batch: DataFrame, root: str, batch_id: int) -> None:
+def write_aggregates(batch: DataFrame, root: str, batch_id: str) -> None:
     """Plain append; the batch folder makes a replay harmless."""
     write_batch(batch, f"{root}/{AGGREGATES}", batch_id)
 
 
-def write_analyses(batch: DataFrame, root: str, batch_id: int) -> DataFrame:
+def write_analyses(batch: DataFrame, root: str, batch_id: str) -> DataFrame:
     """Append the analyses whose article is stored; returns the others."""
     articles = read_table(batch.sparkSession, f"{root}/{ARTICLES}", S.PROCESSED_NEWS)
     wanted = batch.select(F.col("article_event_id").alias("event_id")).distinct().checkpoint()
@@ -85,7 +86,23 @@ def write_analyses(batch: DataFrame, root: str, batch_id: int) -> DataFrame:
     return _dead(orphans, S.ANALYSIS, S.ANALYSIS_TOPIC, "no_such_article")
 
 
-def write_topics(envelopes: DataFrame, root: str, batch_id: int) -> None:
+def retry_orphans(spark: SparkSession, root: str, batch_id: str) -> None:
+    """Store the analyses that came before their article, now that it is there.
+
+    Reads the dead letters; an analysis that has been stored is not stored
+    again, so this can be run at any time.
+    """
+    dead = read_table(spark, f"{root}/{DEAD}", S.DEAD_LETTER).where("reason = 'no_such_article'")
+    late = accepted(decode(dead, ANALYSIS_RULES), ANALYSIS_RULES)
+    identity = ["article_event_id", "model_id", "analysis_version", "analyzed_at"]
+    stored = read_table(spark, f"{root}/{ANALYSES}", S.ANALYSIS, except_batch=batch_id)
+    missing = late.join(stored.select(*identity), identity, "left_anti").dropDuplicates(identity)
+    articles = read_table(spark, f"{root}/{ARTICLES}", S.PROCESSED_NEWS)
+    found = valid_analyses(missing, articles)
+    write_batch(found, f"{root}/{ANALYSES}", batch_id, lookup="article_event_id")
+
+
+def write_topics(envelopes: DataFrame, root: str, batch_id: str) -> None:
     """One batch of mixed topic records into the three serving tables.
 
     Articles go first, so an analysis that arrives in the same batch finds its

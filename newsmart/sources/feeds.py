@@ -37,12 +37,13 @@ def market_items(responses: DataFrame) -> DataFrame:
 
 
 def market_records(decoded: DataFrame) -> DataFrame:
-    """The accepted items with missing lists as empty ones."""
+    """The accepted items, missing lists as empty ones and the score as a number."""
     good = decoded.where(F.size("reasons") == 0).select("record.*").drop("_corrupt")
     return good.withColumns(
         {
             "authors": F.coalesce("authors", F.array()),
             "ticker_sentiment": F.coalesce("ticker_sentiment", F.array()),
+            "overall_sentiment_score": F.col("overall_sentiment_score").cast("double"),
         }
     )
 

@@ -10,25 +10,33 @@ from newsmart import schemas as S
 BATCH = "batch_id"
 
 
-def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, except_batch: int | None = None
-) -> DataFrame:
-    """A serving table, without the batch a replay is about to write again.
-
-    A table nobody has written to yet is empty.
-    """
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table; one nobody has written to yet is empty."""
     try:
-        table = spark.read.schema(full).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        table = spark.createDataFrame([], full)
+        return spark.createDataFrame([], schema)
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, except_batch: str | None = None
+) -> DataFrame:
+    """A serving table, without the batch a replay is about to write again."""
+    table = _read(spark, path, T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())]))
     if except_batch is not None:
         table = table.where(F.col(BATCH) != except_batch)
     return table.drop(BATCH)
 
 
+def read_replies(spark: SparkSession, path: str, model_id: str, version: str) -> DataFrame:
+    """Answers of one model and version."""
+    return _read(spark, path, S.REPLY).where(
+        (F.col("model_id") == model_id) & (F.col("analysis_version") == version)
+    )
+
+
 def read_lake(
     spark: SparkSession, path: str, ticker: str | None = None, since: str | None = None
 ) -> DataFrame:

@@ -7,12 +7,23 @@ checkpoint: a slow sink does not hold back another.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from newsmart.operators.annotate import Complete
 from newsmart.operators.lake import lake_rows
+from newsmart.plans.news import annotate_articles
+from newsmart.schemas import ANALYSIS_TOPIC
 from newsmart.sinks.lake import PARTITIONS, lay_out, spread
-from newsmart.sinks.tables import write_topics
+from newsmart.sinks.tables import (
+    DEAD,
+    write_aggregates,
+    write_analyses,
+    write_batch,
+    write_topics,
+)
 
 # Lake flush settings and the aggregate emit interval.
 LAKE_ROWS_PER_FILE = 100
@@ -46,6 +57,60 @@ def to_snapshot(
     return start(writer.foreachBatch(replace), every)
 
 
+def to_aggregates(
+    aggregates: DataFrame, root: str, checkpoint: str, every: str | None = EMIT_INTERVAL
+) -> StreamingQuery:
+    """Append the windows that changed since the last trigger to the aggregate table.
+
+    A window that is still filling is emitted again with its new count, as a
+    further snapshot of it.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        write_aggregates(batch, root, f"aggregates-{batch_id}")
+
+    writer = aggregates.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    return start(writer.foreachBatch(store), every)
+
+
+def to_analyses(
+    processed: DataFrame,
+    root: str,
+    checkpoint: str,
+    make_complete: Callable[[], Complete],
+    model_id: str,
+    every: str | None = None,
+    partitions: int | None = None,
+) -> StreamingQuery:
+    """Annotate processed news and store the analyses next to the articles.
+
+    Bound the rows per trigger at the source (``topics.admission_options``) to
+    keep to the model's request rate.
+    """
+
+    def annotate(batch: DataFrame, batch_id: int) -> None:
+        news, name = batch.persist(), f"annotator-{batch_id}"
+        try:
+            analyses, failed = annotate_articles(
+                news,
+                f"{root}/replies",
+                make_complete,
+                model_id,
+                F.current_timestamp(),
+                partitions=partitions,
+            )
+            orphans = write_analyses(analyses, root, name)
+            failures = failed.select(
+                F.lit(ANALYSIS_TOPIC).alias("topic"), F.col("reply").alias("value"), "reason"
+            )
+            write_batch(orphans.unionByName(failures), f"{root}/{DEAD}", name)
+        finally:
+            news.unpersist()
+
+    writer = processed.writeStream.option("checkpointLocation", checkpoint)
+    return start(writer.foreachBatch(annotate), every)
+
+
 def to_lake(
     processed: DataFrame,
     path: str,
@@ -79,7 +144,7 @@ def to_tables(
     """Store mixed topic records in the serving tables."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_topics(batch, root, batch_id)
+        write_topics(batch, root, f"topics-{batch_id}")
 
     writer = envelopes.writeStream.option("checkpointLocation", checkpoint)
     return start(writer.foreachBatch(store), every)

@@ -12,11 +12,11 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from newsmart import schemas as S
+from newsmart.operators import references
 from newsmart.operators.annotate import (
     ask_model,
     keyword_annotator,
     parse_replies,
-    pending,
     prompts_for,
 )
 from newsmart.plans.news import annotate_articles
@@ -38,14 +38,19 @@ GOOD = {
 }
 
 
+ENTITY = GOOD["entities"][0]
+
+
 def without(*names):
     return {k: v for k, v in GOOD.items() if k not in names}
 
 
 def parsed(spark, *replies):
-    rows = [(f"e{i}", r if r is None or isinstance(r, str) else json.dumps(r), None) for i, r in enumerate(replies)]
-    frame = spark.createDataFrame(rows, "article_event_id string, reply string, error string")
-    good, dead = parse_replies(frame, "m", stamp(NOW))
+    rows = [
+        (f"e{i}", r if isinstance(r, str) else json.dumps(r), None, datetime(2024, 6, 1), "m", "1.0")
+        for i, r in enumerate(replies)
+    ]
+    good, dead = parse_replies(spark.createDataFrame(rows, S.REPLY))
     return good.collect(), [r.reason for r in dead.collect()]
 
 
@@ -82,7 +87,8 @@ def test_confidence_is_a_number_in_range(spark, given, read):
         ({**GOOD, "sentiment": "super_bullish"}, "domain:sentiment"),
         ({**GOOD, "sentiment_confidence": 1.5}, "range:sentiment_confidence"),
         ({**GOOD, "sentiment_confidence": -0.1}, "range:sentiment_confidence"),
-        ({**GOOD, "sentiment_confidence": "very"}, "range:sentiment_confidence"),
+        ({**GOOD, "sentiment_confidence": "very"}, "number:sentiment_confidence"),
+        ({**GOOD, "entities": [{**ENTITY, "relevance_score": "high"}]}, "number:entities"),
         (without("summary"), "missing:summary"),
         (without("sentiment"), "missing:sentiment"),
         (without("sentiment_confidence"), "missing:sentiment_confidence"),
@@ -97,10 +103,24 @@ def test_bad_replies_are_set_aside(spark, reply, reason):
 
 
 def test_fenced_reply(spark):
-    rows, dead = parsed(spark, "Here:\n```json\n" + json.dumps(GOOD) + "\n```", "```" + json.dumps(GOOD) + "```")
+    body = json.dumps(GOOD)
+    rows, dead = parsed(spark, f"Here:\n```json\n{body}\n```", f"```{body}```")
     assert len(rows) == 2 and dead == []
 
 
+def test_quoted_score_is_a_number(spark):
+    (row,), _ = parsed(spark, {**GOOD, "entities": [{**ENTITY, "relevance_score": "0.25"}]})
+    assert row.entities[0].relevance_score == 0.25
+
+
+def stored(replies):
+    return (
+        replies.withColumn("analyzed_at", stamp(NOW))
+        .withColumn("model_id", F.lit("m"))
+        .withColumn("analysis_version", F.lit("1.0"))
+    )
+
+
 def news(spark, n=40):
     return spark.range(n).selectExpr(
         "concat('e', id) as event_id",
@@ -120,7 +140,7 @@ def poisoned():
 
 def test_a_failure_costs_one_article(spark):
     replies = ask_model(prompts_for(news(spark)), poisoned, partitions=2).persist()
-    good, dead = parse_replies(replies, "m", stamp(NOW))
+    good, dead = parse_replies(stored(replies))
     assert good.count() == 38
     assert {r.article_event_id: r.reason for r in dead.collect()} == {
         "e7": "model_error: refused",
@@ -133,17 +153,9 @@ def test_a_model_that_loses_replies_is_caught(spark):
     assert replies.count() == 5
 
 
-def test_known_articles_are_not_asked_again(spark):
-    prompts = prompts_for(news(spark, 4))
-    done = spark.createDataFrame(
-        [("e0", "m", "1.0"), ("e0", "m", "1.0"), ("e1", "other", "1.0"), ("e2", "m", "2.0")],
-        "article_event_id string, model_id string, analysis_version string",
-    )
-    left = pending(prompts, done, "m").collect()
-    assert sorted(r.event_id for r in left) == ["e1", "e2", "e3"]
-
-
-def test_pipeline_asks_once_and_checks_the_article(spark, folder):
+@pytest.fixture
+def counted(spark):
+    """A model that counts the prompts it is sent."""
     calls = spark.sparkContext.accumulator(0)
 
     def make():
@@ -153,16 +165,38 @@ def test_pipeline_asks_once_and_checks_the_article(spark, folder):
 
         return complete
 
-    articles = news(spark, 10)
-    stored = articles.where("event_id <> 'e3'")
-    none_yet = spark.createDataFrame([], S.ANALYSIS)
-    good, dead = annotate_articles(
-        articles, stored, none_yet, make, "m", stamp(NOW), folder, partitions=2
-    )
-    assert good.count() == 9 and good.columns == S.ANALYSIS.fieldNames()
-    assert [(r.article_event_id, r.reason) for r in dead.collect()] == [("e3", "no_such_article")]
-    good.count()
-    assert calls.value == 10
+    return make, calls
+
+
+def test_an_article_is_sent_once(spark, folder, counted):
+    make, calls = counted
+
+    def run(articles, version="1.0"):
+        found, dead = annotate_articles(
+            articles, folder, make, "m", stamp(NOW), version, partitions=2
+        )
+        assert found.columns == S.ANALYSIS.fieldNames() and dead.count() == 0
+        return found.count()
+
+    assert (run(news(spark, 4)), calls.value) == (4, 4)
+    assert (run(news(spark, 4)), calls.value) == (4, 4)  # a replay
+    assert (run(news(spark, 6)), calls.value) == (6, 6)  # two new ones
+    assert (run(news(spark, 6), "2.0"), calls.value) == (6, 12)
+
+
+def test_beyond_the_broadcast_bound(spark, folder, counted, monkeypatch):
+    monkeypatch.setattr(references, "BROADCAST_KEYS", 0)
+    make, calls = counted
+    for articles in (news(spark, 3), news(spark, 5)):
+        found, _ = annotate_articles(articles, folder, make, "m", stamp(NOW))
+    assert (found.count(), calls.value) == (5, 5)
+
+
+def test_a_failed_article_is_not_sent_again(spark, folder):
+    for _ in range(2):
+        found, dead = annotate_articles(news(spark, 8), folder, poisoned, "m", stamp(NOW))
+        assert found.count() == 7
+        assert [r.article_event_id for r in dead.collect()] == ["e7"]
 
 
 @pytest.mark.parametrize(
@@ -177,7 +211,7 @@ def test_pipeline_asks_once_and_checks_the_article(spark, folder):
 def test_keyword_annotator(spark, text, label, confidence):
     articles = spark.createDataFrame([("e", "t", text)], "event_id string, title string, content string")
     replies = ask_model(prompts_for(articles), keyword_annotator(["up"], ["down"]))
-    (row,) = parse_replies(replies, "m", stamp(NOW))[0].collect()
+    (row,) = parse_replies(stored(replies))[0].collect()
     assert (row.sentiment, row.sentiment_confidence) == (label, confidence)
 
 

@@ -96,7 +96,13 @@ def test_one_bad_item_costs_one_item(spark):
 
 def test_wrong_type_and_unreadable_response_are_set_aside(spark):
     decoded = market(spark, {"feed": [item(overall_sentiment_score="high")]}, "rate limited")
-    assert [r.reason for r in rejected(decoded).collect()] == ["malformed"] * 2
+    found = sorted(r.reason for r in rejected(decoded).collect())
+    assert found == ["malformed", "number:overall_sentiment_score"]
+
+
+def test_quoted_score_is_a_number(spark):
+    decoded = market(spark, {"feed": [item(overall_sentiment_score="0.25")]})
+    assert feeds.market_records(decoded).first().overall_sentiment_score == 0.25
 
 
 def test_item_with_incomplete_ticker_is_rejected(spark):

@@ -170,7 +170,7 @@ def test_lookup_by_id_skips_files_without_it(spark, folder):
         "array('A') as companies",
         "timestamp_seconds(id) as processed_at",
     )
-    write_batch(rows, folder, 0, lookup="event_id")
+    write_batch(rows, folder, "b0", lookup="event_id")
     wanted = "00000000-0000-0000-0000-000000000005"
     found = serve.articles_by_ids(spark.read.parquet(folder), [wanted])
     assert [r.event_id for r in found.collect()] == [wanted]

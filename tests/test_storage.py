@@ -146,18 +146,18 @@ def stored(spark, root, name, schema):
 
 def test_insert_ignore_and_replay(spark, folder):
     first = news(spark, processed(1, []), processed(2, [], digest="hash1"), processed(3, []))
-    tables.write_articles(first, folder, 0)
+    tables.write_articles(first, folder, "b0")
     second = news(spark, processed(3, []), processed(4, []), processed(5, [], digest="hash1"))
     for _ in range(2):  # the second time is a replay
-        clashes = tables.write_articles(second, folder, 1)
+        clashes = tables.write_articles(second, folder, "b1")
         articles = stored(spark, folder, tables.ARTICLES, S.PROCESSED_NEWS)
         assert sorted(r.event_id[-1] for r in articles.collect()) == ["1", "3", "4"]
         assert clashes.count() == 0
 
 
 def test_a_taken_id_is_a_dead_letter(spark, folder):
-    tables.write_articles(news(spark, processed(1, [])), folder, 0)
-    (clash,) = tables.write_articles(news(spark, processed(1, [], digest="new")), folder, 1).collect()
+    tables.write_articles(news(spark, processed(1, [])), folder, "b0")
+    (clash,) = tables.write_articles(news(spark, processed(1, [], digest="new")), folder, "b1").collect()
     assert (clash.topic, clash.reason) == (S.PROCESSED_TOPIC, "event_id_taken")
     assert json.loads(clash.value)["content_hash"] == "new"
     articles = stored(spark, folder, tables.ARTICLES, S.PROCESSED_NEWS).collect()
@@ -205,7 +205,7 @@ def test_dispatch_by_topic(spark, folder, envelopes):
     assert (S.AGGREGATION_TOPIC, "AAPL") in keys
     assert (S.ANALYSIS_TOPIC, None) in keys
     for _ in range(2):  # the second time is a replay
-        tables.write_topics(envelopes, folder, 0)
+        tables.write_topics(envelopes, folder, "b0")
         assert stored(spark, folder, tables.ARTICLES, S.PROCESSED_NEWS).count() == 2
         (aggregate,) = stored(spark, folder, tables.AGGREGATES, S.TICKER_AGGREGATE).collect()
         assert (aggregate.window_start, aggregate.dominant_sentiment) == (NOON, "mixed")
@@ -216,3 +216,26 @@ def test_dispatch_by_topic(spark, folder, envelopes):
             (S.ANALYSIS_TOPIC, "no_such_article"),
             (S.PROCESSED_TOPIC, "malformed"),
         ]
+
+
+def analysis(n):
+    return (uuid(n), "s", "mixed", 0.5, [], [], NOON, "m", "1.0")
+
+
+def test_an_analysis_before_its_article_is_stored_later(spark, folder):
+    early = plans.analysis_envelopes(spark.createDataFrame([analysis(1), analysis(2)], S.ANALYSIS))
+    tables.write_topics(early, folder, "b0")
+    assert stored(spark, folder, tables.ANALYSES, S.ANALYSIS).count() == 0
+    tables.write_articles(news(spark, processed(1, [])), folder, "b1")
+    for name in ("retry0", "retry0", "retry1"):
+        tables.retry_orphans(spark, folder, name)
+        (found,) = stored(spark, folder, tables.ANALYSES, S.ANALYSIS).collect()
+        assert found.article_event_id == uuid(1)
+
+
+def test_writers_keep_out_of_each_others_batches(spark, folder):
+    schema = S.TICKER_AGGREGATE
+    row = ("A", "A", NOON, NOON, 1, None, None)
+    for name in ("one-0", "two-0", "one-0"):
+        tables.write_aggregates(spark.createDataFrame([row], schema), folder, name)
+    assert stored(spark, folder, tables.AGGREGATES, schema).count() == 2
