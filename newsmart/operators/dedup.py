@@ -24,8 +24,9 @@ def first_per_key(
 
 
 def dedup_source_url(raw: DataFrame) -> DataFrame:
-    """One row per source URL, the earliest."""
-    return first_per_key(raw, ["source_url"], ["timestamp", "event_id"])
+    """One row per source URL, the earliest; rows without one are kept."""
+    key = F.coalesce("source_url", "event_id")
+    return first_per_key(raw, [key], ["timestamp", "event_id"])
 
 
 def dedup_entry(raw: DataFrame) -> DataFrame:

@@ -50,11 +50,13 @@ def few(keys: DataFrame) -> bool:
 def present(stored: DataFrame, wanted: DataFrame, key: str, small: bool) -> DataFrame:
     """The keys of ``wanted`` that the stored table has.
 
-    While they are few the table is only scanned.  Beyond that both sides are
-    shuffled on the key.
+    While they are few the table is only scanned, and the result, which is no
+    larger, is broadcast in turn.  Beyond that all sides are shuffled on the key.
     """
     keys = wanted.select(key)
-    return stored.select(key).join(F.broadcast(keys) if small else keys, key, "left_semi").distinct()
+    if not small:
+        return stored.select(key).join(keys, key, "left_semi").distinct()
+    return F.broadcast(stored.select(key).join(F.broadcast(keys), key, "left_semi").distinct())
 
 
 _IDENTITY = ["event_id", "content_hash"]
@@ -83,6 +85,15 @@ def _settle(left: DataFrame) -> DataFrame:
     return stored.unionByName(first_per_key(left, ["content_hash"], _ORDER))
 
 
+def _pick(batch: DataFrame, identities: DataFrame, small: bool) -> DataFrame:
+    """The batch's rows with the given identities, one row each."""
+    if small:
+        found = batch.join(F.broadcast(identities), _IDENTITY, "left_semi")
+        return first_per_key(found, _IDENTITY, ["timestamp"])
+    # Repeats of a record go before the shuffle that the join shares.
+    return first_per_key(batch, _IDENTITY, ["timestamp"]).join(identities, _IDENTITY, "left_semi")
+
+
 def insert_ignore(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split a batch into rows to insert and rows that clash.
 
@@ -91,9 +102,9 @@ def insert_ignore(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataF
     A row that brings new content under a taken id is a clash: it is returned
     as such, never stored and never lost.
 
-    The decision is made on (event_id, content_hash, timestamp) alone; the wide
-    rows are shuffled once, after repeats of the same record have been dropped
-    in the map tasks.
+    The decision is made on (event_id, content_hash, timestamp) alone; then the
+    wide rows of either kind are shuffled once, after repeats of the same record
+    have been dropped in the map tasks.
     """
     keys = batch.groupBy(*_IDENTITY).agg(F.min("timestamp").alias("timestamp")).checkpoint()
     small = few(keys)
@@ -113,7 +124,6 @@ def insert_ignore(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataF
     clashing = others.join(brought, "content_hash", "left").where(
         F.col("_by").isNull() | (F.struct("timestamp", "event_id") < F.col("_by"))
     )
-    rows = first_per_key(batch, _IDENTITY, ["timestamp"])
-    inserts = rows.join(winners.select(*_IDENTITY), _IDENTITY, "left_semi")
-    clashes = rows.join(clashing.select(*_IDENTITY), _IDENTITY, "left_semi")
+    inserts = _pick(batch, winners.select(*_IDENTITY), small)
+    clashes = _pick(batch, clashing.select(*_IDENTITY), small)
     return inserts.select(*batch.columns), clashes.select(*batch.columns)
