@@ -29,6 +29,7 @@ from newsmart.operators.dedup import (
 )
 from newsmart.operators.enrich import with_content_hash
 from newsmart.operators.normalize import (
+    entry_link,
     filing_entries_to_raw,
     market_items_to_raw,
     union_sources as select_sources,
@@ -203,7 +204,7 @@ def parse_compact_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_filing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _filings(spark, sf_dir).select(
         "title",
-        F.col("link._href").alias("link"),
+        entry_link(F.col("link")).alias("link"),
         "id",
         "summary",
         (F.col("updated").isNull() & F.col("published").isNotNull()).alias("only_published"),

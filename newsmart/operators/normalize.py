@@ -39,6 +39,16 @@ def market_items_to_raw(items: DataFrame, ingested_at: Column) -> DataFrame:
     )
 
 
+def entry_link(links: Column) -> Column:
+    """Address of the entry's page: the last link that leads to an HTML alternate."""
+    pages = F.filter(
+        links,
+        lambda k: (F.coalesce(k["_rel"], F.lit("alternate")) == "alternate")
+        & F.coalesce(k["_type"], F.lit("text/html")).isin("text/html", "application/xhtml+xml"),
+    )
+    return F.try_element_at(pages, F.lit(-1))["_href"]
+
+
 def entry_key(entry_id: Column, link: Column) -> Column:
     """What identifies a filing entry: its id, else its link, else nothing."""
     return F.coalesce(F.when(entry_id != "", entry_id), link, F.lit(""))
@@ -55,7 +65,7 @@ def filing_entries_to_raw(
     """
     title = F.coalesce("title", F.lit(S.UNTITLED_FILING))
     summary = F.coalesce("summary", F.lit(""))
-    link = F.coalesce(F.col("link")["_href"], F.lit(""))
+    link = F.coalesce(entry_link(F.col("link")), F.lit(""))
     entry_id = F.coalesce("id", F.lit(""))
     key = entry_key(entry_id, link)
     metadata = F.to_json(

@@ -105,7 +105,7 @@ MARKET_ITEM = _struct(
 
 FILING_ENTRY = _struct(
     ("title", _S),
-    ("link", _struct(("_href", _S))),
+    ("link", T.ArrayType(_struct(("_href", _S), ("_rel", _S), ("_type", _S)))),
     ("id", _S),
     ("updated", _S),
     ("published", _S),

@@ -145,7 +145,9 @@ ATOM = """<?xml version="1.0" encoding="UTF-8"?>
   </entry>
   <entry>
     <title>8-K - Unknown Corp (Filer)</title>
+    <link rel="self" href="https://filings.example.org/2.atom"/>
     <link href="https://filings.example.org/2.htm"/>
+    <link rel="enclosure" href="https://filings.example.org/2.pdf"/>
     <id>urn:filing:2</id>
     <updated>2023-12-15T15:00:00-05:00</updated>
     <summary>Filed 8-K.</summary>
@@ -181,7 +183,7 @@ def test_filing_entries(filings):
 def test_entries_with_neither_id_nor_link_are_one(spark):
     entries = spark.createDataFrame(
         [("a", None, None, None, None, "x"), ("b", None, "", None, None, "y")],
-        "title string, link struct<_href:string>, id string, updated string,"
+        "title string, link array<struct<_href:string,_rel:string,_type:string>>, id string, updated string,"
         " published string, summary string",
     )
     raw = filing_entries_to_raw(entries, stamp(NOW))
