@@ -44,6 +44,7 @@ REPLY_RULES = RecordRules(
     domains={"sentiment": S.SENTIMENTS},
     ranges={"sentiment_confidence": (0.0, 1.0)},
     numbers=("sentiment_confidence",),
+    loose=("relevance_score",),
 )
 
 _ANSWER = "article_event_id string, reply string, error string"

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from newsmart import schemas as S
 from newsmart.functions.identity import canonical_uuid, derived_event_id
 
-_CORRUPT = "_corrupt"
+_CORRUPT, _MISTYPED, _UNREADABLE = "_corrupt", "_mistyped", "_unreadable"
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,7 @@ class RecordRules:
     objects: Sequence[str] = ()
     lengths: Mapping[str, int] = field(default_factory=dict)
     numbers: Sequence[str] = ()  # text fields that must read as a number
+    loose: Sequence[str] = ()  # further text fields, at any depth, that any scalar may fill
 
 
 _RAW_REQUIRED = ("timestamp", "source", "title", "content", "tickers")
@@ -138,26 +140,110 @@ def problems(rules: RecordRules, record: Column) -> Column:
     return F.array_compact(F.array(*checks))
 
 
-def _read(value: Column, schema: T.StructType) -> Column:
-    flagged = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    return F.from_json(value, flagged, options)
+# Text is read as a variant first, which keeps the JSON type: a number where
+# text is due is an error, not its digits.
+
+
+def _wire_type(dtype: T.DataType) -> T.DataType:
+    if isinstance(dtype, T.StringType):
+        return T.VariantType()
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_wire_type(dtype.elementType))
+    return dtype
+
+
+def _wire_schema(schema: T.StructType, loose: set[str]) -> T.StructType:
+    fields = []
+    for spec in schema.fields:
+        dtype = spec.dataType
+        if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
+            dtype = T.ArrayType(_wire_schema(dtype.elementType, loose))
+        elif spec.name not in loose:
+            dtype = _wire_type(dtype)
+        fields.append(T.StructField(spec.name, dtype))
+    return T.StructType(fields)
+
+
+def _text(value: Column) -> Column:
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+
+
+def _not_text(value: Column) -> Column:
+    return F.coalesce(~F.schema_of_variant(value).isin("STRING", "VOID"), F.lit(False))
+
+
+def _plain(value: Column, dtype: T.DataType) -> Column:
+    """A wire value with its text as text; null where it is something else."""
+    if isinstance(dtype, T.VariantType):
+        return _text(value)
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda item: _plain(item, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        whole = F.struct(*[_plain(value[f.name], f.dataType).alias(f.name) for f in dtype.fields])
+        return F.when(value.isNotNull(), whole)
+    return value
+
+
+def _mistyped(value: Column, dtype: T.DataType) -> Column | None:
+    """True where text is due and something else is there; None if no text is due."""
+    if isinstance(dtype, T.VariantType):
+        return _not_text(value)
+    if isinstance(dtype, T.ArrayType):
+        element = dtype.elementType
+        if isinstance(element, T.VariantType | T.StructType):
+            return F.coalesce(
+                F.exists(value, lambda item: _mistyped(item, element)), F.lit(False)
+            )
+    if isinstance(dtype, T.StructType):
+        parts = [_mistyped(value[f.name], f.dataType) for f in dtype.fields]
+        return reduce(Column.__or__, [p for p in parts if p is not None], F.lit(False))
+    return None
+
+
+def _once(df: DataFrame, column: Column, name: str) -> DataFrame:
+    """Add a column that is computed once however often it is used.
+
+    It sits in a generator because a filter on its parts would otherwise be
+    pushed below it and compute it once per mention.
+    """
+    return df.select("*", F.explode(F.array(column)).alias(name))
 
 
 def decode(df: DataFrame, rules: RecordRules, value: str = "value") -> DataFrame:
     """Parse ``value`` and add ``record`` and ``reasons``; null values are dropped.
 
-    A null value is a tombstone and carries no record.  The parse sits in a
-    generator because a filter on its result would otherwise be pushed below it
-    and run the parser once per check.
+    A null value is a tombstone and carries no record.
     """
+    schema = _wire_schema(rules.schema, {*rules.objects, *rules.numbers, *rules.loose})
+    flagged = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     live = df.where(F.col(value).isNotNull())
-    parsed = live.select("*", F.explode(F.array(_read(F.col(value), rules.schema))).alias("record"))
+    wire = _once(live, F.from_json(value, flagged, options), "_wire")
+    parts = [(f.name, F.col("_wire")[f.name], f.dataType) for f in schema.fields]
+    mistyped = [(name, _mistyped(part, dtype)) for name, part, dtype in parts]
+    typed = _once(
+        wire,
+        F.struct(
+            *[_plain(part, dtype).alias(name) for name, part, dtype in parts],
+            F.array_compact(
+                F.array(
+                    *[F.when(wrong, F.lit(f"type:{n}")) for n, wrong in mistyped if wrong is not None]
+                )
+            ).alias(_MISTYPED),
+            (
+                ~F.col(value).rlike(r"^\s*\{")
+                | F.col("_wire").isNull()
+                | F.col("_wire")[_CORRUPT].isNotNull()
+            ).alias(_UNREADABLE),
+        ),
+        "record",
+    ).drop("_wire")
     record = F.col("record")
-    unreadable = ~F.col(value).rlike(r"^\s*\{") | record.isNull() | record[_CORRUPT].isNotNull()
-    return parsed.withColumn(
+    return typed.withColumn(
         "reasons",
-        F.when(unreadable, F.array(F.lit("malformed"))).otherwise(problems(rules, record)),
+        F.when(record[_UNREADABLE], F.array(F.lit("malformed")))
+        .when(F.size(record[_MISTYPED]) > 0, record[_MISTYPED])
+        .otherwise(problems(rules, record)),
     )
 
 

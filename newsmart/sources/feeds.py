@@ -38,7 +38,7 @@ def market_items(responses: DataFrame) -> DataFrame:
 
 def market_records(decoded: DataFrame) -> DataFrame:
     """The accepted items, missing lists as empty ones and the score as a number."""
-    good = decoded.where(F.size("reasons") == 0).select("record.*").drop("_corrupt")
+    good = decoded.where(F.size("reasons") == 0).select(*[F.col("record")[n].alias(n) for n in S.MARKET_ITEM.fieldNames()])
     return good.withColumns(
         {
             "authors": F.coalesce("authors", F.array()),

@@ -79,6 +79,10 @@ def test_accepted(spark, value):
         (raw(event_id="42"), "uuid:event_id"),
         (raw(tickers=["AAPL", None]), "element:tickers"),
         (raw(tickers="AAPL"), "malformed"),
+        (raw(title=5), "type:title"),
+        (raw(title={"a": "b"}, content=True), "type:title,type:content"),
+        (raw(tickers=["AAPL", 7]), "type:tickers"),
+        (raw(source_url=1), "type:source_url"),
         (raw(timestamp="tomorrow"), "malformed"),
         (raw(raw_metadata=[1]), "object:raw_metadata"),
         ("not valid json", "malformed"),
@@ -252,6 +256,11 @@ def analysis(**changes):
         (analysis(sentiment="positive"), ["domain:sentiment"]),
         (analysis(model_id="m" * 101), ["length:model_id"]),
         (analysis(entities=[{"name": "A"}]), ["element:entities"]),
+        (analysis(entities=[None]), ["element:entities"]),
+        (
+            analysis(entities=[{"name": 1, "entity_type": "x", "relevance_score": 0.5}]),
+            ["type:entities"],
+        ),
     ],
 )
 def test_analysis_rules(spark, value, reasons):
