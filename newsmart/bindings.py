@@ -175,7 +175,9 @@ def raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         source_url().alias("source_url"),
         F.when(kind != 1, F.substring("text", 1, 60)).alias("title"),
         F.col("text").alias("content"),
-        F.when(kind == 8, F.array(F.lit("AAPL"), F.lit(None))).otherwise(tickers()).alias("tickers"),
+        F.when(kind == 8, F.array(F.lit("AAPL"), F.lit(None)))
+        .otherwise(tickers())
+        .alias("tickers"),
         F.when(kind == 10, F.lit("x")).alias("extra"),
     )
     source = F.get(F.array(*map(F.lit, S.SOURCES)), (F.col("doc_id") % 3).cast("int"))
@@ -188,7 +190,8 @@ def raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 9, F.regexp_replace("v", r"\}$", ',"raw_metadata":"text"}'))
         .otherwise(F.col("v"))
     )
-    return encoded.select("doc_id", value.alias("value"))
+    # Built once, as if read from a topic, whatever is asked of it afterwards.
+    return encoded.select("doc_id", F.explode(F.array(value)).alias("value"))
 
 
 def market_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,15 +265,15 @@ def filing_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format(east, "yyyy-MM-dd'T'HH:mm:ss'-05:00'"))
     )
     name = F.concat_ws("-", "lang", "n_chars")
+    link = F.struct(F.concat(F.lit("https://filings.example.com/"), name).alias("_href"))
+    zulu = F.date_format(timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return table(spark, sf_dir, "documents").select(
         "doc_id",
         F.when(kind != 0, F.concat(F.lit("8-K - filing "), F.col("doc_id"))).alias("title"),
-        F.when(
-            kind != 3, F.struct(F.concat(F.lit("https://filings.example.com/"), name).alias("_href"))
-        ).alias("link"),
+        F.when(kind != 3, link).alias("link"),
         F.when(~kind.isin(2, 3), F.concat(F.lit("urn:filing:"), name)).alias("id"),
         updated.alias("updated"),
-        F.when(kind == 4, F.date_format(timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("published"),
+        F.when(kind == 4, zulu).alias("published"),
         F.when(kind != 1, F.trim(F.regexp_replace("text", r"\s+", " "))).alias("summary"),
     )
 

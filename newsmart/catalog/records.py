@@ -34,12 +34,14 @@ def _processed_at():
     return F.col("timestamp") + F.expr("interval 1 minute")
 
 
+_STAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
+
 # Good raw values (see the binding), with the id each ends up with.
 _VALID = f"""valid as (
   select doc_id, ts, source, source_url, title, content, tickers, content_hash,
          ts + interval 1 minute as processed_at,
          case when doc_id % 20 = 6 then
-           {derived_id_sql('source', 'source_url', "strftime(ts, '%Y-%m-%d %H:%M:%S')", 'title', 'content')}
+           {derived_id_sql('source', 'source_url', _STAMP, 'title', 'content')}
          else event_id end as event_id
   from news where doc_id % 20 not in (0, 1, 2, 3, 4, 5, 7, 8, 9))"""
 
@@ -150,8 +152,9 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def assign_event_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     derived = identity.derived_event_id(F.lit("sec_edgar"), F.col("source_url"))
+    braced = F.concat(F.lit("{"), F.upper("event_id"), F.lit("}"))
     return B.news(spark, sf_dir).select(
-        identity.canonical_uuid(F.concat(F.lit("{"), F.upper("event_id"), F.lit("}"))).alias("given"),
+        identity.canonical_uuid(braced).alias("given"),
         derived.alias("derived"),
     )
 

@@ -40,7 +40,8 @@ def _stream_news(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""with {NEWS}
-    select event_id, {at_sql('ts', 'timestamp')}, source, title, {listed_sql('tickers')} from news"""
+    select event_id, {at_sql('ts', 'timestamp')}, source, title, {listed_sql('tickers')}
+    from news"""
 )
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw topic records followed from the start, checked, and stored once."""
@@ -129,7 +130,8 @@ def stream_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = counted.withColumn("dominant_sentiment", F.lit(None).cast("string"))
     streams.to_aggregates(full, out, f"{out}/checkpoint", None).awaitTermination()
     stored = read_table(spark, f"{out}/{AGGREGATES}", S.TICKER_AGGREGATE)
-    last = stored.groupBy("ticker", "window_start").agg(F.max("article_count").alias("article_count"))
+    count = F.max("article_count").alias("article_count")
+    last = stored.groupBy("ticker", "window_start").agg(count)
     return last.select("ticker", at("window_start"), "article_count")
 
 

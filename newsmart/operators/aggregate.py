@@ -47,13 +47,13 @@ def label_votes(analyses: DataFrame) -> DataFrame:
 
 def _leading_label() -> Column:
     """Label with the most votes, alphabetical on ties; null without votes."""
-    ranked = F.array(
-        *[
-            F.struct(F.col(label).alias("votes"), F.lit(-i).alias("place"), F.lit(label).alias("label"))
-            for i, label in enumerate(_LABELS)
-        ]
-    )
-    best = F.array_max(ranked)
+
+    def entry(place: int, label: str) -> Column:
+        return F.struct(
+            F.col(label).alias("votes"), F.lit(-place).alias("place"), F.lit(label).alias("label")
+        )
+
+    best = F.array_max(F.array(*[entry(i, label) for i, label in enumerate(_LABELS)]))
     return F.when(best["votes"] > 0, best["label"])
 
 

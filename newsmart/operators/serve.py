@@ -36,7 +36,12 @@ def _newest() -> list[Column]:
 
 
 def _page(
-    found: DataFrame, columns: Sequence[str], order: list[Column], time: str, limit: int, offset: int
+    found: DataFrame,
+    columns: Sequence[str],
+    order: list[Column],
+    time: str,
+    limit: int,
+    offset: int = 0,
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of a newest-first order on ``time``."""
     narrow = found.orderBy(*order).limit(offset + limit)
@@ -59,7 +64,7 @@ def latest_for_ticker(articles: DataFrame, ticker: str, limit: int = 5) -> DataF
     """The newest articles that name the ticker."""
     _check("limit", limit, 1, 50)
     found = articles.where(F.array_contains("tickers", ticker))
-    return _page(found, S.ARTICLE_VIEW, _newest(), "timestamp", limit, 0)
+    return _page(found, S.ARTICLE_VIEW, _newest(), "timestamp", limit)
 
 
 def latest_per_ticker(articles: DataFrame, k: int = 5) -> DataFrame:
@@ -127,7 +132,7 @@ def recent_analyses(analyses: DataFrame, limit: int = 10) -> DataFrame:
     """The newest analyses."""
     _check("limit", limit, 1)
     order = [F.desc("analyzed_at"), F.asc("article_event_id"), F.asc("analysis_version")]
-    return _page(analyses, S.ANALYSIS.fieldNames(), order, "analyzed_at", limit, 0)
+    return _page(analyses, S.ANALYSIS.fieldNames(), order, "analyzed_at", limit)
 
 
 def entity_rows(analyses: DataFrame) -> DataFrame:

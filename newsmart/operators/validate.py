@@ -220,16 +220,13 @@ def decode(df: DataFrame, rules: RecordRules, value: str = "value") -> DataFrame
     live = df.where(F.col(value).isNotNull())
     wire = _once(live, F.from_json(value, flagged, options), "_wire")
     parts = [(f.name, F.col("_wire")[f.name], f.dataType) for f in schema.fields]
-    mistyped = [(name, _mistyped(part, dtype)) for name, part, dtype in parts]
+    checks = [(name, _mistyped(part, dtype)) for name, part, dtype in parts]
+    mistyped = [F.when(wrong, F.lit(f"type:{n}")) for n, wrong in checks if wrong is not None]
     typed = _once(
         wire,
         F.struct(
             *[_plain(part, dtype).alias(name) for name, part, dtype in parts],
-            F.array_compact(
-                F.array(
-                    *[F.when(wrong, F.lit(f"type:{n}")) for n, wrong in mistyped if wrong is not None]
-                )
-            ).alias(_MISTYPED),
+            F.array_compact(F.array(*mistyped)).alias(_MISTYPED),
             (
                 ~F.col(value).rlike(r"^\s*\{")
                 | F.col("_wire").isNull()
@@ -250,12 +247,8 @@ def decode(df: DataFrame, rules: RecordRules, value: str = "value") -> DataFrame
 def accepted(decoded: DataFrame, rules: RecordRules) -> DataFrame:
     """Records without a problem, with ids in their canonical spelling."""
     good = decoded.where(F.size("reasons") == 0)
-    return good.select(
-        *[
-            (canonical_uuid(F.col("record")[n]) if n in rules.uuids else F.col("record")[n]).alias(n)
-            for n in rules.schema.fieldNames()
-        ]
-    )
+    fields = [f"record.{n}" for n in rules.schema.fieldNames()]
+    return good.select(*fields).withColumns({n: canonical_uuid(F.col(n)) for n in rules.uuids})
 
 
 def rejected(decoded: DataFrame) -> DataFrame:

@@ -112,10 +112,10 @@ def write_topics(envelopes: DataFrame, root: str, batch_id: str) -> None:
     held = [batch]
 
     def records(topic: str, rules: RecordRules) -> tuple[DataFrame, DataFrame]:
-        decoded = decode(topic_values(batch, topic), rules)
         # Read several times below; decoded once.
-        held.append(accepted(decoded, rules).persist())
-        return held[-1], rejected(decoded).select("topic", "value", "reason")
+        decoded = decode(topic_values(batch, topic), rules).persist()
+        held.append(decoded)
+        return accepted(decoded, rules), rejected(decoded).select("topic", "value", "reason")
 
     try:
         news, bad_news = records(S.PROCESSED_TOPIC, PROCESSED_RULES)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, DataFrameReader, functions as F, types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from newsmart import schemas as S
-from newsmart.operators.validate import MARKET_ITEM_RULES, decode
+from newsmart.operators.validate import MARKET_ITEM_RULES, accepted, decode
 
 Reader = DataFrameReader | DataStreamReader
 
@@ -38,8 +38,7 @@ def market_items(responses: DataFrame) -> DataFrame:
 
 def market_records(decoded: DataFrame) -> DataFrame:
     """The accepted items, missing lists as empty ones and the score as a number."""
-    good = decoded.where(F.size("reasons") == 0).select(*[F.col("record")[n].alias(n) for n in S.MARKET_ITEM.fieldNames()])
-    return good.withColumns(
+    return accepted(decoded, MARKET_ITEM_RULES).withColumns(
         {
             "authors": F.coalesce("authors", F.array()),
             "ticker_sentiment": F.coalesce("ticker_sentiment", F.array()),

@@ -24,7 +24,9 @@ def broker_topics(
     return reader.load().select("topic", F.expr("string(key)"), F.expr("string(value)"))
 
 
-def landed_topics(spark: SparkSession, path: str, streaming: bool = True, **options: str) -> DataFrame:
+def landed_topics(
+    spark: SparkSession, path: str, streaming: bool = True, **options: str
+) -> DataFrame:
     """Envelopes from a Parquet folder, as (topic, key, value)."""
     reader = spark.readStream if streaming else spark.read
     return reader.schema(S.ENVELOPE).options(**options).parquet(path)
