@@ -26,6 +26,7 @@ from newsmart.operators.dedup import (
     dedup_content as first_per_content,
     dedup_entry,
     dedup_source_url,
+    stream_dedup,
 )
 from newsmart.operators.enrich import with_content_hash
 from newsmart.operators.normalize import (
@@ -38,6 +39,7 @@ from newsmart.operators.validate import rejected
 from newsmart.plans.news import raw_envelopes
 from newsmart.session import scratch_path
 from newsmart.sources import feeds
+from newsmart.streaming import streams
 
 # Ingest time of every query here: a parameter, so results repeat.
 INGESTED = "2024-03-01 00:00:00"
@@ -62,12 +64,16 @@ def _market_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market_items_to_raw(feeds.market_records(_market(spark, sf_dir)), _ingested())
 
 
-def _filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Filing entries, written as Atom files and read back."""
+def _land_filings(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "filings")
     entries = B.filing_entries(spark, sf_dir).drop("doc_id")
     entries.write.format("xml").options(rootTag="feed", rowTag="entry").save(path)
-    return feeds.filing_entries(spark.read, path)
+    return path
+
+
+def _filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filing entries, read from a folder of Atom files."""
+    return feeds.filing_entries(spark.read, _land_filings(spark, sf_dir))
 
 
 def _filing_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,6 +284,30 @@ def publish_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.select("topic", "key", F.get_json_object("value", "$.event_id").alias("event_id"))
 
 
+@query(
+    f"""with {_ITEMS}, {_MARKET_RAW}, {_ENTRIES}, {_FILING_RAW}
+    select distinct event_id, source, source_url from market
+    union all
+    select distinct event_id, source, null from filings"""
+)
+def stream_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feed folders followed, normalised, united and stored once per article."""
+    out = scratch_path(spark, "feeds")
+    responses = feeds.market_responses(spark.readStream, _land_market(spark, sf_dir))
+    items = feeds.market_records(feeds.market_items(responses))
+    entries = feeds.filing_entries(spark.readStream, _land_filings(spark, sf_dir))
+    frames = {
+        "alpha_vantage": market_items_to_raw(items, _ingested()),
+        "sec_edgar": filing_entries_to_raw(entries, _ingested(), B.WATCHLIST),
+    }
+    united = stream_dedup(select_sources(frames, "real"), "event_id", "1 hour")
+    streams.to_folder(united, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    stored = spark.read.schema(S.RAW_NEWS).parquet(f"{out}/data")
+    # Which of two readings survives is open, and with it whether it had a link.
+    link = F.when(F.col("source") == "alpha_vantage", F.col("source_url"))
+    return stored.select("event_id", "source", link.alias("source_url"))
+
+
 @query(
     f"""with {NEWS}, {_ITEMS}, {_MARKET_RAW}, {_ENTRIES}, {_FILING_RAW}, unioned as (
       select event_id, ts, source, source_url, title, tickers, raw_metadata from market

@@ -74,7 +74,8 @@ def ask_model(
 ) -> DataFrame:
     """Raw replies for (event_id, prompt) rows: reply, or error.
 
-    ``make_complete`` runs once per task and may open a client.  A batch that
+    ``make_complete`` runs once per task and may open a client; it decides how a
+    prompt is sent, usually after ``SYSTEM_PROMPT``.  A batch that
     fails is repeated one article at a time, so a failure costs one article.
     Model calls dominate, so ``partitions`` spreads articles evenly by id; the
     spread is by hash and comes out the same when a task is run again.

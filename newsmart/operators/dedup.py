@@ -43,13 +43,13 @@ def stream_dedup(df: DataFrame, key: str, delay: str, salts: int = 16) -> DataFr
     """One row per key on a stream, with state kept for ``delay`` of event time.
 
     A window cannot pre-aggregate on a stream, so the first pass spreads each
-    key over ``salts`` tasks and the second joins what is left: a hot key
+    key over ``salts`` tasks by the input partition its rows come from (the same
+    when a task is run again), and the second joins what is left: a hot key
     reaches its final task at most ``salts`` times per ``delay``.  ``salts=1``
     is the single pass.
     """
     marked = df.withWatermark("timestamp", delay)
     if salts > 1:
-        salt = F.pmod(F.xxhash64("event_id"), F.lit(salts))
-        marked = marked.withColumn("_salt", salt)
+        marked = marked.withColumn("_salt", F.spark_partition_id() % salts)
         marked = marked.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
     return marked.dropDuplicatesWithinWatermark([key])
