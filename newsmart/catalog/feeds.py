@@ -300,8 +300,9 @@ def stream_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         "alpha_vantage": market_items_to_raw(items, _ingested()),
         "sec_edgar": filing_entries_to_raw(entries, _ingested(), B.WATCHLIST),
     }
-    united = stream_dedup(select_sources(frames, "real"), "event_id", "1 hour")
-    streams.to_folder(united, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    united = select_sources(frames, "real").withColumn("arrived", F.current_timestamp())
+    once = stream_dedup(united, "event_id", "1 hour", "arrived").drop("arrived")
+    streams.to_folder(once, f"{out}/data", f"{out}/checkpoint").awaitTermination()
     stored = spark.read.schema(S.RAW_NEWS).parquet(f"{out}/data")
     # Which of two readings survives is open, and with it whether it had a link.
     link = F.when(F.col("source") == "alpha_vantage", F.col("source_url"))

@@ -61,7 +61,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     hashed = with_content_hash(_stream_news(spark, sf_dir)).select(
         "event_id", "timestamp", "content_hash"
     )
-    distinct = dedup_stream(hashed, "content_hash", "1 hour")
+    distinct = dedup_stream(hashed, "content_hash", "1 hour", "timestamp")
     streams.to_folder(distinct, f"{out}/data", f"{out}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{out}/data").select("content_hash")
 

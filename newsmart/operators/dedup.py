@@ -39,8 +39,13 @@ def dedup_content(news: DataFrame) -> DataFrame:
     return first_per_key(news, ["content_hash"], ["timestamp", "event_id"])
 
 
-def stream_dedup(df: DataFrame, key: str, delay: str, salts: int = 16) -> DataFrame:
-    """One row per key on a stream, with state kept for ``delay`` of event time.
+def stream_dedup(
+    df: DataFrame, key: str, delay: str, time: str, salts: int = 16
+) -> DataFrame:
+    """One row per key on a stream, with state kept for ``delay`` of ``time``.
+
+    Spark drops rows that are later than the delay.  With an arrival time there
+    are none; with the event time an article published long ago is one.
 
     A window cannot pre-aggregate on a stream, so the first pass spreads each
     key over ``salts`` tasks by the input partition its rows come from (the same
@@ -48,7 +53,7 @@ def stream_dedup(df: DataFrame, key: str, delay: str, salts: int = 16) -> DataFr
     reaches its final task at most ``salts`` times per ``delay``.  ``salts=1``
     is the single pass.
     """
-    marked = df.withWatermark("timestamp", delay)
+    marked = df.withWatermark(time, delay)
     if salts > 1:
         marked = marked.withColumn("_salt", F.spark_partition_id() % salts)
         marked = marked.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")

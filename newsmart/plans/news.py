@@ -30,11 +30,20 @@ def process_news(raw: DataFrame, processed_at: Column) -> DataFrame:
 
 
 def process_stream(
-    raw: DataFrame, processed_at: Column, delay: str = "1 hour", salts: int = 16
+    raw: DataFrame,
+    processed_at: Column,
+    delay: str = "1 hour",
+    time: str = "processed_at",
+    salts: int = 16,
 ) -> DataFrame:
-    """The same on a stream; repeats are recognised within ``delay``."""
-    hashed = with_content_hash(raw)
-    return to_processed(stream_dedup(hashed, "content_hash", delay, salts), processed_at)
+    """The same on a stream; repeats are recognised within ``delay`` of ``time``.
+
+    By processing time nothing is late.  ``time="timestamp"`` carries the event
+    time on, which event-time windows further down the stream need.
+    """
+    hashed = with_content_hash(raw).withColumn("processed_at", processed_at)
+    kept = stream_dedup(hashed, "content_hash", delay, time, salts)
+    return to_processed(kept, F.col("processed_at"))
 
 
 def aggregate_news(processed: DataFrame, analyses: DataFrame, duration: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsmart import schemas as S
 from newsmart.functions.wire import envelope
-from newsmart.operators.aggregate import tumbling_counts
+from newsmart.operators.aggregate import snapshot_by_emit_interval, tumbling_counts
 from newsmart.operators.dedup import stream_dedup
 from newsmart.plans import news as plans
 from newsmart.sinks import tables
@@ -46,9 +46,9 @@ def records(spark, path):
     return plans.raw_records(landed_topics(spark, path))[0]
 
 
-def processed(spark, path, salts=16):
+def processed(spark, path, salts=16, time="processed_at"):
     later = F.col("timestamp") + F.expr("interval 1 minute")
-    return plans.process_stream(records(spark, path), later, "1 hour", salts)
+    return plans.process_stream(records(spark, path), later, "1 hour", time, salts)
 
 
 def test_a_restart_goes_on_where_it_stopped(spark, folder):
@@ -80,7 +80,7 @@ def test_state_is_given_up_after_the_delay(spark, folder):
     for first, last in [(0, 3), (2880, 2883), (2883, 2886)]:
         send(raw(spark, first, last, contents=1), f"{folder}/topic")
         hashed = records(spark, f"{folder}/topic").withColumnRenamed("content", "content_hash")
-        deduped = stream_dedup(hashed, "content_hash", "10 minutes", 4)
+        deduped = stream_dedup(hashed, "content_hash", "10 minutes", "timestamp", 4)
         streams.to_folder(deduped, out, checkpoint).awaitTermination()
     kept = [r.timestamp.day for r in spark.read.parquet(out).collect()]
     assert sorted(kept) == [1, 3]
@@ -89,7 +89,7 @@ def test_state_is_given_up_after_the_delay(spark, folder):
 def test_dedup_then_windows_in_one_stream(spark, folder):
     """Final windows come out once the watermark has passed them."""
     send(raw(spark, 0, 300, contents=10**6), f"{folder}/topic")
-    counted = tumbling_counts(processed(spark, f"{folder}/topic"))
+    counted = tumbling_counts(processed(spark, f"{folder}/topic", time="timestamp"))
     streams.to_folder(counted, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     found = spark.read.parquet(f"{folder}/out").collect()
     closed = {r.window_start.hour for r in found}
@@ -98,6 +98,27 @@ def test_dedup_then_windows_in_one_stream(spark, folder):
     assert {r.article_count for r in found if r.ticker == "V"} == {20}
 
 
+def test_dedup_then_emit_interval_in_one_stream(spark, folder):
+    send(raw(spark, 0, 60, contents=10**6), f"{folder}/topic")
+    counted = snapshot_by_emit_interval(processed(spark, f"{folder}/topic", salts=2))
+    streams.to_aggregates(counted, folder, f"{folder}/checkpoint", None).awaitTermination()
+    stored = read_table(spark, f"{folder}/{tables.AGGREGATES}", S.TICKER_AGGREGATE).collect()
+    assert sum(r.article_count for r in stored if r.ticker == "AAPL") == 40
+    assert sum(r.article_count for r in stored if r.ticker == "V") == 20
+    assert all((r.window_end - r.window_start).seconds <= 300 for r in stored)
+
+
+def test_old_articles_are_not_late_by_arrival(spark, folder):
+    """The second poll brings articles days older than the first."""
+    for first in (5000, 0):
+        send(raw(spark, first, first + 5, contents=10**6), f"{folder}/topic")
+        news = plans.process_stream(
+            records(spark, f"{folder}/topic"), F.current_timestamp(), "1 minute"
+        )
+        streams.to_folder(news, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    assert spark.read.parquet(f"{folder}/out").count() == 10
+
+
 def test_fan_out_has_independent_progress(spark, folder):
     send(raw(spark, 0, 20), f"{folder}/raw")
     later = F.col("timestamp") + F.expr("interval 1 minute")
