@@ -23,12 +23,15 @@ def write_lake(
 ) -> None:
     """File each article once per ticker occurrence under date and ticker.
 
-    ``rows_per_file`` caps a file (0: no cap).
+    ``rows_per_file`` caps a file (0: no cap).  ``mode="overwrite"`` replaces the
+    date and ticker folders the batch has rows for and no others, so a job over
+    whole days can be run again.
     """
     (
         lay_out(lake_rows(processed))
         .write.partitionBy(*PARTITIONS)
         .option("maxRecordsPerFile", rows_per_file)
+        .option("partitionOverwriteMode", "dynamic")
         .mode(mode)
         .parquet(path)
     )

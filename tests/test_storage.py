@@ -88,6 +88,15 @@ def test_empty_batch_writes_no_partition(spark, folder):
     assert glob.glob(f"{folder}/date=*") == []
 
 
+def test_a_day_can_be_written_again(spark, folder):
+    first = news(spark, processed(1, ["A"]), processed(2, ["A"], NOON + timedelta(days=1)))
+    write_lake(first, folder)
+    for _ in range(2):
+        write_lake(news(spark, processed(3, ["A"])), folder, mode="overwrite")
+        found = {(str(r.date), r.event_id[-1]) for r in read_lake(spark, folder).collect()}
+        assert found == {("2024-06-15", "3"), ("2024-06-16", "2")}
+
+
 def test_rows_per_file(spark, folder):
     write_lake(news(spark, *[processed(i, ["A"]) for i in range(25)]), folder, rows_per_file=10)
     assert len(glob.glob(f"{folder}/date=2024-06-15/ticker=A/*.parquet")) == 3
