@@ -115,6 +115,12 @@ def _entities(record: Column) -> Column:
     )
 
 
+def _written_null(name: str) -> Column:
+    """True where the reply spells the field out as null; a missing one is fine."""
+    field = F.try_variant_get(F.try_parse_json("value"), f"$.{name}", "variant")
+    return F.coalesce(F.is_variant_null(field), F.lit(False))
+
+
 def parse_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored replies as (analyses, dead letters)."""
     answered = replies.withColumn("value", unfence_json(F.coalesce("reply", F.lit(""))))
@@ -127,7 +133,10 @@ def parse_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     reasons = (
         F.when(F.col("error").isNotNull(), F.array("error"))
-        .when((F.size("reasons") == 0) & unscored, F.array(F.lit("number:entities")))
+        .when(F.size("reasons") > 0, F.col("reasons"))
+        .when(unscored, F.array(F.lit("number:entities")))
+        .when(_written_null("entities"), F.array(F.lit("null:entities")))
+        .when(_written_null("key_topics"), F.array(F.lit("null:key_topics")))
         .otherwise(F.col("reasons"))
     )
     checked = decoded.withColumn("reasons", reasons)

@@ -94,6 +94,8 @@ def test_confidence_is_a_number_in_range(spark, given, read):
         (without("sentiment_confidence"), "missing:sentiment_confidence"),
         ({**GOOD, "entities": [{"name": "A"}]}, "element:entities"),
         ({**GOOD, "entities": "none"}, "malformed"),
+        ({**GOOD, "entities": None}, "null:entities"),
+        ({**GOOD, "key_topics": None}, "null:key_topics"),
         ("no json here", "malformed"),
     ],
 )
