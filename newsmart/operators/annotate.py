@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newsmart import schemas as S
 from newsmart.functions.text import render_prompt, unfence_json
-from newsmart.operators.validate import RecordRules, decode
+from newsmart.operators.validate import RecordRules, decode, once
 
 # Workers get these functions with the job and need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -123,8 +123,8 @@ def _written_null(name: str) -> Column:
 
 def parse_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored replies as (analyses, dead letters)."""
-    answered = replies.withColumn("value", unfence_json(F.coalesce("reply", F.lit(""))))
-    decoded = decode(answered, REPLY_RULES)
+    answered = once(replies, unfence_json(F.coalesce("reply", F.lit(""))), "value")
+    decoded = decode(answered, REPLY_RULES).withColumnRenamed("reasons", "_found")
     record = F.col("record")
     unscored = F.exists(
         F.coalesce(record["entities"], F.array()),
@@ -133,13 +133,13 @@ def parse_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     reasons = (
         F.when(F.col("error").isNotNull(), F.array("error"))
-        .when(F.size("reasons") > 0, F.col("reasons"))
+        .when(F.size("_found") > 0, F.col("_found"))
         .when(unscored, F.array(F.lit("number:entities")))
         .when(_written_null("entities"), F.array(F.lit("null:entities")))
         .when(_written_null("key_topics"), F.array(F.lit("null:key_topics")))
-        .otherwise(F.col("reasons"))
+        .otherwise(F.col("_found"))
     )
-    checked = decoded.withColumn("reasons", reasons)
+    checked = once(decoded, reasons, "reasons")
     analyses = checked.where(F.size("reasons") == 0).select(
         "article_event_id",
         record["summary"].alias("summary"),

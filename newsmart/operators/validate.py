@@ -200,7 +200,7 @@ def _mistyped(value: Column, dtype: T.DataType) -> Column | None:
     return None
 
 
-def _once(df: DataFrame, column: Column, name: str) -> DataFrame:
+def once(df: DataFrame, column: Column, name: str) -> DataFrame:
     """Add a column that is computed once however often it is used.
 
     It sits in a generator because a filter on its parts would otherwise be
@@ -218,11 +218,11 @@ def decode(df: DataFrame, rules: RecordRules, value: str = "value") -> DataFrame
     flagged = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     live = df.where(F.col(value).isNotNull())
-    wire = _once(live, F.from_json(value, flagged, options), "_wire")
+    wire = once(live, F.from_json(value, flagged, options), "_wire")
     parts = [(f.name, F.col("_wire")[f.name], f.dataType) for f in schema.fields]
     checks = [(name, _mistyped(part, dtype)) for name, part, dtype in parts]
     mistyped = [F.when(wrong, F.lit(f"type:{n}")) for n, wrong in checks if wrong is not None]
-    typed = _once(
+    typed = once(
         wire,
         F.struct(
             *[_plain(part, dtype).alias(name) for name, part, dtype in parts],
