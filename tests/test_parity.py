@@ -8,6 +8,7 @@ import pytest
 from parity import connect, oracle_rows, spark_rows
 
 import __spark_entry__ as entry
+from newsmart.catalog import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
 
@@ -17,10 +18,9 @@ def oracle():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, oracle, name):
-    sql = entry.oracle_sql()[name]
-    assert spark_rows(entry.queries()[name](spark, SF_DIR)) == oracle_rows(oracle, sql)
+    assert spark_rows(QUERIES[name](spark, SF_DIR)) == oracle_rows(oracle, ORACLES[name])
 
 
 def test_entry(spark):
