@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import rules
+from newsmart.llm import packing, rules
 from newsmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of every document goes."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition measures and verdict of every document."""
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op8_quality_rules,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_sum_of_squares_packing, op8_quality_rules)}
 ORACLES: dict[str, str] = {}
