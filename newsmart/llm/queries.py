@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import packing, rules
+from newsmart.llm import packing, rules, urls
 from newsmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,10 +17,15 @@ def op4_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's address."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition measures and verdict of every document."""
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_sum_of_squares_packing, op8_quality_rules)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_sum_of_squares_packing, op6_url_filters, op8_quality_rules)}
+ORACLES: dict[str, str] = {"op6_url_filters": urls.ORACLE_SQL}
