@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import html, packing, rules, urls
+from newsmart.llm import html, packing, pii, rules, urls
 from newsmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,10 +27,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in place of personal data."""
+    return pii.replace(table(spark, sf_dir, "documents"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_sum_of_squares_packing, op6_url_filters, op8_quality_rules, op10_html_extraction)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_sum_of_squares_packing, op6_url_filters, op8_quality_rules, op9_surrogates, op10_html_extraction)}
 ORACLES: dict[str, str] = {"op6_url_filters": urls.ORACLE_SQL}
