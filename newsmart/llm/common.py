@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from newsmart.llm.words import mix
 from newsmart.session import configure, scratch_path
 
 #: Rows of one Arrow batch, so that a batch of long texts stays small.
@@ -66,15 +67,12 @@ _PROBES = 3
 
 
 def _mixed(keys: np.ndarray) -> np.ndarray:
-    from newsmart.llm.words import mix
+    return mix(np.ascontiguousarray(keys).view(np.uint64))
 
-    return mix(keys.astype(np.int64).view(np.uint64))
 
-
-def _bits(keys: np.ndarray, log2: int) -> list[np.ndarray]:
-    mixed, mask = _mixed(keys), np.uint64((1 << log2) - 1)
+def _probe(mixed: np.ndarray, i: int, log2: int) -> np.ndarray:
     step = (mixed >> np.uint64(32)) | np.uint64(1)
-    return [(mixed + np.uint64(i) * step) & mask for i in range(_PROBES)]
+    return (mixed + np.uint64(i) * step) & np.uint64((1 << log2) - 1)
 
 
 class Bloom:
@@ -88,9 +86,13 @@ class Bloom:
         self.log2, self.cells = log2, cells
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
-        found = np.ones(len(keys), bool)
-        for at in _bits(keys, self.log2):
-            found &= (self.cells[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        mixed = _mixed(keys)
+        left = np.arange(len(mixed))
+        for i in range(_PROBES):
+            at = _probe(mixed[left], i, self.log2)
+            left = left[(self.cells[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        found = np.zeros(len(mixed), bool)
+        found[left] = True
         return found
 
 
@@ -105,7 +107,8 @@ def bloom_of(frame: DataFrame, key: str) -> Bloom:
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = np.zeros(1 << (log2 - 3), np.uint8)
         for batch in batches:
-            for at in _bits(batch["key"].to_numpy(np.int64), log2):
+            mixed = _mixed(batch["key"].to_numpy(np.int64))
+            for at in (_probe(mixed, i, log2) for i in range(_PROBES)):
                 np.bitwise_or.at(own, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
         words = own.view(np.int64)
         at = np.flatnonzero(words)

@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import html, packing, pii, rules, urls
+from newsmart.llm import decontaminate, html, packing, pii, rules, urls
 from newsmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds."""
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each piece of every document goes."""
     return packing.packed(table(spark, sf_dir, "documents"))
@@ -37,5 +42,5 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_sum_of_squares_packing, op6_url_filters, op8_quality_rules, op9_surrogates, op10_html_extraction)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_spaced_seed_decontamination, op4_sum_of_squares_packing, op6_url_filters, op8_quality_rules, op9_surrogates, op10_html_extraction)}
 ORACLES: dict[str, str] = {"op6_url_filters": urls.ORACLE_SQL}

@@ -83,6 +83,18 @@ def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def masked_hashes(words: np.ndarray, places: tuple[int, ...]) -> np.ndarray:
+    """One hash per window, of the words at ``places`` alone."""
+    n = len(words) - places[-1]
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out, factor = np.zeros(n, np.uint64), 1
+    for j in places:
+        factor = factor * 0xC2B2AE3D27D4EB4F % 2**64
+        out += words[j : j + n] * _U(factor)
+    return mix(out + _U(sum(1 << j for j in places)))
+
+
 def repeated(values: np.ndarray) -> np.ndarray:
     """Which values occur twice or more, the first included."""
     order = np.sort(values)
