@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import decontaminate, html, packing, pii, rules, urls
+from newsmart.llm import decontaminate, html, lines, packing, pii, rules, urls
 from newsmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_site_spread_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that many sites share."""
+    return lines.dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds."""
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -42,5 +47,5 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_spaced_seed_decontamination, op4_sum_of_squares_packing, op6_url_filters, op8_quality_rules, op9_surrogates, op10_html_extraction)}
-ORACLES: dict[str, str] = {"op6_url_filters": urls.ORACLE_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_site_spread_line_dedup, op3_spaced_seed_decontamination, op4_sum_of_squares_packing, op6_url_filters, op8_quality_rules, op9_surrogates, op10_html_extraction)}
+ORACLES: dict[str, str] = {"op2_site_spread_line_dedup": lines.ORACLE_SQL, "op6_url_filters": urls.ORACLE_SQL}
