@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import decontaminate, html, lines, packing, pii, rules, urls
+from newsmart.llm import decontaminate, html, licenses, lines, packing, pii, rules, urls
 from newsmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document."""
+    return licenses.find(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition measures and verdict of every document."""
     return rules.judge(table(spark, sf_dir, "documents"))
@@ -47,5 +52,5 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_site_spread_line_dedup, op3_spaced_seed_decontamination, op4_sum_of_squares_packing, op6_url_filters, op8_quality_rules, op9_surrogates, op10_html_extraction)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_site_spread_line_dedup, op3_spaced_seed_decontamination, op4_sum_of_squares_packing, op6_url_filters, op7_license_scan, op8_quality_rules, op9_surrogates, op10_html_extraction)}
 ORACLES: dict[str, str] = {"op2_site_spread_line_dedup": lines.ORACLE_SQL, "op6_url_filters": urls.ORACLE_SQL}
