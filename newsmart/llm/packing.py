@@ -18,6 +18,7 @@ gives no piece.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -43,10 +44,16 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: A full stop or comma that ends a word of letters is a token run of its own.
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
+
+
 class WordIds:
     """Ids of whole texts from ids of words, each word tokenized once.
 
-    Right for tokenizers that drop white space and never join across it.
+    Right for tokenizers that lower the case, drop white space and never join
+    across it or from letters to other signs.  A text that may hold a special
+    token is tokenized as it stands.
     """
 
     def __init__(self, path: str):
@@ -65,7 +72,8 @@ class WordIds:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Per text its ids, little-endian unsigned 32-bit."""
-        split = [t.encode().split() for t in texts]
+        plain = [b"" if "<|" in t else _STOP.sub(rb" \1", t.encode().lower()) for t in texts]
+        split = [t.split() for t in plain]
         known = self.cache
         unknown = list({w for words in split for w in words if w not in known})
         own: dict[bytes, bytes] = {}
@@ -73,7 +81,13 @@ class WordIds:
             own |= self._learn(unknown[at : at + 20_000])
         known.update(dict(list(own.items())[: CACHE_WORDS - len(known)]))
         look = own.get
-        return [b"".join([known.get(w) or look(w, b"") for w in words]) for words in split]
+        return [
+            self._whole(t) if "<|" in t else b"".join([known.get(w) or look(w, b"") for w in words])
+            for t, words in zip(texts, split, strict=True)
+        ]
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 _LOADED: dict[str, WordIds] = {}

@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import decontaminate, html, licenses, lines, packing, pii, rules, urls
+from newsmart.llm import decontaminate, html, licenses, lines, packing, pii, quality, rules, urls
 from newsmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_empirical_bayes_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality, toxicity and verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_site_spread_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that many sites share."""
     return lines.dedup(table(spark, sf_dir, "documents"))
@@ -52,5 +57,5 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_site_spread_line_dedup, op3_spaced_seed_decontamination, op4_sum_of_squares_packing, op6_url_filters, op7_license_scan, op8_quality_rules, op9_surrogates, op10_html_extraction)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_empirical_bayes_quality, op2_site_spread_line_dedup, op3_spaced_seed_decontamination, op4_sum_of_squares_packing, op6_url_filters, op7_license_scan, op8_quality_rules, op9_surrogates, op10_html_extraction)}
 ORACLES: dict[str, str] = {"op2_site_spread_line_dedup": lines.ORACLE_SQL, "op6_url_filters": urls.ORACLE_SQL}
