@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import decontaminate, html, licenses, lines, packing, pii, quality, rules, urls
+from newsmart.llm import decontaminate, html, jaccard, licenses, lines, packing, pii, quality, rules, urls
 from newsmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op4_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op5_heavy_light_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under shared shingles."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's address."""
     return urls.judge(table(spark, sf_dir, "pages"))
@@ -57,5 +62,5 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_empirical_bayes_quality, op2_site_spread_line_dedup, op3_spaced_seed_decontamination, op4_sum_of_squares_packing, op6_url_filters, op7_license_scan, op8_quality_rules, op9_surrogates, op10_html_extraction)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_empirical_bayes_quality, op2_site_spread_line_dedup, op3_spaced_seed_decontamination, op4_sum_of_squares_packing, op5_heavy_light_jaccard_join, op6_url_filters, op7_license_scan, op8_quality_rules, op9_surrogates, op10_html_extraction)}
 ORACLES: dict[str, str] = {"op2_site_spread_line_dedup": lines.ORACLE_SQL, "op6_url_filters": urls.ORACLE_SQL}
