@@ -107,25 +107,18 @@ def dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     )
     lost = stored(lost.withColumnRenamed("id", "_id"), "lost-lines")
     joined = docs.join(lost, docs["doc_id"].eqNullSafe(lost["_id"]), "left")
+    gone = lost["_lost"]
     kept = F.filter(
-        F.transform(_split(F.col("text")), lambda line, i: F.struct(line.alias("line"), i.alias("i"))),
-        lambda x: ~F.array_contains(
-            F.col("_lost"), F.struct(x["i"].alias("place"), _key(_bare(x["line"])).alias("key"))
-        ),
+        F.transform(_split(docs["text"]), lambda line, i: F.struct(line.alias("line"), i.alias("i"))),
+        lambda x: ~F.array_contains(gone, F.struct(x["i"].alias("place"), _key(_bare(x["line"])).alias("key"))),
+    )
+    changed = gone.isNotNull() & docs["text"].isNotNull()
+    new = {"text": F.array_join(F.transform(kept, lambda x: x["line"]), "\n")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length(new["text"]).cast(docs.schema["n_chars"].dataType)
+    return joined.select(
+        *[F.when(changed, new[c]).otherwise(docs[c]).alias(c) if c in new else docs[c] for c in docs.columns]
     )
-    text = F.when(
-        F.col("_lost").isNull() | F.col("text").isNull(), F.col("text")
-    ).otherwise(F.array_join(F.transform(kept, lambda x: x["line"]), "\n"))
-    out = joined.withColumn("_text", text)
-    columns = [
-        F.col("_text").alias(c)
-        if c == "text"
-        else F.when(F.col("_lost").isNull(), docs[c]).otherwise(F.length("_text")).cast(docs.schema[c].dataType).alias(c)
-        if c == "n_chars"
-        else docs[c]
-        for c in docs.columns
-    ]
-    return out.select(*columns)
 
 
 ORACLE_SQL = f"""
