@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from newsmart.llm import packing
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(packing.default_tokenizer())
+
+
+TEXTS = [
+    "The cat, the dog. THE END",
+    "a<|endoftext|>b <|startoftext|>",
+    "it's they'LL. x.y q,",
+    "Ångström é. 12.5 … İ",
+    "",
+    None,
+    "w" * 30_000,
+    "many words here. " * 4000,
+    "tab\tnew\nline\x0bfeed\x0c \x85 \xa0 \x1c.",
+]
+
+
+def test_pieces_round_trip(spark, documents, tokenizer):
+    rows = list(enumerate(TEXTS)) + [(None, "null id"), (0, TEXTS[0])]
+    got = packing.packed(documents(rows), capacity=512).toPandas()
+    for i, text in enumerate(TEXTS):
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        mine = got[got.doc_id == i].sort_values(["piece", "sequence_id"])
+        copies = 2 if i == 0 else 1
+        assert mine.length.sum() == copies * len(ids)
+        for p in mine.itertuples():
+            assert zlib.crc32(ids[p.start : p.start + p.length].tobytes()) == p.ids_crc32
+            assert p.length == 512 or p.start + p.length == len(ids)
+    assert got.doc_id.isna().sum() == 1
+    for _, s in got.sort_values("offset").groupby("sequence_id"):
+        assert list(s.offset) == [0, *np.cumsum(s.length)[:-1]]
+        assert s.length.sum() <= 512
+
+
+def test_sum_of_squares_is_the_rule():
+    """Each step against the definition, computed from scratch."""
+    draw = random.Random(1)
+    lengths = np.array([draw.randint(1, 40) for _ in range(120)])
+    sequence, offset = packing.sum_of_squares(lengths, 40)
+    room: dict[int, int] = {}
+    for i in np.argsort(-lengths, kind="stable"):
+        size = int(lengths[i])
+
+        def squares(change):
+            gaps = list((room | change).values())
+            return sum(gaps.count(g) ** 2 for g in set(gaps) if g)
+
+        choices = {b: squares({b: g - size}) for b, g in room.items() if g >= size} | {-1: squares({-1: 40 - size})}
+        took = int(sequence[i])
+        assert choices[took if took in room else -1] == min(choices.values())
+        room[took] = room.get(took, 40) - size
+    assert all(g >= 0 for g in room.values())
+
+
+def test_groups_stay_near_the_bound(spark):
+    draw = random.Random(2)
+    parts = spark.createDataFrame([(min(4096, int(draw.lognormvariate(6.5, 1)) + 1),) for _ in range(20_000)], "length int")
+    from newsmart.llm.common import stored
+
+    parts = stored(parts, "test-parts")
+    packed = packing.pack(parts, group=4096)
+    total = parts.groupBy().sum("length").first()[0]
+    assert packed.select("sequence_id").distinct().count() <= 1.01 * total / 4096 + 5
+    assert packed.count() == 20_000
+
+
+def test_sequences_hold_the_ids(spark, documents, tokenizer):
+    rows = [(i, f"text number {i} " * (i + 1)) for i in range(20)]
+    made = packing.sequences(documents(rows), capacity=64).collect()
+    want = sorted(x for _, t in rows for x in tokenizer.encode(t, add_special_tokens=False).ids + [1])
+    assert sorted(x for r in made for x in r.ids) == want
+    assert max(len(r.ids) for r in made) <= 64
+
+
+def test_empty_table(spark, documents):
+    assert packing.packed(documents([(1, "a")]).limit(0)).count() == 0

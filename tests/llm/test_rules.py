@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from newsmart.llm import rules
+
+
+def brute(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    counts, marked, seen, dup = Counter(windows), set(), set(), 0
+    for i, w in enumerate(windows):
+        if counts[w] > 1:
+            marked.update(range(i, i + 8))
+    for line in (text or "").split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    n = len(words)
+    failed = n < 20 or 100 * len(marked) > 30 * n
+    return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(marked), failed
+
+
+def texts():
+    draw = random.Random(3)
+    letters = ["a", "b", "cd", "é", "😀x", "##", "A", "long" * 3]
+    for _ in range(150):
+        n = draw.choice([0, 1, 5, 19, 20, 30, 200])
+        yield "".join(draw.choice(letters) + draw.choice([" ", "\n", "\t", "  ", "\x0b", "\xa0"]) for _ in range(n))
+    yield from (None, "", " \n\n ", "x" * 100_000, ("one two three four five six seven eight nine\n") * 500)
+
+
+def test_base_measures_equal_brute_force(spark, documents):
+    rows = list(enumerate(texts()))
+    got = {r["doc_id"]: r for r in rules.judge(documents(rows)).collect()}
+    for i, text in rows:
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute(text)
+        assert not (r.kept and r.base_failed)
+
+
+def test_prose_stays_and_junk_goes():
+    prose = " ".join(f"word{i} and other{i * 7 % 101} things," for i in range(60))
+    assert rules.measure(prose)[6]
+    stutter = " ".join(w for i in range(60) for w in [f"w{i}"] * 4)
+    symbols = " ".join(f"w{i}%%%" for i in range(100))
+    for junk in (stutter, symbols, prose.upper(), prose + ("\nsame line here again " + prose) * 3):
+        assert not rules.measure(junk)[6]
+
+
+def test_repeats_nulls_and_empty_table(spark, documents):
+    rows = rules.judge(documents([(None, "a"), (1, None), (1, None)])).collect()
+    assert sorted((r.doc_id is None, r.n_words, r.kept) for r in rows) == [(False, 0, False)] * 2 + [(True, 1, False)]
+    assert rules.judge(documents([(1, "a")]).limit(0)).count() == 0
