@@ -25,7 +25,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-CUE = r"(?i)licen[sc]|copyright|spdx|creative commons|\bcc[ -]by|\bcc0\b|public domain|\b[al]?gpl\b|permission is hereby granted|redistribution and use"
+CUE = r"(?i)licen[sc]|copyright|spdx|creative commons|\bcc[ -]by|\bcc0\b|public domain|\b(?:[al]?gpl|mpl|epl)(?:v\d|\b)|permission is hereby granted|redistribution and use"
 #: Characters kept around a cue.
 AROUND = 400
 #: Share of a stretch's own compressed size that a template must save, and bytes.

@@ -17,6 +17,7 @@ def tokenizer():
 
 
 TEXTS = [
+    "œuvre straße Straße ÉTÉ e\u0301te\u0301 ﬁn ǅ ʰa ªb 漢字 ΌΣΟΣ привет",
     "The cat, the dog. THE END",
     "a<|endoftext|>b <|startoftext|>",
     "it's they'LL. x.y q,",
