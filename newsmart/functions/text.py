@@ -12,8 +12,6 @@ from newsmart.schemas import PROMPT_CONTENT_CHARS
 # A word is a run of letters, digits (of any script) and underscores.
 _WORD = r"[\p{L}\p{N}_]"
 _NON_WORD = r"[^\p{L}\p{N}_]+"
-# Up to here one alternation is scanned; longer lists are matched by hashing.
-_ALTERNATION_LIMIT = 64
 
 
 def content_hash(content: Column) -> Column:
@@ -40,21 +38,15 @@ def extract_terms(text: Column, terms: Sequence[str]) -> Column:
     """Terms of the list that occur in ``text`` as whole words, in list order.
 
     Matching ignores case.  Terms made of word characters share one pass over
-    the text; a term with other characters (``BRK.B``) may overlap them and
-    gets a pass of its own.
+    the text, which is cut into words; a term with other characters (``BRK.B``)
+    may overlap them and gets a pass of its own.
     """
     terms = list(dict.fromkeys(t.upper() for t in terms if t))
     if not terms:
         return F.array().cast("array<string>")
     upper = F.upper(text)
     words = [t for t in terms if _is_word(t)]
-    if len(words) > _ALTERNATION_LIMIT:
-        found = F.split(upper, _NON_WORD)
-    elif words:
-        either = "|".join(words)
-        found = F.regexp_extract_all(upper, F.lit(f"(?<!{_WORD})({either})(?!{_WORD})"), F.lit(1))
-    else:
-        found = F.array().cast("array<string>")
+    found = F.split(upper, _NON_WORD) if words else F.array().cast("array<string>")
     others = [F.when(upper.rlike(_bounded(t)), F.lit(t)) for t in terms if not _is_word(t)]
     if others:
         found = F.concat(found, F.array_compact(F.array(*others)))
@@ -75,6 +67,10 @@ def render_prompt(title: Column, content: Column, max_chars: int = PROMPT_CONTEN
 
 def unfence_json(reply: Column) -> Column:
     """Body of the first fenced block if there is one, else the whole reply."""
-    fence = r"```(?:json)?\s*([\s\S]*?)```"
-    body = F.when(reply.rlike(fence), F.regexp_extract(reply, fence, 1)).otherwise(reply)
+    # Up to the opening fence and from the closing one on, if both are there.
+    opened = F.instr(reply, "```")
+    rest = F.regexp_replace(F.substr(reply, opened + 3), r"\A(json)?", "")
+    closed = F.instr(rest, "```")
+    fenced = (opened > 0) & (closed > 0)
+    body = F.when(fenced, F.substr(rest, F.lit(1), closed - 1)).otherwise(reply)
     return F.regexp_replace(body, r"^\s+|\s+$", "")

@@ -11,14 +11,17 @@ _WRITE = {"ignoreNullFields": "false", "timestampFormat": WIRE_TIMESTAMP}
 
 
 def encode(schema: T.StructType) -> Column:
-    """The row's ``schema`` columns as one JSON object; metadata stays an object."""
+    """The row's ``schema`` columns as one JSON object; metadata goes in as it is written."""
 
     def field(name: str) -> Column:
-        if name == "raw_metadata":
-            return F.try_parse_json(F.col(name)).alias(name)
-        return F.col(name)
-
-    return F.to_json(F.struct(*[field(name) for name in schema.fieldNames()]), _WRITE)
+        return F.lit("").alias(name) if name == "raw_metadata" else F.col(name)
+
+    record = F.to_json(F.struct(*[field(name) for name in schema.fieldNames()]), _WRITE)
+    if "raw_metadata" not in schema.fieldNames():
+        return record
+    # Quotes inside a value are escaped, so the empty field stands once.
+    text = F.coalesce(F.col("raw_metadata"), F.lit("null"))
+    return F.replace(record, F.lit('"raw_metadata":""'), F.concat(F.lit('"raw_metadata":'), text))
 
 
 def envelope(df: DataFrame, schema: T.StructType, topic: str, key: Column | None) -> DataFrame:

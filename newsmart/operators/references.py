@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from newsmart.operators.dedup import first_per_key
+from newsmart.session import stored
 
 
 def _salted(analyses: DataFrame, articles: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
@@ -38,25 +39,13 @@ def orphan_analyses(analyses: DataFrame, articles: DataFrame, salts: int = 1) ->
     return left.join(right, _keys(salts), "left_anti").select(*analyses.columns)
 
 
-# Keys are ids or hashes of at most 64 characters: about 100 MB once broadcast.
-BROADCAST_KEYS = 1_000_000
+def present(table: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The keys of ``wanted`` that the table has, each once.
 
-
-def few(keys: DataFrame) -> bool:
-    """Whether a batch's keys may be broadcast; reads them, so write or persist first."""
-    return keys.count() <= BROADCAST_KEYS
-
-
-def present(stored: DataFrame, wanted: DataFrame, key: str, small: bool) -> DataFrame:
-    """The keys of ``wanted`` that the stored table has.
-
-    While they are few the table is only scanned, and the result, which is no
-    larger, is broadcast in turn.  Beyond that all sides are shuffled on the key.
+    Pass a stored ``wanted``: Spark then knows its size, and broadcasts it or
+    shuffles both sides accordingly.
     """
-    keys = wanted.select(key)
-    if not small:
-        return stored.select(key).join(keys, key, "left_semi").distinct()
-    return F.broadcast(stored.select(key).join(F.broadcast(keys), key, "left_semi").distinct())
+    return table.select(key).join(wanted.select(key), key, "left_semi").distinct()
 
 
 _IDENTITY = ["event_id", "content_hash"]
@@ -70,34 +59,34 @@ def _settle(left: DataFrame) -> DataFrame:
     is taken by then.  While no id brings several contents, that is the first
     row of each content.  Otherwise a row that is the first left for both its
     content and its id is certain and settles all rows that share either; the
-    rest goes another round.  Rounds work on narrow rows and are cut by
-    ``checkpoint``.
+    rest goes another round.  Rounds work on narrow rows, each stored; a chain of
+    n rows that take each other's ids and contents needs n / 2 of them.
     """
-    stored = left.limit(0)
+    settled = left.limit(0)
     while not left.groupBy("event_id").count().where("count > 1").isEmpty():
         first_of_content = first_per_key(left, ["content_hash"], _ORDER)
         first_of_id = first_per_key(left, ["event_id"], _ORDER).select(*_IDENTITY)
-        certain = first_of_content.join(first_of_id, _IDENTITY, "left_semi").checkpoint()
-        stored = stored.unionByName(certain)
+        certain = first_of_content.join(first_of_id, _IDENTITY, "left_semi")
+        certain = stored(certain, "settled")
+        settled = settled.unionByName(certain)
         for key in _IDENTITY:
             left = left.join(certain.select(key), key, "left_anti")
-        left = left.checkpoint()
-    return stored.unionByName(first_per_key(left, ["content_hash"], _ORDER))
+        left = stored(left, "unsettled")
+    return settled.unionByName(first_per_key(left, ["content_hash"], _ORDER))
+
 
+def _pick(batch: DataFrame, identities: DataFrame) -> DataFrame:
+    """The batch's rows with the given identities, one row each.
 
-def _pick(batch: DataFrame, identities: DataFrame, small: bool) -> DataFrame:
-    """The batch's rows with the given identities, one row each."""
-    if small:
-        found = batch.join(F.broadcast(identities), _IDENTITY, "left_semi")
-        return first_per_key(found, _IDENTITY, ["timestamp"])
-    # Repeats of a record go before the shuffle that the join shares.
+    Repeats of a record go before the shuffle that the join shares.
+    """
     return first_per_key(batch, _IDENTITY, ["timestamp"]).join(identities, _IDENTITY, "left_semi")
 
 
-def insert_ignore(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+def insert_ignore(batch: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split a batch into rows to insert and rows that clash.
 
-    ``stored`` has ``content_hash`` and ``event_id``.  Content that is taken --
+    ``table`` has ``content_hash`` and ``event_id``.  Content that is taken --
     by the table or by an earlier row of the batch -- is dropped without notice.
     A row that brings new content under a taken id is a clash: it is returned
     as such, never stored and never lost.
@@ -106,17 +95,16 @@ def insert_ignore(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataF
     wide rows of either kind are shuffled once, after repeats of the same record
     have been dropped in the map tasks.
     """
-    keys = batch.groupBy(*_IDENTITY).agg(F.min("timestamp").alias("timestamp")).checkpoint()
-    small = few(keys)
-    seen = present(stored, keys, "content_hash", small)
-    taken = present(stored, keys, "event_id", small).withColumn("_taken", F.lit(True))
+    keys = stored(batch.groupBy(*_IDENTITY).agg(F.min("timestamp").alias("timestamp")), "keys")
+    seen = present(table, keys, "content_hash")
+    taken = present(table, keys, "event_id").withColumn("_taken", F.lit(True))
     fresh = (
         keys.join(seen, "content_hash", "left_anti")
         .join(taken, "event_id", "left")
         .select(*_ORDER, F.coalesce("_taken", F.lit(False)).alias("_taken"))
-        .checkpoint()
     )
-    winners = _settle(fresh.where(~F.col("_taken")).drop("_taken"))
+    fresh = stored(fresh, "fresh")
+    winners = stored(_settle(fresh.where(~F.col("_taken")).drop("_taken")), "winners")
     # What is left is a copy if an earlier row brought its content in, else a
     # clash: its id was taken before it came.
     brought = winners.select("content_hash", F.struct("timestamp", "event_id").alias("_by"))
@@ -124,6 +112,6 @@ def insert_ignore(batch: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataF
     clashing = others.join(brought, "content_hash", "left").where(
         F.col("_by").isNull() | (F.struct("timestamp", "event_id") < F.col("_by"))
     )
-    inserts = _pick(batch, winners.select(*_IDENTITY), small)
-    clashes = _pick(batch, clashing.select(*_IDENTITY), small)
+    inserts = _pick(batch, winners.select(*_IDENTITY))
+    clashes = _pick(batch, clashing.select(*_IDENTITY))
     return inserts.select(*batch.columns), clashes.select(*batch.columns)

@@ -18,9 +18,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsmart import schemas as S
 from newsmart.operators.dedup import first_per_key
 
-# Past this an id list becomes a join side instead of a pushed-down IN.
-_IN_LIST_LIMIT = 1000
-
 
 def _check(name: str, value: int, low: int, high: int | None = None) -> None:
     if value < low or (high is not None and value > high):
@@ -84,14 +81,11 @@ def articles_by_ticker(articles: DataFrame, ticker: str | None) -> DataFrame:
 def articles_by_ids(articles: DataFrame, ids: Sequence[str] | DataFrame) -> DataFrame:
     """Articles with the given event ids.
 
-    A short list is pushed to the scan as ``IN``.  A frame with ``event_id`` (or
-    a long list) is a semi join that Spark broadcasts only if it is small.
+    A list is pushed to the scan as ``IN``; a frame with ``event_id``, the form for
+    many ids, is a semi join that Spark broadcasts only if it is small.
     """
     if not isinstance(ids, DataFrame):
-        if len(ids) <= _IN_LIST_LIMIT:
-            return articles.where(F.col("event_id").isin(list(ids))).select(*S.ARTICLE_VIEW)
-        rows = [(i,) for i in ids]
-        ids = articles.sparkSession.createDataFrame(rows, "event_id string")
+        return articles.where(F.col("event_id").isin(list(ids))).select(*S.ARTICLE_VIEW)
     return articles.join(ids.select("event_id"), "event_id", "left_semi").select(*S.ARTICLE_VIEW)
 
 
@@ -131,7 +125,7 @@ def aggregations_page(
 def recent_analyses(analyses: DataFrame, limit: int = 10) -> DataFrame:
     """The newest analyses."""
     _check("limit", limit, 1)
-    order = [F.desc("analyzed_at"), F.asc("article_event_id"), F.asc("analysis_version")]
+    order = [F.desc("analyzed_at"), F.asc("article_event_id"), F.asc("model_id"), F.asc("analysis_version")]
     return _page(analyses, S.ANALYSIS.fieldNames(), order, "analyzed_at", limit)
 
 

@@ -30,6 +30,7 @@ class RecordRules:
     uuids: Sequence[str] = ()
     objects: Sequence[str] = ()
     lengths: Mapping[str, int] = field(default_factory=dict)
+    defaults: Mapping[str, str] = field(default_factory=dict)  # where the record has none
     numbers: Sequence[str] = ()  # text fields that must read as a number
     loose: Sequence[str] = ()  # further text fields, at any depth, that any scalar may fill
 
@@ -69,6 +70,7 @@ ANALYSIS_RULES = RecordRules(
     ranges={"sentiment_confidence": (0.0, 1.0)},
     uuids=("article_event_id",),
     lengths={"sentiment": 20, "model_id": 100, "analysis_version": 20},
+    defaults={"analysis_version": S.ANALYSIS_VERSION},
 )
 
 AGGREGATE_RULES = RecordRules(
@@ -248,7 +250,9 @@ def accepted(decoded: DataFrame, rules: RecordRules) -> DataFrame:
     """Records without a problem, with ids in their canonical spelling."""
     good = decoded.where(F.size("reasons") == 0)
     fields = [f"record.{n}" for n in rules.schema.fieldNames()]
-    return good.select(*fields).withColumns({n: canonical_uuid(F.col(n)) for n in rules.uuids})
+    named = {n: canonical_uuid(F.col(n)) for n in rules.uuids}
+    named |= {n: F.coalesce(F.col(n), F.lit(value)) for n, value in rules.defaults.items()}
+    return good.select(*fields).withColumns(named)
 
 
 def rejected(decoded: DataFrame) -> DataFrame:

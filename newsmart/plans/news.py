@@ -11,10 +11,10 @@ from newsmart.functions.text import routing_key
 from newsmart.functions.wire import envelope
 from newsmart.operators.aggregate import ticker_snapshots
 from newsmart.operators.annotate import Complete, ask_model, parse_replies, prompts_for
-from newsmart.operators.dedup import dedup_content, stream_dedup
+from newsmart.operators.dedup import dedup_content, first_per_key, stream_dedup
 from newsmart.operators.enrich import to_processed, with_content_hash
-from newsmart.operators.references import few, present
 from newsmart.operators.validate import RAW_RULES, accepted, decode, rejected, with_event_id
+from newsmart.session import stored
 from newsmart.sources.tables import read_replies
 
 
@@ -87,12 +87,15 @@ def annotate_articles(
     version: str = S.ANALYSIS_VERSION,
     max_chars: int = S.PROMPT_CONTENT_CHARS,
     partitions: int | None = None,
+    max_attempts: int = 5,
 ) -> tuple[DataFrame, DataFrame]:
     """Annotate articles: (analyses, dead letters).
 
     Answers are added to the table at ``replies_path`` before anything is made
-    of them, and an article with an answer there is not sent again: a replay,
-    or reading the result twice, asks the model nothing.  Prompts are cut to
+    of them, and an article with a good answer there is not sent again: a replay,
+    or reading the result twice, asks the model nothing.  A call that failed is
+    made again by the next run, ``max_attempts`` times in all; the newest good
+    answer counts, and an article without one is a dead letter.  Prompts are cut to
     size before any shuffle.  ``articles`` is read several times, its ids first:
     pass a stored or persisted frame.
     """
@@ -102,10 +105,16 @@ def annotate_articles(
         replies = read_replies(spark, replies_path, model_id, version)
         return replies.withColumnRenamed("article_event_id", "event_id")
 
-    ids = articles.select("event_id")
-    small = few(ids)
-    answered = present(answers(), ids, "event_id", small)
-    todo = prompts_for(articles, max_chars).join(answered, "event_id", "left_anti")
+    ids = stored(articles.select("event_id").distinct(), "article-ids")
+    # Ids and errors only: the replies' text is not read here.
+    settled = (
+        answers()
+        .join(ids, "event_id", "left_semi")
+        .groupBy("event_id")
+        .agg(F.bool_or(F.col("error").isNull()).alias("good"), F.count("*").alias("attempts"))
+        .where(F.col("good") | (F.col("attempts") >= max_attempts))
+    )
+    todo = prompts_for(articles, max_chars).join(settled, "event_id", "left_anti")
     (
         ask_model(todo, make_complete, partitions)
         .withColumn("analyzed_at", analyzed_at)
@@ -115,6 +124,6 @@ def annotate_articles(
         .partitionBy("model_id", "analysis_version")
         .parquet(replies_path)
     )
-    wanted = F.broadcast(ids) if small else ids
-    found = answers().join(wanted, "event_id", "left_semi")
+    ranked = answers().join(ids, "event_id", "left_semi").withColumn("_failed", F.col("error").isNotNull())
+    found = first_per_key(ranked, ["event_id"], ["_failed", F.desc("analyzed_at")]).drop("_failed")
     return parse_replies(found.withColumnRenamed("event_id", "article_event_id"))

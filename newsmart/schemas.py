@@ -153,6 +153,7 @@ AGGREGATION_TOPIC = "aggregation-results"
 # Closed vocabularies and defaults.
 SOURCES = ("alpha_vantage", "sec_edgar", "synthetic")
 SENTIMENTS = ("bullish", "bearish", "neutral", "mixed")
+ENTITY_TYPES = ("company", "person", "sector", "index", "commodity", "currency")
 ANALYSIS_VERSION = "1.0"
 NO_TICKER = "UNKNOWN"
 NO_TICKER_FILING = "SEC-8K"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on.  All can be changed on a running session, so
 # they are applied to whatever session a caller brings.
@@ -61,6 +61,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder and folder.startswith("file:") and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names a folder of one machine")
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
@@ -69,6 +71,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """Write a step to the shared folder and read it back.
+
+    It is then computed once, outlives lost executors, and its size is known to
+    the planner, which chooses joins by it.
+    """
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark)}/newsmart/{name}-{uuid.uuid4().hex}"

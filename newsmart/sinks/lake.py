@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsmart.operators.lake import lake_rows
 
@@ -18,6 +18,16 @@ def lay_out(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", *[F.col(c) for c in PARTITIONS])
 
 
+def lake_kind(spark: SparkSession, path: str) -> str | None:
+    """Whether batch jobs or a stream have written to the lake, or nobody yet."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root = files(path)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(files(root, "_spark_metadata")):
+        return "stream"
+    return "batch" if system.exists(root) and len(system.listStatus(root)) else None
+
+
 def write_lake(
     processed: DataFrame, path: str, rows_per_file: int = 0, mode: str = "append"
 ) -> None:
@@ -25,8 +35,11 @@ def write_lake(
 
     ``rows_per_file`` caps a file (0: no cap).  ``mode="overwrite"`` replaces the
     date and ticker folders the batch has rows for and no others, so a job over
-    whole days can be run again.
+    whole days can be run again.  A lake that a stream writes is refused, since
+    readers would not see the rows.
     """
+    if lake_kind(processed.sparkSession, path) == "stream":
+        raise ValueError(f"{path} is written by a stream")
     (
         lay_out(lake_rows(processed))
         .write.partitionBy(*PARTITIONS)

@@ -1,8 +1,9 @@
 """Serving tables.
 
 Each batch owns a folder, ``batch_id=<writer>-<number>``, and writes it whole:
-running a batch again replaces what the first attempt left behind, and two
-writers of one table never touch each other's batches.
+running a batch again replaces what the first attempt left behind.  A writer's
+name must be its own; streams take the id that their checkpoint gives them, so
+two streams, or one with a new checkpoint, never touch each other's batches.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from newsmart import schemas as S
 from newsmart.functions.wire import encode
 from newsmart.operators.references import (
-    few,
     insert_ignore,
     orphan_analyses,
     present,
@@ -27,6 +27,7 @@ from newsmart.operators.validate import (
     decode,
     rejected,
 )
+from newsmart.session import stored
 from newsmart.sources.tables import BATCH, read_table
 from newsmart.sources.topics import topic_values
 
@@ -75,14 +76,32 @@ def write_aggregates(batch: DataFrame, root: str, batch_id: str) -> None:
     write_batch(batch, f"{root}/{AGGREGATES}", batch_id)
 
 
+_ANALYSIS_IDENTITY = ["article_event_id", "model_id", "analysis_version", "analyzed_at"]
+# Tasks that one article's analyses are spread over.
+SALTS = 16
+
+
+def _unstored(analyses: DataFrame, spark: SparkSession, root: str, batch_id: str) -> DataFrame:
+    """Analyses that no other batch has stored."""
+    held = read_table(spark, f"{root}/{ANALYSES}", S.ANALYSIS, except_batch=batch_id)
+    held = held.select(*[F.col(c).alias(f"_{c}") for c in _ANALYSIS_IDENTITY])
+    same = [analyses[c].eqNullSafe(held[f"_{c}"]) for c in _ANALYSIS_IDENTITY]
+    return analyses.join(held, same, "left_anti")
+
+
 def write_analyses(batch: DataFrame, root: str, batch_id: str) -> DataFrame:
-    """Append the analyses whose article is stored; returns the others."""
-    articles = read_table(batch.sparkSession, f"{root}/{ARTICLES}", S.PROCESSED_NEWS)
-    wanted = batch.select(F.col("article_event_id").alias("event_id")).distinct().checkpoint()
-    known = present(articles, wanted, "event_id", few(wanted))
-    valid = valid_analyses(batch, known)
+    """Append the analyses whose article is stored; returns the others.
+
+    An analysis that another batch has stored is not stored again.  One article's
+    analyses are spread by salts, since a stream that keeps state is not re-planned.
+    """
+    spark = batch.sparkSession
+    articles = read_table(spark, f"{root}/{ARTICLES}", S.PROCESSED_NEWS)
+    wanted = stored(batch.select(F.col("article_event_id").alias("event_id")).distinct(), "wanted")
+    known = stored(present(articles, wanted, "event_id"), "known")
+    valid = _unstored(valid_analyses(batch, known, SALTS), spark, root, batch_id)
     write_batch(valid, f"{root}/{ANALYSES}", batch_id, lookup="article_event_id")
-    orphans = orphan_analyses(batch, known)
+    orphans = orphan_analyses(batch, known, SALTS)
     return _dead(orphans, S.ANALYSIS, S.ANALYSIS_TOPIC, "no_such_article")
 
 
@@ -94,9 +113,7 @@ def retry_orphans(spark: SparkSession, root: str, batch_id: str) -> None:
     """
     dead = read_table(spark, f"{root}/{DEAD}", S.DEAD_LETTER).where("reason = 'no_such_article'")
     late = accepted(decode(dead, ANALYSIS_RULES), ANALYSIS_RULES)
-    identity = ["article_event_id", "model_id", "analysis_version", "analyzed_at"]
-    stored = read_table(spark, f"{root}/{ANALYSES}", S.ANALYSIS, except_batch=batch_id)
-    missing = late.join(stored.select(*identity), identity, "left_anti").dropDuplicates(identity)
+    missing = _unstored(late, spark, root, batch_id).dropDuplicates(_ANALYSIS_IDENTITY)
     articles = read_table(spark, f"{root}/{ARTICLES}", S.PROCESSED_NEWS)
     found = valid_analyses(missing, articles)
     write_batch(found, f"{root}/{ANALYSES}", batch_id, lookup="article_event_id")
@@ -124,7 +141,11 @@ def write_topics(envelopes: DataFrame, root: str, batch_id: str) -> None:
         taken = write_articles(news, root, batch_id)
         write_aggregates(aggregates, root, batch_id)
         orphans = write_analyses(analyses, root, batch_id)
-        dead = taken.unionByName(orphans)
+        known = [S.PROCESSED_TOPIC, S.AGGREGATION_TOPIC, S.ANALYSIS_TOPIC]
+        other = batch.where(
+            F.col("value").isNotNull() & ~F.coalesce(F.col("topic").isin(known), F.lit(False))
+        ).select("topic", "value", F.lit("unknown_topic").alias("reason"))
+        dead = taken.unionByName(orphans).unionByName(other)
         for bad in (bad_news, bad_aggregates, bad_analyses):
             dead = dead.unionByName(bad)
         write_batch(dead, f"{root}/{DEAD}", batch_id)

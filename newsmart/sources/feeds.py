@@ -22,15 +22,18 @@ def market_responses(reader: Reader, path: str, whole_files: bool = False) -> Da
 def market_items(responses: DataFrame) -> DataFrame:
     """Decoded feed items, good and bad; see ``validate.accepted`` / ``rejected``.
 
-    A response without a feed has no items.  A response that does not read is
-    passed on whole, so that it is set aside and not lost.
+    A response without a feed has no items.  One that does not read, or whose feed
+    is null, is passed on whole, so that it is set aside and not lost.
     """
     flagged = T.StructType([*S.MARKET_RESPONSE.fields, T.StructField("_corrupt", T.StringType())])
     response = F.from_json("value", flagged, {"columnNameOfCorruptRecord": "_corrupt"})
     read = responses.where("value is not null").select(
         "value", F.explode(F.array(response)).alias("response")
     )
-    unread = F.col("response._corrupt").isNotNull()
+    feed = F.try_variant_get(F.try_parse_json("value"), "$.feed", "variant")
+    unread = F.col("response._corrupt").isNotNull() | F.coalesce(
+        F.is_variant_null(feed), F.lit(False)
+    )
     empty = F.array().cast("array<string>")
     items = F.when(unread, F.array("value")).otherwise(F.coalesce("response.feed", empty))
     return decode(read.select(F.explode(items).alias("value")), MARKET_ITEM_RULES)

@@ -38,6 +38,11 @@ def topic_values(envelopes: DataFrame, topic: str) -> DataFrame:
 
 
 def admission_options(requests_per_minute: int, trigger_seconds: int) -> dict[str, str]:
-    """Broker option that admits no more rows per trigger than the model may be asked."""
-    per_trigger = max(requests_per_minute, 1) * trigger_seconds // 60
-    return {"maxOffsetsPerTrigger": str(max(per_trigger, 1))}
+    """Broker option that admits no more rows per trigger than the model may be asked.
+
+    A trigger too short for a single request is refused.
+    """
+    per_trigger = requests_per_minute * trigger_seconds // 60
+    if per_trigger < 1:
+        raise ValueError("the trigger is shorter than the time between two requests")
+    return {"maxOffsetsPerTrigger": str(per_trigger)}

@@ -16,7 +16,7 @@ from newsmart.operators.annotate import Complete
 from newsmart.operators.lake import lake_rows
 from newsmart.plans.news import annotate_articles
 from newsmart.schemas import ANALYSIS_TOPIC
-from newsmart.sinks.lake import PARTITIONS, lay_out, spread
+from newsmart.sinks.lake import PARTITIONS, lake_kind, lay_out, spread
 from newsmart.sinks.tables import (
     DEAD,
     write_aggregates,
@@ -26,7 +26,7 @@ from newsmart.sinks.tables import (
 )
 
 # Lake flush settings and the aggregate emit interval.
-LAKE_ROWS_PER_FILE = 100
+LAKE_ROWS_PER_FILE = 100  # for files as small as the service's; 0 leaves the size to the data
 LAKE_FLUSH = "60 seconds"
 EMIT_INTERVAL = "300 seconds"
 
@@ -37,6 +37,17 @@ def start(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
     return writer.trigger(**trigger).start()
 
 
+def own_name(batch: DataFrame, kind: str, batch_id: int) -> str:
+    """Name of a micro-batch, the same on a replay and used by no other stream.
+
+    The query's id is kept in its checkpoint.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise ValueError("a micro-batch is named inside its stream only")
+    return f"{kind}-{query}-{batch_id}"
+
+
 def to_folder(
     df: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
@@ -67,7 +78,7 @@ def to_aggregates(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_aggregates(batch, root, f"aggregates-{batch_id}")
+        write_aggregates(batch, root, own_name(batch, "aggregates", batch_id))
 
     writer = aggregates.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     return start(writer.foreachBatch(store), every)
@@ -89,7 +100,7 @@ def to_analyses(
     """
 
     def annotate(batch: DataFrame, batch_id: int) -> None:
-        news, name = batch.persist(), f"annotator-{batch_id}"
+        news, name = batch.persist(), own_name(batch, "annotator", batch_id)
         try:
             analyses, failed = annotate_articles(
                 news,
@@ -116,16 +127,19 @@ def to_lake(
     path: str,
     checkpoint: str,
     every: str | None = LAKE_FLUSH,
-    rows_per_file: int = LAKE_ROWS_PER_FILE,
+    rows_per_file: int = 0,
     stateful: bool = False,
 ) -> StreamingQuery:
     """Append processed news to the lake, exactly once.
 
-    ``rows_per_file`` and ``every`` are the small-batch settings the lake is
-    flushed with by default; raise both for files of a size worth scanning.
+    ``rows_per_file`` caps a file (``LAKE_ROWS_PER_FILE`` for the service's own
+    setting, 0 for none).  A stream's log of files rules what readers see, so a
+    lake that batch jobs write is refused: give each a root of its own.
     Spark does not re-plan a stream that keeps state: say so with ``stateful``
     and hot partitions are spread by hand.
     """
+    if lake_kind(processed.sparkSession, path) == "batch":
+        raise ValueError(f"{path} is written by batch jobs")
     rows = lake_rows(processed)
     writer = (
         (spread(rows) if stateful else lay_out(rows))
@@ -144,7 +158,7 @@ def to_tables(
     """Store mixed topic records in the serving tables."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_topics(batch, root, f"topics-{batch_id}")
+        write_topics(batch, root, own_name(batch, "topics", batch_id))
 
     writer = envelopes.writeStream.option("checkpointLocation", checkpoint)
     return start(writer.foreachBatch(store), every)

@@ -12,7 +12,6 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from newsmart import schemas as S
-from newsmart.operators import references
 from newsmart.operators.annotate import (
     ask_model,
     keyword_annotator,
@@ -186,19 +185,21 @@ def test_an_article_is_sent_once(spark, folder, counted):
     assert (run(news(spark, 6), "2.0"), calls.value) == (6, 12)
 
 
-def test_beyond_the_broadcast_bound(spark, folder, counted, monkeypatch):
-    monkeypatch.setattr(references, "BROADCAST_KEYS", 0)
+def test_a_failed_article_is_sent_again(spark, folder, counted):
+    found, dead = annotate_articles(news(spark, 8), folder, poisoned, "m", stamp(NOW))
+    assert found.count() == 7
+    assert [r.article_event_id for r in dead.collect()] == ["e7"]
     make, calls = counted
-    for articles in (news(spark, 3), news(spark, 5)):
-        found, _ = annotate_articles(articles, folder, make, "m", stamp(NOW))
-    assert (found.count(), calls.value) == (5, 5)
+    found, dead = annotate_articles(news(spark, 8), folder, make, "m", stamp("2024-06-02 00:00:00"))
+    assert (found.count(), dead.count(), calls.value) == (8, 0, 1)
 
 
-def test_a_failed_article_is_not_sent_again(spark, folder):
-    for _ in range(2):
-        found, dead = annotate_articles(news(spark, 8), folder, poisoned, "m", stamp(NOW))
-        assert found.count() == 7
-        assert [r.article_event_id for r in dead.collect()] == ["e7"]
+def test_attempts_are_bounded(spark, folder, counted):
+    for _ in range(3):
+        annotate_articles(news(spark, 8), folder, poisoned, "m", stamp(NOW), max_attempts=3)
+    make, calls = counted
+    found, dead = annotate_articles(news(spark, 8), folder, make, "m", stamp(NOW), max_attempts=3)
+    assert (found.count(), dead.count(), calls.value) == (7, 1, 0)
 
 
 @pytest.mark.parametrize(
@@ -223,7 +224,13 @@ def test_prompts_are_cut_before_the_model(spark):
 
 
 @pytest.mark.parametrize(
-    ("per_minute", "seconds", "rows"), [(50, 60, "50"), (50, 30, "25"), (0, 60, "1"), (1, 10, "1")]
+    ("per_minute", "seconds", "rows"), [(50, 60, "50"), (50, 30, "25"), (1, 60, "1")]
 )
 def test_admission(per_minute, seconds, rows):
     assert admission_options(per_minute, seconds) == {"maxOffsetsPerTrigger": rows}
+
+
+@pytest.mark.parametrize(("per_minute", "seconds"), [(0, 60), (1, 10), (50, 1)])
+def test_a_trigger_too_short_is_refused(per_minute, seconds):
+    with pytest.raises(ValueError, match="shorter"):
+        admission_options(per_minute, seconds)

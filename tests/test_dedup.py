@@ -9,7 +9,6 @@ from conftest import plan_of
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from newsmart import schemas as S
-from newsmart.operators import references as references_module
 from newsmart.operators.dedup import dedup_content, first_per_key
 from newsmart.operators.references import insert_ignore, orphan_analyses, valid_analyses
 
@@ -95,11 +94,6 @@ def test_insert_ignore_cases(spark, batch, stored):
     check(spark, batch, stored)
 
 
-def test_insert_ignore_beyond_the_broadcast_bound(spark, monkeypatch):
-    monkeypatch.setattr(references_module, "BROADCAST_KEYS", 0)
-    check(spark, [("a", 0, "x"), ("b", 1, "y"), ("c", 2, "z")], [("q", "x"), ("b", "w")])
-
-
 @settings(
     max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from conftest import plan_of
 
-import __spark_entry__ as entry
+from newsmart.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -17,12 +17,12 @@ _EAGER = {
     "lake_roundtrip",
     "fan_out",
 }
-LAZY = sorted(n for n in entry.queries() if n not in _EAGER and not n.startswith("stream_"))
+LAZY = sorted(n for n in QUERIES if n not in _EAGER and not n.startswith("stream_"))
 
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {n: plan_of(entry.queries()[n](spark, SF_DIR)) for n in LAZY}
+    return {n: plan_of(QUERIES[n](spark, SF_DIR)) for n in LAZY}
 
 
 @pytest.mark.parametrize("name", LAZY)

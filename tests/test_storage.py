@@ -221,10 +221,12 @@ def test_dispatch_by_topic(spark, folder, envelopes):
         (analysis,) = stored(spark, folder, tables.ANALYSES, S.ANALYSIS).collect()
         assert analysis.article_event_id == uuid(1)
         dead = stored(spark, folder, tables.DEAD, S.DEAD_LETTER).collect()
-        assert sorted((r.topic, r.reason) for r in dead) == [
+        assert {(r.topic, r.reason) for r in dead} == {
             (S.ANALYSIS_TOPIC, "no_such_article"),
             (S.PROCESSED_TOPIC, "malformed"),
-        ]
+            ("another-topic", "unknown_topic"),
+        }
+        assert len(dead) == 3
 
 
 def analysis(n):
