@@ -10,8 +10,8 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_stages(spark):
-    from test_jaccard import brute as components_of
-    from test_lines import brute as lines_of
+    from llm.test_jaccard import brute as components_of
+    from llm.test_lines import brute as lines_of
 
     docs = table(spark, SF_DIR, "documents")
     labels = {r.doc_id: r for r in table(spark, SF_DIR, "labels").collect()}
@@ -31,7 +31,7 @@ def test_stages(spark):
     assert sorted(((d, t) for d, t, _ in rows[2]), key=repr) == lines_of(rows[1], lines.MIN_SITES)
     least = {c for _, _, c in components_of([r[:2] for r in rows[2]])}
     assert {r[0] for r in rows[3]} == least
-    from test_decontaminate import brute as holds
+    from llm.test_decontaminate import brute as holds
 
     assert {r[0] for r in rows[4]} == {d for d, t, _ in rows[3] if not any(holds(t or "", x) for x in items)}
     packed = steps[-1].collect()
