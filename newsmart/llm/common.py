@@ -61,9 +61,9 @@ def text_of(value: object) -> str:
 
 # --- Bloom filter of a bounded size -------------------------------------------
 
-#: Bits of a filter: 16 per key, at least 2^16 and at most 2^27 (16 MB).
+#: Bits of a filter: 64 per key or more, at least 2^16 and at most 2^27 (16 MB).
 BLOOM_LOG2 = (16, 27)
-_PROBES = 3
+_PROBES = 4
 
 
 def _mixed(keys: np.ndarray) -> np.ndarray:
@@ -102,7 +102,7 @@ def bloom_of(frame: DataFrame, key: str) -> Bloom:
     The driver gets its cells, 16 MB at most whatever the number of keys.
     """
     n = frame.count()
-    log2 = min(max(int(max(n, 1) * 16 - 1).bit_length(), BLOOM_LOG2[0]), BLOOM_LOG2[1])
+    log2 = min(max(int(max(n, 1) * 64 - 1).bit_length(), BLOOM_LOG2[0]), BLOOM_LOG2[1])
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = np.zeros(1 << (log2 - 3), np.uint8)

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from newsmart.llm.common import Bloom, bloom_of, stored, text_of
-from newsmart.llm.words import hashes, masked_hashes
+from newsmart.llm.words import hashes, masked_hashes, spans
 
 WINDOW, ERRORS, LEAST = 16, 3, 5
 #: Items from so many words on use these masks (1: the word counts); fixed values.
@@ -41,6 +41,8 @@ FAMILIES = {
     6: ("1111", "11011"),
     5: ("11111",),
 }
+#: Bytes of texts that are hashed at once.
+TOGETHER = 1 << 18
 _PLAIN = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
@@ -58,8 +60,24 @@ def family(n_words: int) -> int:
     return next((least for least in FAMILIES if n_words >= least), 0)
 
 
+def _plain(text: object) -> bytes:
+    return text_of(text).lower().encode().translate(_PLAIN)
+
+
 def words(text: object) -> np.ndarray:
-    return hashes(text_of(text).lower().encode().translate(_PLAIN))
+    return hashes(_plain(text))
+
+
+def _together(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Neighbours of about ``TOGETHER`` bytes, with the number of the first."""
+    first = size = 0
+    for i, text in enumerate(texts):
+        size += len(text) + 1
+        if size >= TOGETHER:
+            yield first, texts[first : i + 1]
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, texts[first:]
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -108,29 +126,39 @@ def runs(docs: DataFrame, bloom: Bloom, masks: list[str]) -> DataFrame:
     around = WINDOW
     shared = docs.sparkSession.sparkContext.broadcast((bloom.log2, bloom.cells))
 
-    def one(filter_: Bloom, doc_id: object, own: np.ndarray) -> Iterator[tuple]:
+    def some(filter_: Bloom, texts: list[bytes]) -> Iterator[tuple]:
+        """(number of the text, first, words, hashes, places) per run."""
+        data = b"\n".join(texts)
+        own = hashes(data)
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        owner = np.searchsorted(begins, spans(data)[0], "right") - 1
         found = []
         for mask in masks:
-            h = _signed(masked_hashes(own, places(mask)))
-            at = np.flatnonzero(filter_.holds(h)) if len(h) else np.zeros(0, np.int64)
+            at_most = places(mask)
+            h = _signed(masked_hashes(own, at_most))
+            at = np.flatnonzero(filter_.holds(h))
+            at = at[owner[at] == owner[at + at_most[-1]]]  # not across two texts
             found.append((h[at], at))
         h, at = (np.concatenate(x) for x in zip(*found, strict=True))
         if not len(at):
             return
         order = np.argsort(at, kind="stable")
         h, at = h[order], at[order]
-        cuts = np.flatnonzero(np.diff(at) > 2 * around) + 1
+        cuts = np.flatnonzero((np.diff(at) > 2 * around) | (np.diff(owner[at]) > 0)) + 1
         for hs, ps in zip(np.split(h, cuts), np.split(at, cuts), strict=True):
-            first = max(0, int(ps[0]) - around)
-            yield doc_id, first, _signed(own[first : int(ps[-1]) + 2 * around]), hs, ps
+            text = int(owner[ps[0]])
+            low, high = np.searchsorted(owner, [text, text + 1])
+            first = max(int(low), int(ps[0]) - around)
+            yield text, first - low, _signed(own[first : min(high, int(ps[-1]) + 2 * around)]), hs, ps - low
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filter_ = Bloom(*shared.value)
         for batch in batches:
+            ids = pd.array(batch["doc_id"], dtype="Int64")
             rows = [
-                row
-                for doc_id, text in zip(pd.array(batch["doc_id"], dtype="Int64"), batch["text"], strict=True)
-                for row in one(filter_, doc_id, words(text))
+                (ids[start + text], *rest)
+                for start, texts in _together([_plain(t) for t in batch["text"]])
+                for text, *rest in some(filter_, texts)
             ]
             out = pd.DataFrame(rows, columns=["doc_id", "first", "words", "hashes", "places"])
             out["doc_id"] = pd.array(out["doc_id"], dtype="Int64")
