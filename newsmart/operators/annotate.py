@@ -47,17 +47,23 @@ REPLY_RULES = RecordRules(
 _ANSWER = "article_event_id string, reply string, error string"
 
 
-def _one_by_one(complete: Complete, prompts: pd.Series) -> tuple[list, list]:
-    replies, errors = [], []
-    for position in range(len(prompts)):
-        try:
-            reply = list(complete(prompts.iloc[position : position + 1]))[0]
-            replies.append(reply)
-            errors.append("no_reply" if reply is None else None)
-        except Exception as failure:  # the article is set aside, the batch goes on
-            replies.append(None)
-            errors.append(f"model_error: {failure}")
-    return replies, errors
+def _in_halves(complete: Complete, prompts: pd.Series) -> tuple[list, list]:
+    """Replies and errors; a call that fails is made again on either half of its prompts.
+
+    A bad article costs the calls on its way down, not one for each neighbour.
+    """
+    try:
+        replies = list(complete(prompts))
+        if len(replies) != len(prompts):
+            raise ValueError("model returned a different number of replies")
+        return replies, ["no_reply" if r is None else None for r in replies]
+    except Exception as failure:
+        if len(prompts) == 1:  # the article is set aside, the batch goes on
+            return [None], [f"model_error: {failure}"]
+        middle = len(prompts) // 2
+        left = _in_halves(complete, prompts.iloc[:middle])
+        right = _in_halves(complete, prompts.iloc[middle:])
+        return left[0] + right[0], left[1] + right[1]
 
 
 def prompts_for(articles: DataFrame, max_chars: int = S.PROMPT_CONTENT_CHARS) -> DataFrame:
@@ -73,7 +79,7 @@ def ask_model(
 
     ``make_complete`` runs once per task and may open a client; it decides how a
     prompt is sent, usually after ``SYSTEM_PROMPT``.  A batch that
-    fails is repeated one article at a time, so a failure costs one article.
+    fails is repeated in halves, so a failure costs one article.
     Model calls dominate, so ``partitions`` spreads articles evenly by id; the
     spread is by hash and comes out the same when a task is run again.
 
@@ -86,13 +92,9 @@ def ask_model(
     def annotate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         complete = make_complete()
         for batch in batches:
-            try:
-                replies = list(complete(batch["prompt"]))
-                if len(replies) != len(batch):
-                    raise ValueError("model returned a different number of replies")
-                errors = ["no_reply" if r is None else None for r in replies]
-            except Exception:
-                replies, errors = _one_by_one(complete, batch["prompt"])
+            if not len(batch):
+                continue
+            replies, errors = _in_halves(complete, batch["prompt"])
             yield pd.DataFrame(
                 {"article_event_id": batch["event_id"], "reply": replies, "error": errors}
             )
@@ -169,7 +171,8 @@ def keyword_annotator(bullish: Sequence[str], bearish: Sequence[str]) -> Callabl
 
         def answer(prompt: str) -> str:
             text = prompt.lower()
-            ups, downs = len(up.findall(text)), len(down.findall(text))
+            risen, fallen = up.findall(text), down.findall(text)
+            ups, downs, met = len(risen), len(fallen), {*risen, *fallen}
             total = ups + downs
             if not total:
                 label, share = "neutral", 1.0
@@ -181,7 +184,7 @@ def keyword_annotator(bullish: Sequence[str], bearish: Sequence[str]) -> Callabl
                 "summary": prompt.split("\n", 1)[0],
                 "sentiment": label,
                 "sentiment_confidence": round(share, 6),
-                "key_topics": [w for w in (*bullish, *bearish) if w in text],
+                "key_topics": [w for w in (*bullish, *bearish) if w in met],
             }
             return json.dumps(reply, ensure_ascii=False)
 
