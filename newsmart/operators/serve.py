@@ -67,10 +67,12 @@ def latest_for_ticker(articles: DataFrame, ticker: str, limit: int = 5) -> DataF
 def latest_per_ticker(articles: DataFrame, k: int = 5) -> DataFrame:
     """The newest ``k`` articles of every ticker in one job."""
     _check("k", k, 1, 50)
+    # Ranked without the text, which is fetched for the winners alone.
     named = articles.select(
-        *S.ARTICLE_VIEW, F.explode(F.array_distinct("tickers")).alias("ticker")
+        "event_id", "timestamp", F.explode(F.array_distinct("tickers")).alias("ticker")
     )
-    return first_per_key(named, ["ticker"], _newest(), k)
+    newest = first_per_key(named, ["ticker"], _newest(), k).drop("timestamp")
+    return articles.select(*S.ARTICLE_VIEW).join(newest, "event_id").select(*S.ARTICLE_VIEW, "ticker")
 
 
 def articles_by_ticker(articles: DataFrame, ticker: str | None) -> DataFrame:
