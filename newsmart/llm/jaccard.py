@@ -51,8 +51,9 @@ LIMIT = 75
 LIGHT_MAX = 16
 #: Cost of scanning a set per shingle, in enumerated subsets.
 SCAN_COST = 4
-#: Shingles sorted by one task at a time, and classes compared at a time.
-SORTED = 4_000_000
+#: Shingles sorted by one task at a time, sets ranked at a time, and sets compared at a time.
+SORTED = 2_000_000
+PART = 16_384
 BLOCK = 1024
 
 
@@ -264,45 +265,55 @@ def _shared(rows: pd.DataFrame) -> pd.DataFrame:
         counts = np.diff(np.append(starts, len(h)))
         counts = np.repeat(counts, counts)
         h, owner, counts = h[counts > 1], owner[counts > 1], counts[counts > 1]
-    if not len(h):
-        return pd.DataFrame({"a": [], "b": [], "n": [], "hashes": [], "counts": []})
-    order = np.argsort(owner, kind="stable")
+    part = who["a"].view(np.uint64) % np.uint64(rows["parts"].iloc[0])
+    order = np.lexsort((owner, part[owner]))
     h, owner, counts = h[order], owner[order], counts[order]
-    cuts = np.flatnonzero(np.diff(owner)) + 1
-    mine = who[owner[np.concatenate([[0], cuts])]]
-    return pd.DataFrame(
-        {
-            "a": mine["a"],
-            "b": mine["b"],
-            "n": mine["n"],
-            "hashes": np.split(h.view(np.int64), cuts),
-            "counts": np.split(counts.astype(np.int32), cuts),
-        }
-    )
+    out = []
+    for low, high in _runs(part[owner]):
+        held, sizes = np.unique(owner[low:high], return_counts=True)
+        blobs = (who[held].tobytes(), sizes.tobytes(), h[low:high].tobytes(), counts[low:high].astype(np.int32).tobytes())
+        out.append((int(part[owner[low]]), *blobs))
+    return pd.DataFrame(out, columns=["part", "header", "sizes", "hashes", "counts"])
+
+
+def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of each run of equal values."""
+    cuts = np.flatnonzero(np.diff(values)) + 1 if len(values) else []
+    return zip([0, *cuts], [*cuts, len(values)], strict=True) if len(values) else iter(())
+
+
+def _rarest(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of one part of the classes: the shared shingles in which each can meet others.
+
+    A set may lack n - ceil(0.75 n) shingles; with so many of its own alone it is out.
+    """
+    header = np.concatenate([np.frombuffer(x, _HEADER) for x in rows["header"]])
+    who, number = np.unique(header, return_inverse=True)
+    owner = np.repeat(number, np.concatenate([np.frombuffer(x, np.int64) for x in rows["sizes"]]))
+    h = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["hashes"]])
+    counts = np.concatenate([np.frombuffer(x, np.int32) for x in rows["counts"]])
+    order = np.lexsort((h, counts, owner))
+    h, owner = h[order], owner[order]
+    held = np.bincount(owner, minlength=len(who))
+    rank = np.arange(len(owner)) - (np.cumsum(held) - held)[owner]
+    lack = who["n"] + (-LIMIT * who["n"]) // 100 + 1
+    taken = np.maximum(lack - (who["n"] - held), 0)
+    keep = rank < taken[owner]
+    mine = who[owner[keep]]
+    return pd.DataFrame({"a": mine["a"], "b": mine["b"], "shingle": h[keep].view(np.int64)})
 
 
-def inverted(docs: DataFrame, total: int, most: int) -> DataFrame:
+def inverted(docs: DataFrame, total: int, sets_: int, most: int) -> DataFrame:
     """shingle, key: the lists of rarest shingles in which heavy sets can meet."""
-    ranges = max(1, -(-total // SORTED))
-    shared = (
+    ranges, parts = max(1, -(-total // SORTED)), max(1, -(-sets_ // PART))
+    return (
         _blocks(docs, ranges, most)
+        .withColumn("parts", F.lit(parts))
         .groupBy("range")
-        .applyInPandas(_shared, "a long, b long, n long, hashes array<long>, counts array<int>")
-    )
-    whole = (
-        shared.groupBy("a", "b", "n")
-        .agg(F.flatten(F.collect_list(F.arrays_zip(F.col("counts").alias("c"), F.col("hashes").alias("h")))).alias("held"))
-    )
-    # A set may lack n - ceil(0.75 n) shingles; with so many of its own alone it is out.
-    lack = F.col("n") - F.ceil(F.col("n") * LIMIT / 100) + 1
-    alone = F.col("n") - F.size("held")
-    return (
-        whole.where(alone < lack)
-        .select(
-            F.struct("a", "b").alias("key"),
-            F.explode(F.slice(F.array_sort("held"), F.lit(1), (lack - alone).cast("int"))).alias("x"),
-        )
-        .select("key", F.col("x.h").alias("shingle"))
+        .applyInPandas(_shared, "part long, header binary, sizes binary, hashes binary, counts binary")
+        .groupBy("part")
+        .applyInPandas(_rarest, "a long, b long, shingle long")
+        .select("shingle", F.struct("a", "b").alias("key"))
     )
 
 
@@ -397,8 +408,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     listed = stored(classes(own), "jaccard-classes")
     sizes = {r["n"]: r["count"] for r in listed.where(F.col("n") <= LIGHT_MAX).groupBy("n").count().collect()}
     most = boundary(sizes)
-    total = listed.agg(F.sum("n")).first()[0] or 0
-    links = heavy_links(docs, listed, stored(inverted(docs, total, most), "jaccard-lists"))
+    total, n_sets = listed.agg(F.sum("n"), F.count("*")).first()
+    links = heavy_links(docs, listed, stored(inverted(docs, total or 0, n_sets, most), "jaccard-lists"))
     if most:
         links = links.union(light_links(listed, most))
     found = components(links)
