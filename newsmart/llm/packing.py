@@ -18,9 +18,10 @@ gives no piece.
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -32,8 +33,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Pieces packed by one task.
 GROUP = 16384
-#: Words whose ids a task remembers, about 100 MB.
-CACHE_WORDS = 500_000
+#: Words whose ids a task remembers, about 200 MB.
+CACHE_WORDS = 1_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -44,8 +45,31 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-#: A full stop or comma that ends a word of letters is a token run of its own.
-_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
+def _byte_signs() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself, or the next one free."""
+    own = {*range(33, 127), *range(161, 256)} - {173}
+    free = iter(range(256, 512))
+    return {b: chr(b if b in own else next(free)) for b in range(256)}
+
+
+_SIGNS = _byte_signs()
+
+
+def _bare(tokenizer: object) -> object | None:
+    """The vocabulary alone, for words of letters that its normalizer would not change."""
+    from tokenizers import Tokenizer
+
+    made = json.loads(tokenizer.to_str())
+    steps = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", [])]
+    if steps != ["NFC", "Replace", "Lowercase"] or made["pre_tokenizer"]["pretokenizers"][-1]["type"] != "ByteLevel":
+        return None
+    return Tokenizer.from_str(
+        json.dumps(made | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []})
+    )
+
+
+#: Signs that end a word of letters as tokens of their own.
+_STOPS = (b".", b",")
 
 
 class WordIds:
@@ -60,31 +84,59 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cache = Tokenizer.from_file(path), {}
-
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        encoding = self.tokenizer.encode(
-            [w.decode() for w in words], is_pretokenized=True, add_special_tokens=False
-        )
-        ids = np.asarray(encoding.ids, "<u4")
+        self.bare = _bare(self.tokenizer)
+        self.stop = {c: self._whole(c.decode()) for c in _STOPS}
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words not yet known; one that ends in a stop is its stem and the stop."""
+        stops = [w for w in words if w[-1:] in _STOPS and w[-2:-1].isalpha()]
+        stems = {w[:-1] for w in stops}
+        missing = [w for w in words.difference(stops) | stems if w not in self.cache]
+        own: dict[bytes, bytes] = {}
+        for at in range(0, len(missing), 20_000):
+            own |= self._encode(missing[at : at + 20_000])
+        for w in stops:
+            stem = w[:-1]
+            own[w] = (own[stem] if stem in own else self.cache[stem]) + self.stop[w[-1:]]
+        return own
+
+    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        if self.bare is None:
+            return self._encoded(self.tokenizer, words, [w.decode() for w in words])
+        plain, signs, rest = [], [], []
+        for w in words:
+            if w.isalpha():  # ASCII letters alone, in lower case already
+                plain.append(w)
+                signs.append(w.decode())
+            elif (t := w.decode()).isalpha() and t.lower() == t and is_normalized("NFC", t):
+                plain.append(w)
+                signs.append(w.decode("latin-1").translate(_SIGNS))
+            else:
+                rest.append(w)
+        return self._encoded(self.bare, plain, signs) | self._encoded(self.tokenizer, rest, [w.decode() for w in rest])
+
+    @staticmethod
+    def _encoded(tokenizer: object, words: list[bytes], texts: list[str]) -> dict[bytes, bytes]:
+        if not words:
+            return {}
+        encoding = tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
+        ids = np.asarray(encoding.ids, "<u4").tobytes()
         ends = np.searchsorted(np.asarray(encoding.word_ids, np.int64), np.arange(len(words)), "right")
-        starts = np.concatenate([[0], ends[:-1]])
-        return {w: ids[a:b].tobytes() for w, a, b in zip(words, starts, ends, strict=True)}
+        ends = (4 * ends).tolist()
+        return {w: ids[a:b] for w, a, b in zip(words, [0, *ends[:-1]], ends, strict=True)}
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Per text its ids, little-endian unsigned 32-bit."""
-        plain = [b"" if "<|" in t else _STOP.sub(rb" \1", t.encode().lower()) for t in texts]
-        split = [t.split() for t in plain]
         known = self.cache
-        unknown = list({w for words in split for w in words if w not in known})
-        own: dict[bytes, bytes] = {}
-        for at in range(0, len(unknown), 20_000):
-            own |= self._learn(unknown[at : at + 20_000])
-        known.update(dict(list(own.items())[: CACHE_WORDS - len(known)]))
-        look = own.get
-        return [
-            self._whole(t) if "<|" in t else b"".join([known.get(w) or look(w, b"") for w in words])
-            for t, words in zip(texts, split, strict=True)
-        ]
+        split = [[] if "<|" in t else t.encode().lower().split() for t in texts]
+        new = self._learn(set().union(*split).difference(known))
+        known.update(new)
+        ids = known.__getitem__
+        out = [self._whole(t) if "<|" in t else b"".join(map(ids, words)) for t, words in zip(texts, split, strict=True)]
+        if len(known) > CACHE_WORDS:
+            for w in new:
+                del known[w]
+        return out
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
