@@ -38,7 +38,6 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from newsmart.llm.common import bloom_of, stored, text_of
 from newsmart.llm.components import components
@@ -51,8 +50,10 @@ LIMIT = 75
 LIGHT_MAX = 16
 #: Cost of scanning a set per shingle, in enumerated subsets.
 SCAN_COST = 4
-#: Shingles sorted by one task at a time, sets ranked at a time, and sets compared at a time.
-SORTED = 2_000_000
+#: Shingles that a task sorts before it sends them, shingles of a range, sets ranked at a
+#: time, and sets compared at a time.
+SENT = 1_000_000
+SORTED = 3_000_000
 PART = 16_384
 BLOCK = 1024
 
@@ -195,7 +196,7 @@ def _from_planes(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
-_HEADER = np.dtype([("a", "<i8"), ("b", "<i8"), ("n", "<i8")])
+_HEADER = np.dtype([("a", "<i8"), ("b", "<i8"), ("n", "<i4")])
 
 
 def _blocks(docs: DataFrame, ranges: int, most: int) -> DataFrame:
@@ -231,7 +232,7 @@ def _blocks(docs: DataFrame, ranges: int, most: int) -> DataFrame:
                 parts.append(own)
                 header.append((*key, len(own)))
                 held += len(own)
-                if held >= SORTED // 2:
+                if held >= SENT:
                     yield from flush(parts, header)
                     parts, header, held = [], [], 0
         yield from flush(parts, header)
@@ -296,8 +297,9 @@ def _rarest(rows: pd.DataFrame) -> pd.DataFrame:
     h, owner = h[order], owner[order]
     held = np.bincount(owner, minlength=len(who))
     rank = np.arange(len(owner)) - (np.cumsum(held) - held)[owner]
-    lack = who["n"] + (-LIMIT * who["n"]) // 100 + 1
-    taken = np.maximum(lack - (who["n"] - held), 0)
+    n = who["n"].astype(np.int64)
+    lack = n + (-LIMIT * n) // 100 + 1
+    taken = np.maximum(lack - (n - held), 0)
     keep = rank < taken[owner]
     mine = who[owner[keep]]
     return pd.DataFrame({"a": mine["a"], "b": mine["b"], "shingle": h[keep].view(np.int64)})
@@ -365,17 +367,16 @@ def heavy_links(docs: DataFrame, listed: DataFrame, lists: DataFrame) -> DataFra
     heads = lists.groupBy("shingle").agg(F.min("key").alias("head"), F.count("*").alias("n")).where("n > 1")
     met = lists.join(heads, "shingle").where("key != head").select(F.col("key").alias("u"), F.col("head").alias("v"))
     groups = components(met)
-    ranked = Window.partitionBy("root").orderBy("n", "key")
     members = stored(
-        groups.join(listed, groups["id"] == listed["key"])
-        .select("key", "n", "root", "doc_id", "text_hash", ((F.row_number().over(ranked) - 1) / BLOCK).cast("int").alias("i")),
-        "jaccard-members",
-    )
-    blocks = members.groupBy("root").agg((F.max("i") + 1).alias("blocks"))
+        groups.join(listed, groups["id"] == listed["key"]).select("key", "root", "doc_id", "text_hash"), "jaccard-members"
+    )
+    # Dealt by hash, so that no task holds a whole group.
+    blocks = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     few = F.col("blocks") == 1
     bins = max(1, -(-members.count() // BLOCK))
     placed = (
         members.join(blocks, "root")
+        .withColumn("i", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("grp", F.concat_ws("/", F.col("root.a"), F.col("root.b"), F.least("i", "j"), F.greatest("i", "j")))
         .withColumn("task", F.when(few, F.pmod(F.xxhash64("root"), F.lit(bins)).cast("string")).otherwise(F.col("grp")))
@@ -413,12 +414,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if most:
         links = links.union(light_links(listed, most))
     found = components(links)
-    named = (
-        found.join(listed, found["id"] == listed["key"])
-        .select("id", "root", "doc_id")
-        .withColumn("least", F.min("doc_id").over(Window.partitionBy("root")))
-        .select(F.col("id").alias("key"), "least")
-    )
+    firsts = found.join(listed, found["id"] == listed["key"]).groupBy("root").agg(F.min("doc_id").alias("least"))
+    named = found.join(firsts, "root").select(F.col("id").alias("key"), "least")
     reps = listed.select("key", F.col("doc_id").alias("first_id")).join(named, "key", "left")
     reps = stored(reps.select("key", F.coalesce("least", "first_id").alias("component_id")), "jaccard-components")
     return own.join(reps, "key", "left").select(

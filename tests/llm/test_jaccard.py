@@ -64,6 +64,7 @@ def test_equals_brute_force(spark, documents, monkeypatch, most, block):
     monkeypatch.setattr(J, "boundary", lambda sizes: most)
     monkeypatch.setattr(J, "BLOCK", block)
     monkeypatch.setattr(J, "SORTED", 3000)
+    monkeypatch.setattr(J, "SENT", 1500)
     monkeypatch.setattr(J, "PART", 20)
     rows = corpus(most + block)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(documents(rows)).collect()), key=repr)
