@@ -18,6 +18,7 @@ gives no piece.
 
 from __future__ import annotations
 
+import gc
 import json
 import zlib
 from collections.abc import Iterator
@@ -127,6 +128,16 @@ class WordIds:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Per text its ids, little-endian unsigned 32-bit."""
+        # Lists of many words hold no cycles, and collecting them takes a sixth of the time.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._batch(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _batch(self, texts: list[str]) -> list[bytes]:
         known = self.cache
         split = [[] if "<|" in t else t.encode().lower().split() for t in texts]
         new = self._learn(set().union(*split).difference(known))
