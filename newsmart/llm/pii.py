@@ -8,6 +8,10 @@ card, octets in range, names of the title's gender in the script of the name, an
 the punctuation and case of the place it is put.  The surrogate depends on nothing
 else, so an entity reads alike in all documents.
 
+A titled name runs over all name words that follow, hyphens, apostrophes, particles and
+initials included; each word is an entity.  The words of a document's titled names are
+replaced wherever else the document has them, titled or not.
+
 Collision check: the distinct entities of the whole corpus are grouped by
 surrogate, and one that shares its surrogate with another, or whose surrogate is
 itself an entity, is drawn again under the next attempt number, until none is
@@ -29,9 +33,20 @@ from newsmart.llm.common import stored
 MAX_ATTEMPTS = 40
 
 _TITLES = {
-    "m": "Mr|Herr|Monsieur|Señor|Sr|Господин|Κύριος",
-    "f": "Mrs|Ms|Miss|Frau|Madame|Mme|Mademoiselle|Señora|Sra|Госпожа|Κυρία",
+    "m": "Mr|Mister|Herrn|Herr|Monsieur|Señor|Sr|Sir|Lord|Don|Господин|Κύριος|"
+    "Dr|Doctor|Doktor|Docteur|Prof|Professor|Professeur|Profesor|Rev|Доктор|Профессор|Δρ|Καθηγητής",
+    "f": "Mrs|Ms|Miss|Madam|Lady|Frau|Fräulein|Madame|Mme|Mademoiselle|Mlle|Señora|Señorita|Srta|Sra|Doña|"
+    "Dra|Profesora|Professorin|Госпожа|Κυρία",
 }
+_TITLED = rf"(?:(?:{_TITLES['m']}|{_TITLES['f']})(?:\.\s{{0,3}}|\s{{1,3}}))+"
+_WORD = r"\p{Lu}[\p{L}\p{M}]+"
+_CORE = rf"(?:\p{{Lu}}[\x27’])?{_WORD}(?:[\x27’-]{_WORD}|-\p{{Ll}}[\p{{L}}\p{{M}}]+)*+"
+_BEFORE = r"(?:\p{Lu}\.[ -]?|(?:von|vom|van|der|den|de|del|della|di|da|dos|du|la|le|zu|zur|bin|ibn|al|el) |[dl][\x27’])*"
+_RUN = rf"{_BEFORE}{_CORE}(?: {_BEFORE}{_CORE})*"
+#: A word of a name with what stands before it; the words of a run, joined, are the run.
+_PART = rf".*?(?:{_WORD}|(?<=-)\p{{Ll}}[\p{{L}}\p{{M}}]+|\p{{Lu}}(?=\.))"
+#: A word that may be the later mention of a name.
+_MENTION = rf"(?<![\p{{L}}\p{{M}}\p{{N}}]){_WORD}|(?<=\p{{L}}-)\p{{Ll}}[\p{{L}}\p{{M}}]+"
 _SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\x22']?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 
@@ -45,8 +60,15 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "phone": r"(?<![\d(+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
-    r"|(?<![\d(+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
-    "person": rf"(?<!\p{{L}})(?:{_TITLES['m']}|{_TITLES['f']})\.? \p{{Lu}}[\p{{Ll}}\p{{M}}]+(?: \p{{Lu}}[\p{{Ll}}\p{{M}}]+)?",
+    r"|(?<![\d(+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)"
+    # National forms: French, German and British after 0, Spanish without it.
+    r"|(?<![\d.,(+/-])0[1-9](?:[ .-]?\d{2}){4}(?![\d,/]|[.-]\d)"
+    r"|(?<![\d.,(+/-])0\d{2,4}(?:[ /]| ?[/-] ?(?=\d{5}))\d{3,8}(?:[ -]\d{1,5}){0,3}(?![\d,/]|[.-]\d)"
+    r"|(?<![\d.,(+/-])020 \d{4} \d{4}(?!\d)|(?<![\d.,(+/-])0\d{9,10}(?![\d,/]|[.-]\d)"
+    r"|(?<!\d)\(0\d{1,4}\) ?\d{3,8}(?:[ -]\d{2,5}){0,3}(?!\d)"
+    r"|(?<![\d.,(+/-]|\d )(?:[6-9]\d{2}(?: \d{3}){2}|[6-9]\d{2}(?:-\d{3}){2}|[6-9]\d{2}(?:[ -]\d{2}){3}|[89]\d[ -]\d{3}(?:[ -]\d{2}){2})"
+    r"(?![\d,/]|[ .-]\d)",
+    "person": rf"(?<!\p{{L}}){_TITLED}{_RUN}",
 }
 
 #: Given names by gender and script.
@@ -87,22 +109,33 @@ def _script(x: str) -> str:
     return f"case when {x} rlike '\\\\p{{IsCyrillic}}' then 'cyrillic' when {x} rlike '\\\\p{{IsGreek}}' then 'greek' else 'latin' end"
 
 
+def _cased(w: str) -> str:
+    """SQL: the norm of a word of a name, alike for SMITH and Smith."""
+    return f"if({w} rlike '^\\\\p{{Lu}}{{2,}}$', initcap({w}), {w})"
+
+
 def entities(m: str) -> str:
-    """SQL for the entities of a match: array of (type, prefix, shown, norm); a full name is two."""
+    """SQL for the entities of a match: array of (type, prefix, shown, norm); a name is one per word."""
     digits = f"regexp_replace({m}, '[^0-9]', '')"
     head = f"regexp_extract({m}, {_q('^' + _SECRET)}, 0)"
     value = f"substr({m}, length({head}) + 1)"
-    title = f"regexp_extract({m}, {_q(r'^\S+ ')}, 0)"
-    names = f"split(substr({m}, length({title}) + 1), ' ')"
-    gender = f"case when {m} rlike '^(?:{_TITLES['m']})[. ]' then 'm' else 'f' end"
+    title = f"regexp_extract({m}, {_q('^' + _TITLED + '(?=' + _RUN + '$)')}, 0)"
+    run = f"substr({m}, length({title}) + 1)"
+    parts = f"regexp_extract_all({run}, {_q(_PART)}, 0)"
+    # The words after the last space are the surname.
+    last = f"size(regexp_extract_all(regexp_extract({run}, '[^ ]+$', 0), {_q(_PART)}, 0))"
+    female = _q(r"(?:^|[\s.])(?:" + _TITLES["f"] + r")[.\s]")
+    gender = f"if({title} rlike {female}, 'f', 'm')"
 
     def one(kind_: str, prefix: str, shown: str, norm: str) -> str:
         return f"named_struct('type', {kind_}, 'prefix', {prefix}, 'shown', {shown}, 'norm', {norm})"
 
-    last = f"element_at({names}, -1)"
-    surname = one(f"concat('surname.', {_script(last)})", "' '", last, last)
-    given = one(f"concat({gender}, '.', {_script(names + '[0]')})", title, f"{names}[0]", f"{names}[0]")
-    alone = one(f"concat('surname.', {_script(last)})", title, last, last)
+    word = f"regexp_extract(x, {_q('(?:' + _WORD + '|(?<=-)' + r'\p{Ll}[\p{L}\p{M}]+' + r'|\p{Lu})$')}, 0)"
+    role = f"concat(if(i >= size(p.parts) - p.last, 'surname', p.gender), '.', {_script('w')})"
+    before = "concat(if(i = 0, p.title, ''), substr(x, 1, length(x) - length(w)))"
+    named = one(role, before, "w", _cased("w"))
+    person = f"""element_at(transform(array(named_struct('parts', {parts}, 'last', {last}, 'title', {title}, 'gender', {gender})),
+        p -> transform(p.parts, (x, i) -> element_at(transform(array({word}), w -> {named}), 1))), 1)"""
     return f"""case {kind(m)}
       when 'email' then array({one("'email'", "''", m, f'lower({m})')})
       when 'secret' then array({one("'secret'", head, value, value)})
@@ -114,7 +147,7 @@ def entities(m: str) -> str:
       when 'phone' then array({one("'phone'", f"regexp_extract({m}, '^[+][0-9]{{1,3}}(?=[^0-9])', 0)",
         f"regexp_replace({m}, '^[+][0-9]{{1,3}}(?=[^0-9])', '')",
         f"regexp_replace(regexp_replace({m}, '^[+][0-9]{{1,3}}(?=[^0-9])', ''), '[^0-9]', '')")})
-      else case when size({names}) = 2 then array({given}, {surname}) else array({alone}) end end"""
+      else {person} end"""
 
 
 def _draw(stream: str, i: str) -> str:
@@ -179,11 +212,16 @@ def surrogate(kind_: str, norm: str, attempt: str, key: str) -> str:
       when 'account' then {with_stream(f"concat(substr({norm}, 1, 2), substr({chars(norm)}, 3))")}
       when 'card' then {with_stream(card)}
       when 'ssn' then {with_stream(leading)}
-      when 'phone' then {with_stream(leading)}
+      when 'phone' then {with_stream(f"if({norm} like '0%', concat('0', substr({leading}, 1, 1), substr({chars(norm)}, 3)), {leading})")}
       when 'ip' then {with_stream(octets)}
       {given} {surname} end"""
 
 
+def _like(w: str, made: str) -> str:
+    """SQL: a made name, in capitals where the word it replaces is, an initial for an initial."""
+    return f"case when length({w}) = 1 then substr({made}, 1, 1) when {w} rlike '^\\\\p{{Lu}}+$' then upper({made}) else {made} end"
+
+
 def shown(e: str, made: str) -> str:
     """SQL: a surrogate in the format of the place it is put."""
     digit = f"length(regexp_replace(substr({e}.shown, i + 1), '[^0-9]', ''))"
@@ -200,7 +238,8 @@ def shown(e: str, made: str) -> str:
         f"substr({made}, length(replace(substr({e}.shown, 1, i), ' ', '')) + 1, 1))), '')"
     )
     return f"""concat({e}.prefix, case when {e}.type in ('card', 'ssn', 'phone') then {poured}
-      when {e}.type = 'email' then {cased} when {e}.type = 'account' then {spaced} else {made} end)"""
+      when {e}.type = 'email' then {cased} when {e}.type = 'account' then {spaced}
+      when {e}.type like '%.%' then {_like(f'{e}.shown', made)} else {made} end)"""
 
 
 def found(docs: DataFrame) -> DataFrame:
@@ -264,11 +303,27 @@ def replace(docs: DataFrame, key: str = "newsmart") -> DataFrame:
         "transform(matches, m -> array_join(transform(m, e -> "
         f"element_at(transform(array({made}), x -> {shown('e', 'x')}), 1)), ''))"
     )
+    # Names of the document by norm; an initial names nobody elsewhere.
+    own = "array_distinct(filter(flatten(matches), e -> e.type like '%.%' and length(e.norm) > 1).norm)"
+    first = "element_at(filter(flatten(matches), e -> e.type like '%.%' and e.norm = n), 1)"
+    known = (
+        f"element_at(transform(array({own}), ns -> map_from_arrays(ns, transform(ns, n -> "
+        f"element_at(transform(array({first}), e -> {made}), 1)))), 1)"
+    )
+    mention = (
+        f"transform(regexp_extract_all(piece, {_q(_MENTION)}, 0), w -> "
+        f"element_at(transform(array(known[{_cased('w')}]), y -> if(y is null, w, {_like('w', 'y')})), 1))"
+    )
+    later = (
+        f"if(cardinality(known) = 0, piece, array_join(zip_with(split(piece, {_q(_MENTION)}, -1), {mention}, "
+        "(a, b) -> concat(a, coalesce(b, ''))), ''))"
+    )
     return rows.select(
         "doc_id",
         F.expr(
-            f"""if(size(matches) > 0, array_join(zip_with(split(text, {_q(combined())}, -1), {new},
-            (piece, x) -> concat(piece, coalesce(x, ''))), ''), text)"""
+            f"""if(size(matches) > 0, element_at(transform(array({known}), known ->
+            array_join(zip_with(split(text, {_q(combined())}, -1), {new},
+            (piece, x) -> concat({later}, coalesce(x, ''))), '')), 1), text)"""
         ).alias("text"),
         F.greatest(F.size("matches"), F.lit(0)).alias("n_entities"),
         F.array_sort(F.array_distinct(F.transform(F.coalesce(flat, F.array()), lambda e: e["type"]))).alias("types"),

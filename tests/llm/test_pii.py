@@ -76,3 +76,35 @@ def test_empty_table(spark, documents):
 def test_plan_is_native(spark, documents):
     plan = pii.replace(documents(ROWS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_whole_names_and_later_mentions(spark, documents):
+    rows = [
+        (1, "Mr. John Paul Smith left. John Smith said that Smith's dog and SMITH went."),
+        (2, "Mr McDonald met Frau Anna-Lena Schmidt and Dr. O'Neil, then Schmidt and O'Neil."),
+        (3, "Prof. Dr. Ursula von der Leyen, Mr. J. R. Tolkien; Herr Dr. Weber-Braun. No Smith here."),
+        (4, "Профессор Иван Петров и Петров"),
+        (5, "Mr SMITH and Mrs. Al-sayed"),
+    ]
+    got = run(documents, rows)
+    gone = {1: "John Paul Smith SMITH", 2: "McDonald Donald Anna Lena Schmidt Neil", 3: "Ursula Leyen Tolkien Weber Braun", 4: "Иван Петров", 5: "SMITH Al sayed"}
+    for doc_id, names in gone.items():
+        for name in names.split():
+            assert not re.search(rf"(?<!\w){re.escape(name)}", of(got, doc_id)), (name, of(got, doc_id))
+    one = re.fullmatch(r"Mr\. (\w+) (\w+) (\w+) left\. (\w+) (\w+) said that (\w+)'s dog and (\w+) went\.", of(got, 1))
+    assert one[1] == one[4] and one[3] == one[5] == one[6] and one[7] == one[3].upper()
+    two = re.fullmatch(r"Mr \w+ met Frau (\w+-\w+) (\w+) and Dr\. (O'\w+), then (\w+) and (O'\w+)\.", of(got, 2))
+    assert two[2] == two[4] and two[3] == two[5] and two[1].split("-")[0] in pii._GIVEN["f.latin"]
+    assert re.fullmatch(r"Prof\. Dr\. \w+ von der \w+, Mr\. \w\. \w\. \w+; Herr Dr\. \w+-\w+\. No Smith here\.", of(got, 3))
+
+
+def test_national_telephone_numbers(spark, documents):
+    numbers = "06 12 34 56 78|01.23.45.67.89|0612345678|030 1234567|0171/2345678|089 123 45 67|(030) 1234567|612 345 678|91 234 56 78|020 7946 0958"
+    rows = [(i, f"call {n} now") for i, n in enumerate(numbers.split("|"))]
+    plain = [(100 + i, x) for i, x in enumerate(["ISSN 0028-0836, 01-02-2024 and 2024-01-02", "0.0612345678 or 1 612 345 678 units", "in 2024 12 34 of 06"])]
+    got = run(documents, rows + plain)
+    for i, text in rows:
+        assert of(got, i) != text and re.sub(r"\d", "9", of(got, i)) == re.sub(r"\d", "9", text)
+        assert text[5] != "0" or of(got, i)[5] == "0"
+    for i, text in plain:
+        assert of(got, i) == text
