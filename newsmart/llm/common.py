@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsmart.llm.words import mix
 from newsmart.session import configure, scratch_path
@@ -54,6 +54,13 @@ def by_row(
     return run
 
 
+def row_key(frame: DataFrame, *more: str) -> Column:
+    """What tells rows apart: a hash of the id, the hash of the text, and ``more`` columns; null is a value."""
+    parts = [frame["doc_id"].cast("long"), F.xxhash64(frame["text"].cast("string")), frame["text"].isNull()]
+    parts += [frame[c].cast("string") for c in more]
+    return F.xxhash64(*(x for part in parts for x in (part, part.isNull())))
+
+
 def text_of(value: object) -> str:
     """The text of a cell; null is empty."""
     return value if isinstance(value, str) else ""

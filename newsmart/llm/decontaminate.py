@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from newsmart.llm.common import Bloom, bloom_of, stored, text_of
+from newsmart.llm.common import Bloom, bloom_of, row_key, stored, text_of
 from newsmart.llm.words import hashes, masked_hashes, spans
 
 WINDOW, ERRORS, LEAST = 16, 3, 5
@@ -231,6 +231,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; all columns stay."""
-    bad = stored(overlaps(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """``docs`` without the rows that hold a benchmark item; all columns stay."""
+    rows = docs.select(row_key(docs).alias("doc_id"), docs["text"])
+    bad = stored(overlaps(rows, benchmark).select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
+    return docs.join(bad, row_key(docs) == bad["_bad"], "left_anti")

@@ -37,7 +37,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from newsmart.llm.common import bloom_of, stored, text_of
 from newsmart.llm.components import components
@@ -405,6 +405,13 @@ def heavy_links(docs: DataFrame, listed: DataFrame, lists: DataFrame) -> DataFra
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+    return _placed(docs).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    )
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """The rows of ``sets`` with component_id and ``root``, which names a component that has no id."""
     own = stored(sets(docs), "jaccard-sets")
     listed = stored(classes(own), "jaccard-classes")
     sizes = {r["n"]: r["count"] for r in listed.where(F.col("n") <= LIGHT_MAX).groupBy("n").count().collect()}
@@ -415,17 +422,40 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = links.union(light_links(listed, most))
     found = components(links)
     firsts = found.join(listed, found["id"] == listed["key"]).groupBy("root").agg(F.min("doc_id").alias("least"))
-    named = found.join(firsts, "root").select(F.col("id").alias("key"), "least")
+    named = found.join(firsts, "root").select(F.col("id").alias("key"), "least", "root")
     reps = listed.select("key", F.col("doc_id").alias("first_id")).join(named, "key", "left")
-    reps = stored(reps.select("key", F.coalesce("least", "first_id").alias("component_id")), "jaccard-components")
-    return own.join(reps, "key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    chosen = reps.select("key", F.coalesce("least", "first_id").alias("component_id"), F.coalesce("root", "key").alias("root"))
+    return own.join(stored(chosen, "jaccard-components"), "key", "left")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; all columns stay."""
-    copies = stored(
-        near_duplicates(docs).where("doc_id != component_id").select(F.col("doc_id").alias("_copy")).distinct(), "copies"
+    """``docs`` with one row of each component, of the smallest id; all columns and rows without words stay."""
+    named = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text_hash")
+    key = F.xxhash64(
+        docs["doc_id"].cast("long"), docs["doc_id"].isNull(), F.xxhash64(docs["text"].cast("string"))
+    )
+    own = _placed(docs).where("n > 0")
+    rows = stored(own.select(named.alias("row"), "root", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("least")), "rows")
+    # Several rows share the least id only where ids are null or repeat.
+    several = (
+        rows.where("least")
+        .groupBy("root")
+        .agg(F.min("row").alias("first"), F.count("*").alias("n_rows"))
+        .where("n_rows > 1")
+    )
+    several = stored(several, "several-rows")
+    others = rows.where("least").join(several, "root").where(F.col("row") != F.col("first"))
+    copies = rows.where("not least").select("row").union(others.select("row"))
+    copies = stored(copies.select(F.col("row").alias("_copy")).distinct(), "copies")
+    kept = docs.join(copies, key == copies["_copy"], "left_anti")
+    if not several.head(1):
+        return kept
+    again = several.select(F.col("first").alias("_first"))
+    alike = Window.partitionBy("_first").orderBy(F.xxhash64(*(docs[c] for c in docs.columns)))
+    once = (
+        kept.join(again, key == again["_first"])
+        .withColumn("_nth", F.row_number().over(alike))
+        .where("_nth = 1")
+        .drop("_first", "_nth")
     )
-    return docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+    return kept.join(again, key == again["_first"], "left_anti").union(once)

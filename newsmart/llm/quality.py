@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Row, functions as F
 
-from newsmart.llm.common import stored, text_of
+from newsmart.llm.common import row_key, stored, text_of
 from newsmart.llm.words import covered, hashes, repeated, spans, window_hashes
 
 #: Labelled documents to learn from, at most.
@@ -241,7 +241,11 @@ def _strength(groups: DataFrame, prior: str) -> float:
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, host, path, quality and toxicity of the document, site shift, and ``kept``."""
-    own = stored(score(docs, *train(docs, labels)), "quality-scores")
+    return _judged(score(docs, *train(docs, labels)))
+
+
+def _judged(scores: DataFrame) -> DataFrame:
+    own = stored(scores, "quality-scores")
     p = F.col("good") / 1e6 * (F.col("clean") / 1e6)
     own = own.withColumn("p", F.round(p * 1e6).cast("long"))
     paths = stored(own.groupBy("host", "path").agg(F.sum("p").alias("sum"), F.count("*").alias("n")), "quality-paths")
@@ -275,6 +279,9 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents the classifier rejects; all columns stay."""
-    bad = stored(judge(docs, labels).where("not kept").select(F.col("doc_id").alias("_bad")).distinct(), "rejected")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """``docs`` without the rows the classifier rejects; all columns stay."""
+    key = row_key(docs, "source", "lang")
+    rows = docs.select(key.alias("doc_id"), docs["text"], docs["source"], docs["lang"])
+    verdicts = _judged(score(rows, *train(docs, labels)))
+    bad = stored(verdicts.where("not kept").select(F.col("doc_id").alias("_bad")).distinct(), "rejected")
+    return docs.join(bad, key == bad["_bad"], "left_anti")

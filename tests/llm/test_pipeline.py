@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from newsmart.llm import lines, quality, queries
@@ -45,3 +46,33 @@ def test_run(spark):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_every_query_runs(spark, name):
     assert queries.QUERIES[name](spark, SF_DIR).count() > 0
+
+
+def test_stages_decide_on_rows(spark, documents):
+    """Null and repeated ids, clean and bad rows mixed: each row meets its own fate."""
+    from newsmart.llm import decontaminate, jaccard
+
+    def texts(frame):
+        return sorted(((r.doc_id, r.text) for r in frame.collect()), key=repr)
+
+    one, two, three = ("".join(f"{w}{i} " for i in range(30)) for w in "abc")
+    bench = spark.createDataFrame([(1, one)], "item_id long, text string")
+    mixed = [(None, one), (None, two), (None, None), (7, one), (7, three)]
+    assert texts(decontaminate.clean(documents(mixed), bench)) == sorted([mixed[1], mixed[2], mixed[4]], key=repr)
+
+    copies = [(None, one), (None, one), (None, two), (5, two), (6, three), (6, three), (8, three), (8, one), (None, None), (None, "")]
+    want = [(8, one), (5, two), (6, three), (None, None), (None, "")]
+    assert texts(jaccard.keep_first(documents(copies))) == sorted(want, key=repr)
+    nulls = [(None, one), (None, one), (None, one + "z"), (None, two)]
+    got = texts(jaccard.keep_first(documents(nulls)))
+    assert len(got) == 2 and got[1] == (None, two) and got[0] in nulls
+
+    docs, labels = table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "labels")
+    verdicts = quality.judge(docs, labels).where("kept").collect()
+    good = docs.where(docs["doc_id"] == verdicts[0].doc_id)
+    unnamed = good.withColumn("doc_id", F.lit(None).cast("long"))
+    blank = unnamed.withColumn("text", F.lit(""))
+    repeated = good.withColumn("text", F.lit(""))
+    kept = quality.keep(docs.unionByName(unnamed).unionByName(blank).unionByName(repeated), labels)
+    assert kept.where("doc_id is null").count() == 1 and kept.where("text = ''").count() == 0
+    assert kept.where(kept["doc_id"] == verdicts[0].doc_id).count() == 1
