@@ -1,6 +1,7 @@
 """Benchmark decontamination by spaced seeds.
 
-Words are compared in lower case without ASCII punctuation.  A document holds an
+Words are compared in lower case without ASCII punctuation; in scripts written without
+spaces (Chinese, Japanese, Thai, Lao, Burmese, Khmer) each character is a word.  A document holds an
 item if, at some shift, ``WINDOW`` words in a row agree with words of the item but for
 ``ERRORS`` substitutions at most; for an item of fewer words the whole of it must
 agree, with errors in proportion.  Items of under ``LEAST`` words are no evidence.
@@ -23,6 +24,7 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Iterator
 
@@ -33,16 +35,24 @@ from pyspark.sql import DataFrame, functions as F
 from newsmart.llm.common import Bloom, bloom_of, row_key, stored, text_of
 from newsmart.llm.words import hashes, masked_hashes, spans
 
-WINDOW, ERRORS, LEAST = 16, 3, 5
+WINDOW, ERRORS, LEAST = 16, 3, 3
 #: Items from so many words on use these masks (1: the word counts); fixed values.
 FAMILIES = {
     16: ("1110010111", "11110111", "11010000010111", "1001111011"),
     11: ("1110111", "110100111", "1111101", "111111"),
     6: ("1111", "11011"),
     5: ("11111",),
+    4: ("1111",),
+    3: ("111",),
 }
 #: Bytes of texts that are hashed at once.
 TOGETHER = 1 << 18
+#: Characters that are words of their own, and the punctuation between them.
+_UNSPACED = re.compile(
+    "[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]"
+)
+_MARKS = re.compile("[\u3000-\u303f\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
 _PLAIN = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
@@ -61,7 +71,10 @@ def family(n_words: int) -> int:
 
 
 def _plain(text: object) -> bytes:
-    return text_of(text).lower().encode().translate(_PLAIN)
+    plain = text_of(text).lower()
+    if not plain.isascii() and (_UNSPACED.search(plain) or _MARKS.search(plain)):
+        plain = _UNSPACED.sub(r" \g<0> ", _MARKS.sub(" ", plain))
+    return plain.encode().translate(_PLAIN)
 
 
 def words(text: object) -> np.ndarray:

@@ -93,3 +93,12 @@ def test_filter_lets_every_key_through(spark):
     keys = np.array([r.h for r in frame.collect()])
     assert bloom.holds(keys).all()
     assert bloom.holds(keys + 1).mean() < 0.02
+
+
+def test_short_and_unspaced_items(spark, documents):
+    items = [(1, "What is 2+2?"), (2, "中国的首都是哪个城市?请选择正确答案。"), (3, "日本で一番高い山は何ですか"), (4, "ประเทศไทยมีกี่จังหวัด"), (5, "a b c d e")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(i, f"Before it, {text} and after") for i, text in items]
+    docs += [(10, "前言" + items[1][1] + "后记"), (11, "What is 3+2 or 2+3"), (12, "日本で一番長い川"), (13, "b c d e f")]
+    got = {(r.doc_id, r.item_id) for r in D.overlaps(documents(docs), bench).collect()}
+    assert got == {(i, i) for i, _ in items} | {(10, 2)}
