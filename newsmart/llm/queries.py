@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import decontaminate, html, jaccard, licenses, lines, packing, pii, quality, rules, urls
+from newsmart.llm import (
+    decontaminate, html, jaccard, licenses, lines, packing, pii, quality, rules, runs, turns, urls, windows,
+)
 from newsmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,5 +64,28 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_empirical_bayes_quality, op2_site_spread_line_dedup, op3_spaced_seed_decontamination, op4_sum_of_squares_packing, op5_heavy_light_jaccard_join, op6_url_filters, op7_license_scan, op8_quality_rules, op9_surrogates, op10_html_extraction)}
+def op11_survivor_viterbi_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    return turns.audit(turns.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_monotone_queue_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of every document goes when their order is kept."""
+    return windows.packed(table(spark, sf_dir, "documents"))
+
+
+def op13_basic_factor_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, every tenth with a planted tail."""
+    return runs.summary(table(spark, sf_dir, "documents"), runs.planted)
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_empirical_bayes_quality, op2_site_spread_line_dedup, op3_spaced_seed_decontamination,
+        op4_sum_of_squares_packing, op5_heavy_light_jaccard_join, op6_url_filters, op7_license_scan,
+        op8_quality_rules, op9_surrogates, op10_html_extraction, op11_survivor_viterbi_repair,
+        op12_monotone_queue_windows, op13_basic_factor_runs,
+    )
+}
 ORACLES: dict[str, str] = {"op2_site_spread_line_dedup": lines.ORACLE_SQL, "op6_url_filters": urls.ORACLE_SQL}
