@@ -30,6 +30,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -113,7 +114,7 @@ class Vocabulary:
     def ids(self, text: str) -> np.ndarray:
         slow = self.fast is None or (self.special and self.special.search(text)) or _COMMON.search(text)
         found = self.tokenizer.encode(text, add_special_tokens=False).ids if slow else self.fast.encode_ordinary(text)
-        return np.array(found, "<u4")
+        return np.frombuffer(array("I", found), "<u4")
 
     def sentences(self, ids: np.ndarray) -> np.ndarray:
         """Places inside ids between two sentences."""
@@ -165,46 +166,53 @@ class Cuts:
 
     def add(self, at: np.ndarray, penalty: np.ndarray) -> None:
         """Extend by further places, each at most ``capacity`` after the one before."""
-        old = len(self.at)
+        old, capacity = len(self.at), self.capacity
         whole = np.concatenate([np.array(self.at, np.int64), at])
-        free = self._powers(whole, old)
-        place, cost, back, capacity = whole.tolist(), self.cost, self.back, self.capacity
-        queue: deque[int] = deque()  # rising in place and in cost + place
-        key: list[int] = []
-
-        def enter(i: int) -> None:
-            k = cost[i] + place[i]
-            while queue and key[queue[-1]] >= k:
+        from_power, upto = self._powers(whole, old)
+        place, cost, back = whole.tolist(), self.cost, self.back
+        # Places by rising (cost + place), of which the first in reach is the best.
+        queue: deque[int] = deque()
+        key = [c + p for c, p in zip(cost, place)]
+        for i in range(old):
+            while queue and key[queue[-1]] >= key[i]:
                 queue.pop()
-            key.append(k)
             queue.append(i)
-
-        for i in range(old):
-            enter(i)
-        for j, more in zip(range(old, len(place)), penalty.tolist(), strict=True):
+        a = 0
+        for j, more, b in zip(range(old, len(place)), penalty.tolist(), upto, strict=True):
             p = place[j]
-            while place[queue[0]] < p - capacity:
+            far = p - capacity
+            while place[queue[0]] < far:
                 queue.popleft()
             chosen = queue[0]
-            least = key[chosen] + capacity - p
-            for i in free.get(j, ()):
-                if cost[i] < least:
-                    chosen, least = i, cost[i]
-            cost.append(least + more)
+            least = key[chosen] - far
+            if a != b:
+                for i in from_power[a:b]:
+                    if cost[i] < least:
+                        chosen, least = i, cost[i]
+                a = b
+            least += more
+            cost.append(least)
             back.append(chosen)
-            enter(j)
+            least += p
+            key.append(least)
+            while queue and key[queue[-1]] >= least:
+                queue.pop()
+            queue.append(j)
         self.at = place
 
-    def _powers(self, at: np.ndarray, old: int) -> dict[int, list[int]]:
-        """Per new place those that lie a power of two before it."""
-        found: dict[int, list[int]] = {}
-        size = 1
+    def _powers(self, at: np.ndarray, old: int) -> tuple[list[int], list[int]]:
+        """The places a power of two before each new place, one after the other, and where each one's list ends."""
+        base = int(at[0])
+        index = np.full(int(at[-1]) - base + 1, -1, np.int64)
+        index[at - base] = np.arange(len(at))
+        found, size = [], 1
         while size < self.capacity:
-            i = np.searchsorted(at, at[old:] - size)
-            for j in np.flatnonzero(at[i] == at[old:] - size).tolist():
-                found.setdefault(old + j, []).append(int(i[j]))
+            before = at[old:] - base - size
+            found.append(np.where(before >= 0, index[np.maximum(before, 0)], -1))
             size *= 2
-        return found
+        table = np.stack(found, 1) if found else np.zeros((len(at) - old, 0), np.int64)
+        hit = table >= 0
+        return table[hit].tolist(), np.cumsum(hit.sum(1)).tolist()
 
     def decided(self, end: bool = False) -> list[int]:
         """Cuts that all ways to the last places share, now forgotten; at the end of the stream all of the best way's.

@@ -141,3 +141,12 @@ def test_libraries_agree_on_common_letters():
     slow = words.tokenizer.encode_batch(texts, add_special_tokens=False)
     assert len(texts) > 20_000
     assert [t for t, s in zip(texts, slow) if s.ids != words.fast.encode_ordinary(t)] == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="ab é.'s1\n\t \u00a0", max_size=30), max_size=4))
+def test_libraries_agree_on_any_spacing(texts):
+    path = windows.default_tokenizer()
+    words = windows._LOADED.get(path) or windows._LOADED.setdefault(path, windows.Vocabulary(path))
+    made = [words.ids(t) for t in texts]
+    assert [x.tolist() for x in made] == [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
