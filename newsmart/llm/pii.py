@@ -4,7 +4,7 @@ One expression finds e-mail addresses, telephone numbers, card numbers, IP
 addresses, social security and account numbers, keys, passwords and titled names.
 Each is brought to a normal form, and SHA-256 over key, type and normal form yields
 its surrogate: letters for letters, digits for digits, the check digit of a
-card, octets in range, names of the title's gender in the script of the name, and
+card, octets in range, names of the gender that the title or else the given name tells, in the script of the name, and
 the punctuation and case of the place it is put.  The surrogate depends on nothing
 else, so an entity reads alike in all documents.
 
@@ -33,12 +33,15 @@ from newsmart.llm.common import stored
 MAX_ATTEMPTS = 40
 
 _TITLES = {
-    "m": "Mr|Mister|Herrn|Herr|Monsieur|Señor|Sr|Sir|Lord|Don|Господин|Κύριος|"
-    "Dr|Doctor|Doktor|Docteur|Prof|Professor|Professeur|Profesor|Rev|Доктор|Профессор|Δρ|Καθηγητής",
+    "m": "Mr|Mister|Herrn|Herr|Monsieur|Señor|Sr|Sir|Lord|Don|Profesor|Господин|Κύριος|Καθηγητής",
+    "n": "Dr|Doctor|Doktor|Docteur|Prof|Professor|Professeur|Rev|Доктор|Профессор|Δρ",
     "f": "Mrs|Ms|Miss|Madam|Lady|Frau|Fräulein|Madame|Mme|Mademoiselle|Mlle|Señora|Señorita|Srta|Sra|Doña|"
     "Dra|Profesora|Professorin|Госпожа|Κυρία",
 }
-_TITLED = rf"(?:(?:{_TITLES['m']}|{_TITLES['f']})(?:\.\s{{0,3}}|\s{{1,3}}))+"
+_ANY_TITLE = "|".join(_TITLES.values())
+#: Letters that a title begins with.
+_INITIALS = "".join(sorted({t[0] for t in _ANY_TITLE.split("|")}))
+_TITLED = rf"(?:(?:{_ANY_TITLE})(?:\.\s{{0,3}}|\s{{1,3}}))+"
 _WORD = r"\p{Lu}[\p{L}\p{M}]+"
 _CORE = rf"(?:\p{{Lu}}[\x27’])?{_WORD}(?:[\x27’-]{_WORD}|-\p{{Ll}}[\p{{L}}\p{{M}}]+)*+"
 _BEFORE = r"(?:\p{Lu}\.[ -]?|(?:von|vom|van|der|den|de|del|della|di|da|dos|du|la|le|zu|zur|bin|ibn|al|el) |[dl][\x27’])*"
@@ -56,25 +59,45 @@ PATTERNS = {
     "secret": rf"\b{_SECRET}[\w+/=.~@^-]{{7,}}[\w+/=]",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "account": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b",
-    "card": r"(?<![\d.])(?:\d{4}[ -]){3}\d{4}(?!\d)|(?<!\d)\d{14,19}(?!\d)",
+    "card": r"(?<![\d.])(?:\d{4}[ -]){3}\d{4}(?!\d)|(?<![\w.])\d{14,19}(?!\w)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
+    # Four numbers after "version" or the like are none.
+    "ip": rf"(?<![\d.])(?<!(?i:version|release|build|firmware|\bv)[ .:]{{0,2}})(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "phone": r"(?<![\d(+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
     r"|(?<![\d(+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)"
     # National forms: French, German and British after 0, Spanish without it.
-    r"|(?<![\d.,(+/-])0[1-9](?:[ .-]?\d{2}){4}(?![\d,/]|[.-]\d)"
-    r"|(?<![\d.,(+/-])0\d{2,4}(?:[ /]| ?[/-] ?(?=\d{5}))\d{3,8}(?:[ -]\d{1,5}){0,3}(?![\d,/]|[.-]\d)"
-    r"|(?<![\d.,(+/-])020 \d{4} \d{4}(?!\d)|(?<![\d.,(+/-])0\d{9,10}(?![\d,/]|[.-]\d)"
+    r"|(?<![\w.,(+/-])0[1-9](?:[ .-]?\d{2}){4}(?![\w,/]|[.-]\d)"
+    r"|(?<![\w.,(+/-])0\d{2,4}(?:[ /]| ?[/-] ?(?=\d{5}))\d{3,8}(?:[ -]\d{1,5}){0,3}(?![\w,/]|[.-]\d)"
+    r"|(?<![\w.,(+/-])020 \d{4} \d{4}(?!\d)|(?<![\w.,(+/-])0\d{9,10}(?![\w,/]|[.-]\d)"
     r"|(?<!\d)\(0\d{1,4}\) ?\d{3,8}(?:[ -]\d{2,5}){0,3}(?!\d)"
-    r"|(?<![\d.,(+/-]|\d )(?:[6-9]\d{2}(?: \d{3}){2}|[6-9]\d{2}(?:-\d{3}){2}|[6-9]\d{2}(?:[ -]\d{2}){3}|[89]\d[ -]\d{3}(?:[ -]\d{2}){2})"
-    r"(?![\d,/]|[ .-]\d)",
+    r"|(?<![\w.,(+/-]|\d )(?:[6-9]\d{2}(?: \d{3}){2}|[6-9]\d{2}(?:-\d{3}){2}|[6-9]\d{2}(?:[ -]\d{2}){3}|[89]\d[ -]\d{3}(?:[ -]\d{2}){2})"
+    r"(?![\w,/]|[ .-]\d)",
     "person": rf"(?<!\p{{L}}){_TITLED}{_RUN}",
 }
 
+#: Where a match of a type can begin; tested before its pattern, which is slow to fail.
+_BEGINS = {"secret": "AaPpSsTt", "key": "A", "account": "A-Z", "person": _INITIALS} | dict.fromkeys(("card", "ssn", "ip", "phone"), r"\d+(")
+#: Without one of these a text holds no match of any type.
+_GATE = (
+    r"[0-9@]|A[KS]IA[A-Z]|[=:]\s{0,3}[\x22']?[\w+/=.~@^-]{8}"
+    rf"|(?=[{_INITIALS}])(?:{_ANY_TITLE})[.\s]"
+)
+#: Divides a text into what is no match and what is; a text that holds it is divided in two steps.
+_MARK = "\uffff"
+
+#: Given names that tell the gender where the title does not.
+_KNOWN = {
+    "m": "James John Robert Michael William David Richard Joseph Thomas Charles Peter Hans Klaus Jürgen Wolfgang Jean Pierre "
+    "Michel André François Juan José Carlos Antonio Luis Manuel Francisco Иван Александр Дмитрий Алексей Андрей Γιώργος Δημήτρης",
+    "f": "Mary Maria María Marie Patricia Jennifer Linda Elizabeth Barbara Susan Sarah Sophie Claire Isabelle Carmen Ana Lucía "
+    "Ursula Petra Sabine Monika Éloise Jane Emma Мария Екатерина Татьяна Наталья Анастасия Κατερίνα Ιωάννα",
+}
 #: Given names by gender and script.
 _GIVEN = {
     "m.latin": "Adam Bruno Carl Daniel Emil Felix Georg Hugo Ivan Jakob Karim Leo Martin Nils Oscar Paul",
     "f.latin": "Anna Berta Clara Diana Elena Flora Greta Hanna Irma Julia Karla Laura Marta Nora Olga Paula",
+    "n.latin": "Alex Ariel Camille Charlie Chris Dominique Jo Kai Kim Luca Noa Robin Sam Sascha Toni Yael",
+    "n.cyrillic": "Саша Женя Валя Слава Шура Паша",
     "m.cyrillic": "Антон Борис Виктор Глеб Денис Егор Захар Игорь Кирилл Лев Максим Никита Олег Павел Роман Сергей",
     "f.cyrillic": "Анна Вера Галина Дарья Елена Жанна Зоя Ирина Лидия Мария Нина Ольга Полина Раиса София Татьяна",
     "m.greek": "Αλέξης Βασίλης Γιάννης Δήμος Ηλίας Θωμάς Ιάσων Κώστας Λουκάς Μάρκος Νίκος Ορέστης Πέτρος Στέφανος Τάσος Φώτης",
@@ -96,7 +119,14 @@ def _q(text: str) -> str:
 
 
 def combined() -> str:
-    return "|".join(f"(?:{p})" for p in PATTERNS.values())
+    """All patterns in order; those that begin alike stand together behind one test of the first letter."""
+    parts: list[tuple[str | None, list[str]]] = []
+    for name, pattern in PATTERNS.items():
+        begins = _BEGINS.get(name)
+        if not parts or parts[-1][0] != begins:
+            parts.append((begins, []))
+        parts[-1][1].append(f"(?:{pattern})")
+    return "|".join((f"(?=[{b}])(?:{'|'.join(p)})" if b else "|".join(p)) for b, p in parts)
 
 
 def kind(m: str) -> str:
@@ -114,6 +144,18 @@ def _cased(w: str) -> str:
     return f"if({w} rlike '^\\\\p{{Lu}}{{2,}}$', initcap({w}), {w})"
 
 
+def _names_of(gender: str) -> str:
+    return " ".join(names for k, names in _GIVEN.items() if k.startswith(gender))
+
+
+def _luhn(digits: str) -> str:
+    """SQL: whether the last of the digits is the check digit of the others."""
+    return (
+        f"aggregate(transform(split(reverse({digits}), ''), (c, i) -> if(i % 2 = 1, 2 * int(c) - if(int(c) > 4, 9, 0), int(c))), "
+        "0, (x, y) -> x + y) % 10 = 0"
+    )
+
+
 def entities(m: str) -> str:
     """SQL for the entities of a match: array of (type, prefix, shown, norm); a name is one per word."""
     digits = f"regexp_replace({m}, '[^0-9]', '')"
@@ -124,8 +166,14 @@ def entities(m: str) -> str:
     parts = f"regexp_extract_all({run}, {_q(_PART)}, 0)"
     # The words after the last space are the surname.
     last = f"size(regexp_extract_all(regexp_extract({run}, '[^ ]+$', 0), {_q(_PART)}, 0))"
-    female = _q(r"(?:^|[\s.])(?:" + _TITLES["f"] + r")[.\s]")
-    gender = f"if({title} rlike {female}, 'f', 'm')"
+    titled = {g: _q(r"(?:^|[\s.])(?:" + _TITLES[g] + r")[.\s]") for g in "fm"}
+    # A gender that the title leaves open is that of a given name we know, or stays open.
+    given = f"regexp_extract({run}, {_q(_WORD)}, 0)"
+    known = {g: f"array_contains(split('{_KNOWN[g]} {_names_of(g)}', ' '), {given})" for g in "fm"}
+    gender = (
+        f"case when {title} rlike {titled['f']} then 'f' when {title} rlike {titled['m']} then 'm' "
+        f"when {known['f']} then 'f' when {known['m']} then 'm' else 'n' end"
+    )
 
     def one(kind_: str, prefix: str, shown: str, norm: str) -> str:
         return f"named_struct('type', {kind_}, 'prefix', {prefix}, 'shown', {shown}, 'norm', {norm})"
@@ -141,7 +189,7 @@ def entities(m: str) -> str:
       when 'secret' then array({one("'secret'", head, value, value)})
       when 'key' then array({one("'key'", "''", m, m)})
       when 'account' then array({one("'account'", "''", m, f"replace({m}, ' ', '')")})
-      when 'card' then array({one("'card'", "''", m, digits)})
+      when 'card' then array(if({_luhn(digits)}, {one("'card'", "''", m, digits)}, {one("'plain'", m, "''", "''")}))
       when 'ssn' then array({one("'ssn'", "''", m, digits)})
       when 'ip' then array({one("'ip'", "''", m, m)})
       when 'phone' then array({one("'phone'", f"regexp_extract({m}, '^[+][0-9]{{1,3}}(?=[^0-9])', 0)",
@@ -198,12 +246,13 @@ def surrogate(kind_: str, norm: str, attempt: str, key: str) -> str:
     given = " ".join(
         f"when '{k}' then "
         + with_stream(
-            f"concat(split('{names}', ' ')[{_draw('s', '30')} % 16], "
+            f"concat(split('{names}', ' ')[{_draw('s', '30')} % {len(names.split())}], "
             f"if({attempt} = 0, '', {syllables(k.partition('.')[2], '- 3')}))"
         )
         for k, names in _GIVEN.items()
     )
-    surname = " ".join(f"when 'surname.{s}' then " + with_stream(f"initcap({syllables(s, '')})") for s in _SYLLABLES)
+    made_up = [f"surname.{s}" for s in _SYLLABLES] + [f"{g}.{s}" for g in "fmn" for s in _SYLLABLES if f"{g}.{s}" not in _GIVEN]
+    surname = " ".join(f"when '{k}' then " + with_stream(f"initcap({syllables(k.partition('.')[2], '')})") for k in made_up)
     hexed = f"{norm} rlike '^[0-9a-f]+$'"
     return f"""case {kind_}
       when 'email' then {with_stream(f"concat({chars(f'substr({norm}, 1, length({norm}) - length({tld}))')}, {tld})")}
@@ -237,17 +286,31 @@ def shown(e: str, made: str) -> str:
         f"array_join(transform(split({e}.shown, ''), (c, i) -> if(c = ' ', ' ', "
         f"substr({made}, length(replace(substr({e}.shown, 1, i), ' ', '')) + 1, 1))), '')"
     )
-    return f"""concat({e}.prefix, case when {e}.type in ('card', 'ssn', 'phone') then {poured}
+    return f"""concat({e}.prefix, case when {e}.type = 'plain' then '' when {e}.type in ('card', 'ssn', 'phone') then {poured}
       when {e}.type = 'email' then {cased} when {e}.type = 'account' then {spaced}
       when {e}.type like '%.%' then {_like(f'{e}.shown', made)} else {made} end)"""
 
 
 def found(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and per match its entities."""
+    """doc_id, text, what is no match (``pieces``, one more), and per match its entities.
+
+    The patterns are tried once, and on no text without what every match needs.  A
+    match that turns out to be none has a single entity of type ``plain``.
+    """
     chosen = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return chosen.withColumn(
-        "matches",
-        F.expr(f"transform(regexp_extract_all(text, {_q(combined())}, 0), m -> {entities('m')})"),
+    every = _q(combined())
+    two_steps = (
+        f"filter(flatten(zip_with(split(text, {every}, -1), regexp_extract_all(text, {every}, 0), "
+        "(a, b) -> array(a, b))), x -> x is not null)"
+    )
+    parts = f"""case when text is null then null when not (text rlike {_q(_GATE)}) then array(text)
+        when instr(text, '{_MARK}') > 0 then {two_steps}
+        else split(regexp_replace(text, {every}, '{_MARK}$0{_MARK}'), '{_MARK}', -1) end"""
+    return (
+        chosen.withColumn("parts", F.expr(parts))
+        .withColumn("pieces", F.expr("filter(parts, (x, i) -> i % 2 = 0)"))
+        .withColumn("matches", F.expr(f"transform(filter(parts, (x, i) -> i % 2 = 1), m -> {entities('m')})"))
+        .drop("parts")
     )
 
 
@@ -259,6 +322,7 @@ def collisions(docs: DataFrame, key: str) -> DataFrame:
     whole = stored(
         found(docs)
         .select(F.explode(F.flatten("matches")).alias("e"))
+        .where("e.type != 'plain'")
         .select("e.type", "e.norm")
         .distinct(),
         "entities",
@@ -322,9 +386,11 @@ def replace(docs: DataFrame, key: str = "newsmart") -> DataFrame:
         "doc_id",
         F.expr(
             f"""if(size(matches) > 0, element_at(transform(array({known}), known ->
-            array_join(zip_with(split(text, {_q(combined())}, -1), {new},
+            array_join(zip_with(pieces, {new},
             (piece, x) -> concat({later}, coalesce(x, ''))), '')), 1), text)"""
         ).alias("text"),
-        F.greatest(F.size("matches"), F.lit(0)).alias("n_entities"),
-        F.array_sort(F.array_distinct(F.transform(F.coalesce(flat, F.array()), lambda e: e["type"]))).alias("types"),
+        F.greatest(F.size(F.filter("matches", lambda m: m[0]["type"] != "plain")), F.lit(0)).alias("n_entities"),
+        F.array_sort(
+            F.array_remove(F.array_distinct(F.transform(F.coalesce(flat, F.array()), lambda e: e["type"])), "plain")
+        ).alias("types"),
     )
