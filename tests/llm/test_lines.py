@@ -16,19 +16,25 @@ def test_query_equals_sql(spark):
 
 
 def brute(rows, min_sites):
+    """By rows: of the rows that may keep a line, the one of the least id and site does, at its first place.
+
+    Rows alike in id and site but not in text have no rank that this test knows: it takes none.
+    """
     sites, first = defaultdict(set), {}
-    for doc_id, text, site in rows:
+    for n, (doc_id, text, site) in enumerate(rows):
         for place, line in enumerate((text or "").split("\n")):
             if key := line.strip(" \t\n\x0b\f\r"):
                 sites[key].add(site or "")
-                at = (doc_id is None, doc_id or 0, place)
+                at = (doc_id is None, doc_id or 0, site or "", text, n, place)
+                if key in first:
+                    assert at[:3] != first[key][:3] or at[3] == first[key][3]
                 first[key] = min(first.get(key, at), at)
     out = []
-    for doc_id, text, _ in rows:
+    for n, (doc_id, text, site) in enumerate(rows):
         kept = []
         for place, line in enumerate((text or "").split("\n")):
             key = line.strip(" \t\n\x0b\f\r")
-            if not key or len(sites[key]) < min_sites or first[key] == (doc_id is None, doc_id or 0, place):
+            if not key or len(sites[key]) < min_sites or first[key][4:] == (n, place):
                 kept.append(line)
         out.append((doc_id, None if text is None else "\n".join(kept)))
     return sorted(out, key=repr)
@@ -55,3 +61,26 @@ def test_wrong_estimates_are_counted_exactly(spark, documents, monkeypatch):
 
 def test_empty_table(spark, documents):
     assert lines.dedup(documents([(1, "a")]).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("ids", [range(8), [None] * 8, [7] * 8, [None, None, 3, 3, 3, None, 1, 1]])
+@pytest.mark.parametrize("copies", [1, 2, 5])
+def test_one_row_keeps_a_line_whatever_the_ids(spark, documents, ids, copies):
+    """Eight rows on eight sites share a line; with copies, some rows come several times."""
+    rows = [(i, f"own {n}\nshared\nshared", f"site{n}") for n, i in enumerate(ids)]
+    rows += rows[:5] * (copies - 1)
+    got = sorted(((r.doc_id, r.text) for r in lines.dedup(documents(rows)).collect()), key=repr)
+    assert got == brute(rows, lines.MIN_SITES)
+    assert sum("shared" in text for _, text in got) == 1
+
+
+def test_columns_that_clash_with_those_of_the_join(spark, documents):
+    names = ("_gone", "_row", "_lost", "_firsts", "_twin", "_lead", "row", "doc", "first_row", "site", "line")
+    rows = [(i // 2, "all\nx", f"s{i // 2}") for i in range(12)]
+    docs = documents(rows)
+    for n in names:
+        docs = docs.withColumn(n, docs["doc_id"] * 2)
+    got = lines.dedup(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == brute(rows, lines.MIN_SITES)
+    assert all(r[n] == r.doc_id * 2 for r in got.collect() for n in names)
