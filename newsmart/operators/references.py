@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, functions as F
 
+from newsmart.operators.chains import resolve
 from newsmart.operators.dedup import first_per_key
 from newsmart.session import stored
 
@@ -48,30 +52,49 @@ def present(table: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return table.select(key).join(wanted.select(key), key, "left_semi").distinct()
 
 
+#: Gives the stored keys among those wanted: ``look_up(wanted, key)`` has the column ``key``, each value once.
+Lookup = Callable[[DataFrame, str], DataFrame]
+
+#: Rounds that settle rows nothing stands before, ahead of the search through chains.
+_PLAIN_ROUNDS = 3
 _IDENTITY = ["event_id", "content_hash"]
 _ORDER = ["timestamp", "event_id", "content_hash"]
 
 
+def _certain_round(left: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that are the first left for both their content and their id, and what they leave open."""
+    first_of_content = first_per_key(left, ["content_hash"], _ORDER)
+    first_of_id = first_per_key(left, ["event_id"], _ORDER).select(*_IDENTITY)
+    certain = stored(first_of_content.join(first_of_id, _IDENTITY, "left_semi"), "settled")
+    for key in _IDENTITY:
+        left = left.join(certain.select(key), key, "left_anti")
+    return certain, stored(left, "unsettled")
+
+
+def _contested(left: DataFrame) -> bool:
+    """Whether an id brings several contents."""
+    return not left.groupBy("event_id").count().where("count > 1").isEmpty()
+
+
 def _settle(left: DataFrame) -> DataFrame:
     """The rows that get stored when rows compete for contents and for ids.
 
     Rows count in time order: one is stored if neither its content nor its id
     is taken by then.  While no id brings several contents, that is the first
     row of each content.  Otherwise a row that is the first left for both its
-    content and its id is certain and settles all rows that share either; the
-    rest goes another round.  Rounds work on narrow rows, each stored; a chain of
-    n rows that take each other's ids and contents needs n / 2 of them.
+    content and its id is certain and settles all rows that share either.  A few
+    such rounds leave little but chains of rows that wait for each other, which
+    ``chains.resolve`` settles in a number of jobs that grows with the logarithm of a
+    chain's length.
     """
     settled = left.limit(0)
-    while not left.groupBy("event_id").count().where("count > 1").isEmpty():
-        first_of_content = first_per_key(left, ["content_hash"], _ORDER)
-        first_of_id = first_per_key(left, ["event_id"], _ORDER).select(*_IDENTITY)
-        certain = first_of_content.join(first_of_id, _IDENTITY, "left_semi")
-        certain = stored(certain, "settled")
+    for _ in range(_PLAIN_ROUNDS):
+        if not _contested(left):
+            break
+        certain, left = _certain_round(left)
         settled = settled.unionByName(certain)
-        for key in _IDENTITY:
-            left = left.join(certain.select(key), key, "left_anti")
-        left = stored(left, "unsettled")
+    if _contested(left):
+        return settled.unionByName(resolve(left, "content_hash", "event_id", _ORDER))
     return settled.unionByName(first_per_key(left, ["content_hash"], _ORDER))
 
 
@@ -83,10 +106,11 @@ def _pick(batch: DataFrame, identities: DataFrame) -> DataFrame:
     return first_per_key(batch, _IDENTITY, ["timestamp"]).join(identities, _IDENTITY, "left_semi")
 
 
-def insert_ignore(batch: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]:
+def insert_ignore(batch: DataFrame, table: DataFrame | Lookup) -> tuple[DataFrame, DataFrame]:
     """Split a batch into rows to insert and rows that clash.
 
-    ``table`` has ``content_hash`` and ``event_id``.  Content that is taken --
+    ``table`` has ``content_hash`` and ``event_id``, or is a function that looks stored
+    keys of one of these names up.  Content that is taken --
     by the table or by an earlier row of the batch -- is dropped without notice.
     A row that brings new content under a taken id is a clash: it is returned
     as such, never stored and never lost.
@@ -96,8 +120,9 @@ def insert_ignore(batch: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFr
     have been dropped in the map tasks.
     """
     keys = stored(batch.groupBy(*_IDENTITY).agg(F.min("timestamp").alias("timestamp")), "keys")
-    seen = present(table, keys, "content_hash")
-    taken = present(table, keys, "event_id").withColumn("_taken", F.lit(True))
+    look_up = table if callable(table) else partial(present, table)
+    seen = look_up(keys, "content_hash")
+    taken = look_up(keys, "event_id").withColumn("_taken", F.lit(True))
     fresh = (
         keys.join(seen, "content_hash", "left_anti")
         .join(taken, "event_id", "left")

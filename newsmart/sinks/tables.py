@@ -15,7 +15,6 @@ from newsmart.functions.wire import encode
 from newsmart.operators.references import (
     insert_ignore,
     orphan_analyses,
-    present,
     valid_analyses,
 )
 from newsmart.operators.validate import (
@@ -28,6 +27,8 @@ from newsmart.operators.validate import (
     rejected,
 )
 from newsmart.session import stored
+from newsmart.sinks.keys import merge_keys, write_keys
+from newsmart.sources.keys import stored_keys
 from newsmart.sources.tables import BATCH, read_table
 from newsmart.sources.topics import topic_values
 
@@ -39,6 +40,10 @@ ARTICLES, AGGREGATES, ANALYSES, DEAD = (
 )
 
 
+#: Columns that articles are looked up by.
+ARTICLE_KEYS = ("content_hash", "event_id")
+
+
 def write_batch(df: DataFrame, path: str, batch_id: str, lookup: str | None = None) -> None:
     """Write one batch; ``lookup`` names a column that is searched by value.
 
@@ -65,9 +70,15 @@ def _dead(rows: DataFrame, schema: T.StructType, topic: str, reason: str) -> Dat
 def write_articles(batch: DataFrame, root: str, batch_id: str) -> DataFrame:
     """Insert-ignore on content; returns the rows whose id was already taken."""
     path = f"{root}/{ARTICLES}"
-    stored = read_table(batch.sparkSession, path, S.PROCESSED_NEWS, except_batch=batch_id)
-    inserts, clashes = insert_ignore(batch, stored.select("content_hash", "event_id"))
+
+    def look_up(wanted: DataFrame, key: str) -> DataFrame:
+        return stored_keys(wanted, root, ARTICLES, S.PROCESSED_NEWS, key, [key], batch_id).distinct()
+
+    inserts, clashes = insert_ignore(batch, look_up)
     write_batch(inserts, path, batch_id, lookup="event_id")
+    written = read_table(batch.sparkSession, path, S.PROCESSED_NEWS, only=[batch_id])
+    for key in ARTICLE_KEYS:
+        write_keys(written, root, ARTICLES, batch_id, key, [key])
     return _dead(clashes, S.PROCESSED_NEWS, S.PROCESSED_TOPIC, "event_id_taken")
 
 
@@ -81,9 +92,24 @@ _ANALYSIS_IDENTITY = ["article_event_id", "model_id", "analysis_version", "analy
 SALTS = 16
 
 
-def _unstored(analyses: DataFrame, spark: SparkSession, root: str, batch_id: str) -> DataFrame:
+def _known_articles(analyses: DataFrame, root: str) -> DataFrame:
+    """Ids of the stored articles that analyses are of."""
+    wanted = stored(analyses.select(F.col("article_event_id").alias("event_id")).distinct(), "wanted")
+    found = stored_keys(wanted, root, ARTICLES, S.PROCESSED_NEWS, "event_id", ["event_id"])
+    return stored(found.distinct(), "known")
+
+
+def _store_analyses(analyses: DataFrame, root: str, batch_id: str) -> None:
+    path = f"{root}/{ANALYSES}"
+    write_batch(analyses, path, batch_id, lookup="article_event_id")
+    written = read_table(analyses.sparkSession, path, S.ANALYSIS, only=[batch_id])
+    write_keys(written, root, ANALYSES, batch_id, "article_event_id", _ANALYSIS_IDENTITY)
+
+
+def _unstored(analyses: DataFrame, root: str, batch_id: str) -> DataFrame:
     """Analyses that no other batch has stored."""
-    held = read_table(spark, f"{root}/{ANALYSES}", S.ANALYSIS, except_batch=batch_id)
+    wanted = stored(analyses.select("article_event_id").distinct(), "wanted-articles")
+    held = stored_keys(wanted, root, ANALYSES, S.ANALYSIS, "article_event_id", _ANALYSIS_IDENTITY, batch_id)
     held = held.select(*[F.col(c).alias(f"_{c}") for c in _ANALYSIS_IDENTITY])
     same = [analyses[c].eqNullSafe(held[f"_{c}"]) for c in _ANALYSIS_IDENTITY]
     return analyses.join(held, same, "left_anti")
@@ -95,12 +121,9 @@ def write_analyses(batch: DataFrame, root: str, batch_id: str) -> DataFrame:
     An analysis that another batch has stored is not stored again.  One article's
     analyses are spread by salts, since a stream that keeps state is not re-planned.
     """
-    spark = batch.sparkSession
-    articles = read_table(spark, f"{root}/{ARTICLES}", S.PROCESSED_NEWS)
-    wanted = stored(batch.select(F.col("article_event_id").alias("event_id")).distinct(), "wanted")
-    known = stored(present(articles, wanted, "event_id"), "known")
-    valid = _unstored(valid_analyses(batch, known, SALTS), spark, root, batch_id)
-    write_batch(valid, f"{root}/{ANALYSES}", batch_id, lookup="article_event_id")
+    known = _known_articles(batch, root)
+    valid = _unstored(valid_analyses(batch, known, SALTS), root, batch_id)
+    _store_analyses(valid, root, batch_id)
     orphans = orphan_analyses(batch, known, SALTS)
     return _dead(orphans, S.ANALYSIS, S.ANALYSIS_TOPIC, "no_such_article")
 
@@ -113,10 +136,16 @@ def retry_orphans(spark: SparkSession, root: str, batch_id: str) -> None:
     """
     dead = read_table(spark, f"{root}/{DEAD}", S.DEAD_LETTER).where("reason = 'no_such_article'")
     late = accepted(decode(dead, ANALYSIS_RULES), ANALYSIS_RULES)
-    missing = _unstored(late, spark, root, batch_id).dropDuplicates(_ANALYSIS_IDENTITY)
-    articles = read_table(spark, f"{root}/{ARTICLES}", S.PROCESSED_NEWS)
-    found = valid_analyses(missing, articles)
-    write_batch(found, f"{root}/{ANALYSES}", batch_id, lookup="article_event_id")
+    missing = _unstored(late, root, batch_id).dropDuplicates(_ANALYSIS_IDENTITY)
+    found = valid_analyses(missing, _known_articles(missing, root))
+    _store_analyses(found, root, batch_id)
+
+
+def merge_indexes(spark: SparkSession, root: str) -> None:
+    """Merge the key indexes' folders; run it now and then, no writer or reader need stop."""
+    for key in ARTICLE_KEYS:
+        merge_keys(spark, root, ARTICLES, S.PROCESSED_NEWS, key, [key])
+    merge_keys(spark, root, ANALYSES, S.ANALYSIS, "article_event_id", _ANALYSIS_IDENTITY)
 
 
 def write_topics(envelopes: DataFrame, root: str, batch_id: str) -> None:

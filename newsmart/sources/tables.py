@@ -10,7 +10,7 @@ from newsmart import schemas as S
 BATCH = "batch_id"
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table; one nobody has written to yet is empty."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -21,18 +21,24 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, except_batch: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    except_batch: str | None = None,
+    only: list[str] | None = None,
 ) -> DataFrame:
-    """A serving table, without the batch a replay is about to write again."""
-    table = _read(spark, path, T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())]))
+    """A serving table, without the batch a replay is about to write again, or of some batches only."""
+    table = read_folder(spark, path, T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())]))
     if except_batch is not None:
         table = table.where(F.col(BATCH) != except_batch)
+    if only is not None:
+        table = table.where(F.col(BATCH).isin(only))
     return table.drop(BATCH)
 
 
 def read_replies(spark: SparkSession, path: str, model_id: str, version: str) -> DataFrame:
     """Answers of one model and version."""
-    return _read(spark, path, S.REPLY).where(
+    return read_folder(spark, path, S.REPLY).where(
         (F.col("model_id") == model_id) & (F.col("analysis_version") == version)
     )
 
