@@ -5,21 +5,23 @@ classes.  The pages of a host are merged by path: a presentation node holds the
 child layouts seen there, a content node the texts.  A node's importance is
 high where layouts or texts differ from page to page and low where they repeat;
 for a path seen on m pages, the layouts' importance is their entropy to base m, and
-the texts' is one less the mean of log(pages of a text) to base m.  A branch
-whose texts and layouts repeat on nearly all pages of its site is removed from
-each of them.  What HTML itself marks as no article (menus, forms, scripts) has
-importance zero, whatever it holds.
-
-Inside an article element a branch is only removed by its importance if it is a
-wrapper, not a paragraph, and sites of under ``MIN_PAGES`` pages keep to the marks of
-HTML.  Pages without an article fall back to ``main``, then to elements named as
-content, then to the body.
+the texts' is one less the mean of log(pages of a text) to base m.  The larger of both
+counts, drawn towards one as if ``PRIOR`` more pages differed, so that few pages are
+little evidence.  Pages of a host that are alike count as one.
+
+A branch is as important as the most important thing in it.  Block elements whose
+branch is of low importance are removed from each page; text and inline elements go with
+their block only, never alone.  Inside an article or main element only a container without
+text of its own may go, and never a paragraph, heading, list or table by itself.  A page
+that would lose all its text keeps it.  What HTML itself marks as no article (menus,
+forms, scripts) has importance zero, whatever it holds.  Pages without an article fall
+back to ``main``, then to elements named as content, then to the body.
 
 The tree is one row per host and path after grouped counts, texts as hashes; a
-host with a third of all pages is counted by partial sums, and only the paths to
-remove are joined back.  Null html or url is empty: such a page has no text, or no
-host.  Repeated rows are extracted each on their own but counted as pages,
-further columns are ignored.
+host with a third of all pages is counted by partial sums, and only the paths of low
+importance are joined back.  Null html or url is empty: such a page has no text, or no
+host.  Repeated rows are extracted each on their own but count as one page,
+further columns are ignored, an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,9 +37,9 @@ from pyspark.sql import DataFrame, functions as F
 from newsmart.llm.common import stored, text_of
 from newsmart.llm.urls import parts
 
-#: Pages of a site at least before a repeated branch counts as its furniture.
-MIN_PAGES = 8
-#: Importance up to which a branch is removed: outside an article, and a wrapper in one.
+#: Pages that a site is taken to have besides, on which everything differs.
+PRIOR = 2
+#: Importance up to which a branch is removed: outside an article, and a container in one.
 LOW, LOW_INSIDE = 0.2, 0.02
 
 # Fixed names of HTML.
@@ -77,11 +79,12 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "dropped", "depth", "kind", "children")
+    __slots__ = ("tag", "path", "dropped", "kind", "parent", "children", "spoken")
 
-    def __init__(self, tag: str, path: int, dropped: bool, kind: int):
-        self.tag, self.path, self.dropped, self.kind = tag, path, dropped, kind
+    def __init__(self, tag: str, path: int, dropped: bool, kind: int, parent: Node | None = None):
+        self.tag, self.path, self.dropped, self.kind, self.parent = tag, path, dropped, kind, parent
         self.children: list[int] = []
+        self.spoken = False  # has text of its own
 
 
 def _signed(value: int) -> int:
@@ -95,8 +98,8 @@ def _hash(text: str) -> int:
 class Page(HTMLParser):
     """One page: its elements by path, and its text in order.
 
-    ``low`` holds the paths that the style tree removes outside an article,
-    ``low_inside`` those it removes inside one.
+    ``low`` holds the paths of low importance, ``low_inside`` those so low that they may
+    go inside an article.
     """
 
     def __init__(self, html: str, low: frozenset = frozenset(), low_inside: frozenset = frozenset()):
@@ -105,7 +108,7 @@ class Page(HTMLParser):
         # kind: 0 plain, 1 named as content, 2 main, 3 article; children inherit it.
         self.stack = [Node("", 0, False, 0)]
         self.nodes: list[Node] = []
-        self.chunks: list[tuple[int, str]] = []  # kind, text; kind -1: a block ends here
+        self.chunks: list[tuple[Node | None, str]] = []  # where a text stands; None: a block ends here
         self.texts: list[tuple[int, str]] = []  # path, text of its own
         self.feed(_ended(html))
         self.close()
@@ -116,7 +119,7 @@ class Page(HTMLParser):
         elif tag in ENDS_LIKE:
             self._end(ENDS_LIKE[tag])
         if tag in BLOCK:
-            self.chunks.append((-1, ""))
+            self.chunks.append((None, ""))
         if tag in VOID:
             return
         parent = self.stack[-1]
@@ -144,14 +147,11 @@ class Page(HTMLParser):
         elif words & CONTENT and tag in ("div", "section", "td"):
             kind = max(kind, 1)
         chrome = tag in CHROME or role in ROLES or marked or hidden or (tag == "header" and parent.kind < 2)
-        if not chrome and tag not in KEEP:
-            low = self.low_inside if kind >= 2 else self.low
-            chrome = path in low and (kind < 2 or tag not in PARAGRAPH)
-        return Node(tag, path, parent.dropped or bool(chrome), kind)
+        return Node(tag, path, parent.dropped or bool(chrome), kind, parent)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
-            self.chunks.append((-1, ""))
+            self.chunks.append((None, ""))
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
                 del self.stack[i:]
@@ -169,18 +169,42 @@ class Page(HTMLParser):
         node = self.stack[-1]
         if data.strip() and node.tag not in ("script", "style"):
             self.texts.append((node.path, data))
+            node.spoken = True
         if not node.dropped:
-            self.chunks.append((node.kind, data))
+            self.chunks.append((node, data))
+
+    def _unimportant(self) -> set[Node]:
+        """Elements in a branch that the style tree removes."""
+        whole = {id(n): [n.path in self.low, n.path in self.low_inside] for n in self.nodes}
+        for n in reversed(self.nodes):  # children come after their parents
+            own, above = whole[id(n)], whole.get(id(n.parent))
+            if above:
+                above[:] = above[0] and own[0], above[1] and own[1]
+        gone: set[Node] = set()
+        for n in self.nodes:
+            low, inside = whole[id(n)]
+            if n.kind < 2:
+                goes = low and n.tag in BLOCK
+            else:
+                goes = inside and n.tag in BLOCK and n.tag not in PARAGRAPH and not n.spoken
+            if n.parent in gone or goes and n.tag not in KEEP:
+                gone.add(n)
+        return gone
 
     def text(self) -> str:
         """The text of the article, blocks and words apart by one space."""
-        best = max((kind for kind, data in self.chunks if data.strip()), default=0)
-        pieces = [" " if kind < 0 else data for kind, data in self.chunks if kind < 0 or kind == best]
+        gone = self._unimportant() if self.low else set()
+        return self._joined(gone) or (self._joined(set()) if gone else "")
+
+    def _joined(self, gone: set[Node]) -> str:
+        left = [(n, data) for n, data in self.chunks if n not in gone]
+        best = max((n.kind for n, data in left if n and data.strip()), default=0)
+        pieces = [data if n else " " for n, data in left if n is None or n.kind == best]
         return " ".join("".join(pieces).split())
 
     def features(self) -> set[tuple[int, int, int]]:
         """(path, 0, layout) of each element's children and (path, 1, text) of each text."""
-        out = {(n.path, 0, _hash(repr(n.children[:1000]))) for n in self.nodes}
+        out = {(n.path, 0, _hash(repr(n.children))) for n in self.nodes}
         out |= {(path, 1, _hash(" ".join(data.split()))) for path, data in self.texts}
         return out
 
@@ -193,23 +217,31 @@ def _ended(html: str) -> str:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, pages, layout_importance, text_importance of every path of every site."""
+    """host, path, pages, layout_importance and text_importance (null without text) of every path of every site."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [
-                (host, *feature)
-                for host, html in zip(batch["host"], batch["html"], strict=True)
+                (host, *feature, weight)
+                for host, html, weight in zip(batch["host"], batch["html"], batch["weight"], strict=True)
                 if isinstance(html, str) and host
                 for feature in Page(html).features()
             ]
-            yield pd.DataFrame(rows, columns=["host", "path", "kind", "feature"])
+            yield pd.DataFrame(rows, columns=["host", "path", "kind", "feature", "weight"])
 
+    own = pages.select(
+        parts(pages["url"].cast("string"))[0].alias("host"),
+        pages["html"].cast("string").alias("html"),
+        F.xxhash64(pages["html"].cast("string")).alias("copy"),
+    )
+    # Pages alike share the weight of one; only those that have copies are joined.
+    copies = stored(own.groupBy("host", "copy").agg(F.count("*").alias("n")).where("n > 1"), "page-copies")
+    weight = (1 / F.coalesce("n", F.lit(1))).alias("weight")
+    weighed = own.join(copies, ["host", "copy"], "left").select("host", "html", weight)
     seen = (
-        pages.select(parts(F.col("url"))[0].alias("host"), pages["html"].cast("string").alias("html"))
-        .mapInPandas(run, "host string, path long, kind int, feature long")
+        weighed.mapInPandas(run, "host string, path long, kind int, feature long, weight double")
         .groupBy("host", "path", "kind", "feature")
-        .agg(F.count("*").alias("n"))
+        .agg(F.greatest(F.round(F.sum("weight"), 3), F.lit(1.0)).alias("n"))
     )
     layout, text = F.col("kind") == 0, F.col("kind") == 1
     sums = seen.groupBy("host", "path").agg(
@@ -217,26 +249,27 @@ def style_tree(pages: DataFrame) -> DataFrame:
         F.sum(F.when(layout, F.col("n") * F.log("n"))).alias("n_log_n"),
         F.avg(F.when(text, F.log("n"))).alias("log_n"),
     )
-    base = F.log(F.greatest("pages", F.lit(2)))
+    base = F.log(F.greatest("pages", F.lit(2.0)))
+    text_importance = F.when(F.col("log_n").isNotNull(), F.greatest(1 - F.col("log_n") / base, F.lit(0.0)))
     return sums.where("pages is not null").select(
         "host",
         "path",
         "pages",
         ((F.log("pages") - F.col("n_log_n") / F.col("pages")) / base).alias("layout_importance"),
-        F.greatest(1 - F.col("log_n") / base, F.lit(0.0)).alias("text_importance"),
+        text_importance.alias("text_importance"),
     )
 
 
 def low_paths(tree: DataFrame) -> DataFrame:
     """host and its paths of low importance, outside and inside an article."""
-    importance = F.coalesce("text_importance", "layout_importance")
-    both = F.greatest(importance, F.col("layout_importance"))
+    own = F.greatest("layout_importance", "text_importance")  # of those that are not null
+    importance = (F.col("pages") * own + PRIOR) / (F.col("pages") + PRIOR)
     return (
-        tree.where((F.col("pages") >= MIN_PAGES) & F.col("text_importance").isNotNull() & (both <= LOW))
+        tree.where(importance <= LOW)
         .groupBy("host")
         .agg(
             F.collect_list("path").alias("low"),
-            F.collect_list(F.when(both <= LOW_INSIDE, F.col("path"))).alias("low_inside"),
+            F.collect_list(F.when(importance <= LOW_INSIDE, F.col("path"))).alias("low_inside"),
         )
     )
 
