@@ -1,8 +1,8 @@
 """Line de-duplication by the spread of a line over sites.
 
 A line that stands on ``MIN_SITES`` distinct sites or more is boilerplate and stays
-at one place only: in the row of the smallest id (then site, then a hash of the row),
-where it first stands there.  Lines are compared without the white space around them; empty ones stay.
+at one place only: in the row of the smallest id (then of a hash of the row), where it
+first stands there.  Lines are compared without the white space around them; empty ones stay.
 
 Each task sums up a HyperLogLog sketch of the sites per line hash, and the
 sketches merge by aggregation, so a line in a third of all documents reaches its
@@ -72,8 +72,8 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         seen.groupBy("key")
         .agg(
             F.hll_sketch_agg("site", F.lit(LOG2_REGISTERS)).alias("sketch"),
-            # Null ids come last; site, row and place break ties.
-            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "site", "row", "place")).alias("first"),
+            # Null ids come last; row and place break ties.
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "place")).alias("first"),
             F.count("*").alias("n"),
         )
         .where(F.col("n") >= min_sites)
