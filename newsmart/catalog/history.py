@@ -1,13 +1,26 @@
-"""Storing into tables that have a history: key indexes, and chains of competing rows."""
+"""Tables with a history: key indexes, chains of competing rows, de-duplication that leaves text in place."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsmart import bindings as B, schemas as S
-from newsmart.catalog.registry import ANALYSES, ANALYSIS_SQL, KEPT, NEWS, analysis_columns, at, at_sql, query
+from newsmart.catalog.registry import (
+    ANALYSES,
+    ANALYSIS_SQL,
+    ARTICLE_SQL,
+    KEPT,
+    NEWS,
+    analysis_columns,
+    article_columns,
+    at,
+    at_sql,
+    query,
+)
 from newsmart.functions.text import content_hash
+from newsmart.operators.dedup import first_in_place
 from newsmart.operators.references import insert_ignore
+from newsmart.plans import news as plans
 from newsmart.session import scratch_path
 from newsmart.sinks import tables
 from newsmart.sources.tables import read_table
@@ -101,3 +114,20 @@ def insert_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inserts.select(*columns, F.lit("stored").alias("outcome")).unionByName(
         clashes.select(*columns, F.lit("clash").alias("outcome"))
     )
+
+
+@query(f"with {NEWS}, {KEPT} select {ARTICLE_SQL}, content_hash from kept")
+def process_news_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw news as processed news, only repeated articles moved."""
+    processed = plans.process_news(B.news(spark, sf_dir), B.processed_at(), in_place=True)
+    return processed.select(*article_columns(), "content_hash")
+
+
+@query(
+    f"""with {NEWS}
+    select event_id, source_url, {at_sql('ts', 'timestamp')}, title, content from news
+    qualify row_number() over (partition by source_url order by ts, event_id) = 1"""
+)
+def dedup_source_key_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = first_in_place(B.news(spark, sf_dir), F.coalesce("source_url", "event_id"), ["timestamp", "event_id"])
+    return kept.select("event_id", "source_url", at("timestamp"), "title", "content")

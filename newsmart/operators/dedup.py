@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from newsmart.session import stored
+
 _RANK = "_rank"
 
 
@@ -39,6 +41,50 @@ def dedup_content(news: DataFrame) -> DataFrame:
     return first_per_key(news, ["content_hash"], ["timestamp", "event_id"])
 
 
+# --- text left in place ---------------------------------------------------------------
+
+#: Most rows of the broadcast table of bits: 2^20 words of 64 bits, 16 MB.
+_MOST_WORDS = 1 << 20
+
+
+def _word(key: Column, words: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(key), 6).bitwiseAND(F.lit(words - 1))
+
+
+def _bit(key: Column) -> Column:
+    place = F.xxhash64(key).bitwiseAND(F.lit(63)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+
+def by_repetition(df: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key stands once, and the others, among which are a few of the first kind.
+
+    Keys alone are counted.  Those that stand more than once become a table of bits, at
+    most ``_MOST_WORDS`` rows however many they are, which is broadcast and decides row
+    by row where the rows are read.
+    """
+    repeated = df.select(key.alias("_key")).groupBy("_key").count().where("count > 1").select("_key")
+    repeated = stored(repeated, "repeated-keys")
+    # 32 bits per key, as long as there is room.
+    words = min(_MOST_WORDS, 1 << max(6, (repeated.count() // 2).bit_length()))
+    word, bit = _word(F.col("_key"), words), _bit(F.col("_key"))
+    bits = repeated.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    marked = df.withColumn("_at", _word(key, words)).join(F.broadcast(bits), F.col("_at") == F.col("_word"), "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(_bit(key)) != 0, F.lit(False))
+    return marked.where(~maybe).select(*df.columns), marked.where(maybe).select(*df.columns)
+
+
+def first_in_place(df: DataFrame, key: str | Column, order: Sequence[str | Column]) -> DataFrame:
+    """The first row of each key, shuffling only rows whose key stands more than once.
+
+    ``df`` is read three times and must not be a stream; where most keys repeat,
+    ``first_per_key`` does the same in one reading.
+    """
+    key = F.col(key) if isinstance(key, str) else key
+    single, several = by_repetition(df, key)
+    return single.unionByName(first_per_key(several, [key], order))
+
+
 def stream_dedup(
     df: DataFrame, key: str, delay: str, time: str, salts: int = 16
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from newsmart.functions.text import routing_key
 from newsmart.functions.wire import envelope
 from newsmart.operators.aggregate import ticker_snapshots
 from newsmart.operators.annotate import Complete, ask_model, parse_replies, prompts_for
-from newsmart.operators.dedup import dedup_content, first_per_key, stream_dedup
+from newsmart.operators.dedup import dedup_content, first_in_place, first_per_key, stream_dedup
 from newsmart.operators.enrich import to_processed, with_content_hash
 from newsmart.operators.validate import RAW_RULES, accepted, decode, rejected, with_event_id
 from newsmart.session import stored
@@ -24,9 +24,18 @@ def raw_records(values: DataFrame) -> tuple[DataFrame, DataFrame]:
     return with_event_id(accepted(decoded, RAW_RULES)), rejected(decoded)
 
 
-def process_news(raw: DataFrame, processed_at: Column) -> DataFrame:
-    """Raw news as processed news: hash, drop repeated content, add companies."""
-    return to_processed(dedup_content(with_content_hash(raw)), processed_at)
+def process_news(raw: DataFrame, processed_at: Column, in_place: bool = False) -> DataFrame:
+    """Raw news as processed news: hash, drop repeated content, add companies.
+
+    ``in_place`` leaves articles whose content stands once where they are read, for the
+    price of reading ``raw`` three times: for tables whose text is too large to shuffle.
+    """
+    hashed = with_content_hash(raw)
+    if in_place:
+        kept = first_in_place(hashed, "content_hash", ["timestamp", "event_id"])
+    else:
+        kept = dedup_content(hashed)
+    return to_processed(kept, processed_at)
 
 
 def process_stream(

@@ -160,3 +160,27 @@ def test_hot_article_is_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_first_in_place_equals_the_first_of_each_key(spark):
+    from newsmart.operators.dedup import first_in_place, first_per_key
+
+    rows = [(f"k{i}", i, "x" * 50) for i in range(3000)] + [(f"k{i % 7}", i, "y") for i in range(3000, 3100)]
+    rows += [(None, 5, "n"), (None, 4, "m"), ("tie", 1, "a"), ("tie", 1, "b"), ("", 1, ""), ("same", 2, "s"), ("same", 2, "s")]
+    frame = spark.createDataFrame(rows, "key string, at int, text string")
+    order = ["at", "text"]
+    assert sorted(first_in_place(frame, "key", order).collect(), key=str) == sorted(first_per_key(frame, ["key"], order).collect(), key=str)
+    assert first_in_place(frame.limit(0), "key", order).count() == 0
+
+
+def test_rows_whose_key_stands_once_are_not_shuffled(spark):
+    from pyspark.sql import functions as F
+
+    from newsmart.operators.dedup import by_repetition
+
+    rows = [(f"k{i}", "x" * 50) for i in range(3000)] + [(f"k{i}", "y") for i in range(40)]
+    single, several = by_repetition(spark.createDataFrame(rows, "key string, text string"), F.col("key"))
+    assert 80 <= several.count() < 80 + 300 and single.count() + several.count() == len(rows)
+    plan = single._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange" in line and "text" in line]
+    assert not moved and "BroadcastHashJoin" in plan
