@@ -29,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from newsmart.llm.common import row_key, stored, text_of
 from newsmart.llm.words import covered, hashes, repeated, spans, window_hashes
@@ -168,10 +168,14 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, Model]:
                 }
             )
 
-    # The sample has TRAIN_ROWS ids at most, some 200 KB.
-    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    # The sample has TRAIN_ROWS ids at most, some 200 KB; of rows that share an id one is an example.
+    chosen = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].cast("string").alias("text")).join(
+        F.broadcast(sample), "doc_id"
+    )
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
+    one = chosen.withColumn("nth", nth).where("nth = 1")
     examples = stored(
-        chosen.select("text", "bad", "toxic").mapInPandas(
+        one.select("text", "bad", "toxic").mapInPandas(
             run, "bad int, toxic int, signature long, measures array<double>, words array<string>"
         ),
         "quality-examples",
