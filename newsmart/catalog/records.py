@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsmart import bindings as B, schemas as S
+from newsmart.catalog.keywords import keyword_annotator
 from newsmart.catalog.registry import (
     ARTICLE_SQL,
     COMPANIES_OF,
@@ -272,7 +273,7 @@ def annotate_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     analyses, _ = plans.annotate_articles(
         B.articles(spark, sf_dir),
         scratch_path(spark, "replies"),
-        annotate.keyword_annotator(BULLISH, BEARISH),
+        keyword_annotator(BULLISH, BEARISH),
         "keywords",
         F.lit(ANALYZED_AT).cast("timestamp"),
         partitions=spark.sparkContext.defaultParallelism,

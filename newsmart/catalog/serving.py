@@ -43,6 +43,33 @@ def articles_page_of_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.articles_page(B.articles(spark, sf_dir), "AAPL").select(*article_columns())
 
 
+@query(
+    f"""with {NEWS}
+    select {ARTICLE_SQL} from news order by ts desc, event_id
+    limit 100 offset (select count(*) * 2 // 3 from news)"""
+)
+def articles_deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page two thirds down the order."""
+    articles = B.articles(spark, sf_dir)
+    page = serve.articles_deep_page(articles, limit=100, offset=articles.count() * 2 // 3)
+    return page.select(*article_columns())
+
+
+@query(
+    f"""with {NEWS}, middle as (select ts as last_ts, event_id as last_id from news where list_contains(tickers, 'AAPL')
+      order by ts desc, event_id limit 1 offset 5)
+    select {ARTICLE_SQL} from news, middle
+    where list_contains(tickers, 'AAPL') and (ts < last_ts or (ts = last_ts and event_id > last_id))
+    order by ts desc, event_id limit 40"""
+)
+def articles_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page that follows the last article of another one."""
+    articles = B.articles(spark, sf_dir)
+    last = serve.articles_page(articles, "AAPL", limit=1, offset=5).first()
+    page = serve.articles_page_after(articles, last["timestamp"], last["event_id"], "AAPL", limit=40)
+    return page.select(*article_columns())
+
+
 @query(f"with {NEWS} select {ARTICLE_SQL} from news where list_contains(tickers, 'aapl')")
 def articles_by_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.articles_by_ticker(B.articles(spark, sf_dir), "aapl").select(*article_columns())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsmart import bindings as B, schemas as S
+from newsmart.catalog.keywords import keyword_annotator
 from newsmart.catalog.records import BEARISH, BULLISH
 from newsmart.catalog.registry import KEPT, NEWS, at, at_sql, company, listed, listed_sql, query
 from newsmart.catalog.storage import (
@@ -17,7 +18,6 @@ from newsmart.catalog.storage import (
 )
 from newsmart.catalog.tickers import kept_news
 from newsmart.operators.aggregate import snapshot_by_emit_interval, tumbling_counts
-from newsmart.operators.annotate import keyword_annotator
 from newsmart.operators.dedup import stream_dedup as dedup_stream
 from newsmart.operators.enrich import with_content_hash
 from newsmart.operators.validate import PROCESSED_RULES, accepted, decode

@@ -6,10 +6,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsmart import bindings as B, schemas as S
+from newsmart.catalog.keywords import keyword_annotator
 from newsmart.catalog.records import BEARISH, BULLISH
 from newsmart.catalog.registry import ANALYSES, KEPT, NEWS, query
 from newsmart.catalog.tickers import kept_news
-from newsmart.operators.annotate import keyword_annotator
 from newsmart.operators.validate import PROCESSED_RULES, accepted, decode
 from newsmart.plans import news as plans
 from newsmart.session import scratch_path

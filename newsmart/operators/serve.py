@@ -57,6 +57,63 @@ def articles_page(
     return _page(found, S.ARTICLE_VIEW, _newest(), "timestamp", limit, offset)
 
 
+#: Relative error of the sketch of times that finds a deep page, as one over this.
+_ACCURACY = 10_000
+
+
+def articles_page_after(
+    articles: DataFrame, timestamp: object, event_id: str, ticker: str | None = None, limit: int = 10
+) -> DataFrame:
+    """The page that follows an article, newest first: its time and id are the cursor.
+
+    However deep the page lies, each task keeps ``limit`` rows, and what is newer than
+    the cursor is not read.
+    """
+    _check("limit", limit, 1, 100)
+    at = F.lit(timestamp).cast("timestamp")
+    later = (F.col("timestamp") < at) | ((F.col("timestamp") == at) & (F.col("event_id") > event_id))
+    found = articles.where(_mentions(ticker)).where((F.col("timestamp") <= at) & later)
+    return _page(found, S.ARTICLE_VIEW, _newest(), "timestamp", limit)
+
+
+def _span(found: DataFrame, offset: int, limit: int) -> tuple[Column, int]:
+    """A condition on the time that holds for a page's rows, and how many newer rows it leaves out.
+
+    A sketch of the times gives two times around the page and an exact count of what
+    lies beyond each confirms them; one that is not confirmed is not used.
+    """
+    micros = F.unix_micros("timestamp")
+    n = found.count()
+    slack = 2 * n // _ACCURACY + 1
+    ranks = (offset - slack, offset + limit + slack)
+    shares = [min(max(1 - r / n, 0.0), 1.0) if n else 0.0 for r in ranks]
+    bounds = found.agg(F.percentile_approx(micros, F.array(*map(F.lit, shares)), _ACCURACY).alias("t")).first()["t"]
+    if bounds is None:
+        return F.lit(True), 0
+    newest, oldest = (F.timestamp_micros(F.lit(t)) for t in bounds)
+    beyond = found.agg(
+        F.count_if(F.col("timestamp") > newest).alias("newer"), F.count_if(F.col("timestamp") >= oldest).alias("reached")
+    ).first()
+    inside, newer = F.lit(True), 0
+    if ranks[0] > 0 and beyond["newer"] <= offset:
+        inside, newer = F.col("timestamp").isNull() | (F.col("timestamp") <= newest), beyond["newer"]
+    if ranks[1] < n and beyond["reached"] >= offset + limit:
+        inside = inside & (F.col("timestamp") >= oldest)
+    return inside, newer
+
+
+def articles_deep_page(
+    articles: DataFrame, ticker: str | None = None, limit: int = 10, offset: int = 0
+) -> DataFrame:
+    """``articles_page`` for large offsets: only the span of time that the page lies in is ordered."""
+    _check("limit", limit, 1, 100)
+    _check("offset", offset, 0)
+    found = articles.where(_mentions(ticker))
+    inside, newer = _span(found, offset, limit)
+    page = found.where(inside).select(*S.ARTICLE_VIEW).orderBy(*_newest())
+    return page.offset(offset - newer).limit(limit)
+
+
 def latest_for_ticker(articles: DataFrame, ticker: str, limit: int = 5) -> DataFrame:
     """The newest articles that name the ticker."""
     _check("limit", limit, 1, 50)

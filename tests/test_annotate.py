@@ -11,10 +11,10 @@ from conftest import stamp
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from newsmart.catalog.keywords import keyword_annotator
 from newsmart import schemas as S
 from newsmart.operators.annotate import (
     ask_model,
-    keyword_annotator,
     parse_replies,
     prompts_for,
 )

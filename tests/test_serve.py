@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import plan_of, rows_read
+from pyspark.sql import functions as F
 
 from newsmart import schemas as S
 from newsmart.operators import serve
@@ -175,3 +176,36 @@ def test_lookup_by_id_skips_files_without_it(spark, folder):
     found = serve.articles_by_ids(spark.read.parquet(folder), [wanted])
     assert [r.event_id for r in found.collect()] == [wanted]
     assert rows_read(found) <= 10_000
+
+
+def test_deep_pages_are_those_of_the_whole_order(spark, articles, monkeypatch):
+    for limit, offset in [(5, 0), (7, 3), (10, 20), (100, 25), (4, 29), (10, 31), (10, 500)]:
+        assert ids(serve.articles_deep_page(articles, limit=limit, offset=offset)) == ids(
+            serve.articles_page(articles, limit=limit, offset=offset)
+        )
+        monkeypatch.setattr(serve, "_ACCURACY", 10)  # rough bounds are corrected
+        assert ids(serve.articles_deep_page(articles, "B", limit=limit, offset=offset)) == ids(
+            serve.articles_page(articles, "B", limit=limit, offset=offset)
+        )
+
+
+def test_deep_page_orders_a_span_alone(spark):
+    many = spark.range(100_000).select(
+        F.concat(F.lit("e"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("event_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60).alias("timestamp"),
+    )
+    inside, newer = serve._span(many, 60_000, 10)
+    span = many.where(inside).count()
+    assert newer <= 60_000 and newer + span >= 60_010 and span < 500
+    ties = many.withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    inside, newer = serve._span(ties, 500, 10)
+    assert newer == 0 and ties.where(inside).count() == 100_000
+
+
+def test_pages_by_cursor_meet(articles):
+    whole = ids(serve.articles_page(articles, limit=100))
+    got, page = [], serve.articles_page(articles, limit=7)
+    while rows := page.collect():
+        got += [r.event_id for r in rows]
+        page = serve.articles_page_after(articles, rows[-1].timestamp, rows[-1].event_id, limit=7)
+    assert got == whole

@@ -8,9 +8,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from newsmart.catalog.keywords import keyword_annotator
 from newsmart import schemas as S
 from newsmart.functions.wire import encode, envelope
-from newsmart.operators.annotate import keyword_annotator
 from newsmart.operators.validate import PROCESSED_RULES, accepted, decode, rejected
 from newsmart.plans import news as plans
 from newsmart.sinks import tables
