@@ -25,7 +25,7 @@ from newsmart.plans import news as plans
 from newsmart.session import scratch_path
 from newsmart.sinks.tables import AGGREGATES, ANALYSES, ARTICLES
 from newsmart.sinks.topics import land
-from newsmart.sources.tables import read_lake, read_table
+from newsmart.sources.tables import read_lake, read_snapshot, read_table
 from newsmart.sources.topics import landed_topics
 from newsmart.streaming import streams
 
@@ -91,7 +91,7 @@ def stream_emit_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     news = _stream_news(spark, sf_dir).withColumn("processed_at", _minute_later())
     counted = snapshot_by_emit_interval(news.withWatermark("processed_at", "10 minutes"))
     streams.to_snapshot(counted, f"{out}/data", f"{out}/checkpoint", None).awaitTermination()
-    return spark.read.parquet(f"{out}/data").select(
+    return read_snapshot(spark, f"{out}/data", counted.schema).select(
         "ticker", "company_name", at("window_start"), at("window_end"), "article_count"
     )
 
@@ -107,7 +107,7 @@ def stream_ticker_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "hourly")
     counted = tumbling_counts(_stream_news(spark, sf_dir).withWatermark("timestamp", "1 hour"))
     streams.to_snapshot(counted, f"{out}/data", f"{out}/checkpoint", None).awaitTermination()
-    return spark.read.parquet(f"{out}/data").select(
+    return read_snapshot(spark, f"{out}/data", counted.schema).select(
         "ticker",
         "company_name",
         at("window_start"),
@@ -116,6 +116,31 @@ def stream_ticker_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""with {NEWS}, spread as (select ts, score, unnest(tickers) as ticker from news),
+    windows as (
+      select ticker, date_trunc('hour', ts) as window_start, date_trunc('hour', ts) + interval 1 hour as window_end,
+             count(*) as article_count, round(avg(score), 6) as avg_sentiment_score
+      from spread group by ticker, date_trunc('hour', ts))
+    select ticker, {company('ticker')} as company_name, {at_sql('window_start')}, {at_sql('window_end')},
+           article_count, avg_sentiment_score
+    from windows where window_end <= (select max(ts) - interval 1 hour from news)"""
+)
+def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows emitted once, when the watermark has passed them, and forgotten; open ones are held back."""
+    out = scratch_path(spark, "closed")
+    counted = tumbling_counts(_stream_news(spark, sf_dir).withWatermark("timestamp", "1 hour"))
+    streams.to_folder(counted, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    return spark.read.schema(counted.schema).parquet(f"{out}/data").select(
+        "ticker",
+        "company_name",
+        at("window_start"),
+        at("window_end"),
+        "article_count",
+        F.round("avg_sentiment_score", 6).alias("avg_sentiment_score"),
+    )
+
+
 @query(
     f"""with {NEWS}, spread as (select ts, score, unnest(tickers) as ticker from news)
     select ticker, {at_sql("date_trunc('hour', ts)", 'window_start')},

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from newsmart import schemas as S
 
 BATCH = "batch_id"
+VERSION = "version"
 
 
 def read_folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -59,3 +60,32 @@ def lake_schema() -> T.StructType:
     fields = [S.PROCESSED_NEWS[c] for c in S.LAKE_COLUMNS]
     parts = [T.StructField("date", T.DateType()), T.StructField("ticker", T.StringType())]
     return T.StructType(fields + parts)
+
+
+# --- snapshots --------------------------------------------------------------------------
+
+
+def _versions(spark: SparkSession, path: str) -> list:
+    """Folders of the whole versions under a path, oldest first, and their file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root = hadoop(path)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return [system]
+    found = [s.getPath() for s in system.listStatus(root) if s.getPath().getName().startswith(f"{VERSION}=")]
+    return [system, *sorted((p for p in found if system.exists(hadoop(p, "_SUCCESS"))), key=lambda p: p.getName())]
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest version of a snapshot that is wholly written; none yet is empty."""
+    _, *versions = _versions(spark, path)
+    if not versions:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(versions[-1].toString())
+
+
+def drop_versions(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete all but the newest whole versions of a snapshot."""
+    system, *versions = _versions(spark, path)
+    for old in versions[:-keep]:
+        system.delete(old, True)

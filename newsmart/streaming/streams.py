@@ -17,6 +17,7 @@ from newsmart.operators.lake import lake_rows
 from newsmart.plans.news import annotate_articles
 from newsmart.schemas import ANALYSIS_TOPIC
 from newsmart.sinks.lake import PARTITIONS, lake_kind, lay_out, spread
+from newsmart.sources.tables import VERSION, drop_versions
 from newsmart.sinks.tables import (
     DEAD,
     write_aggregates,
@@ -29,6 +30,8 @@ from newsmart.sinks.tables import (
 LAKE_ROWS_PER_FILE = 100  # for files as small as the service's; 0 leaves the size to the data
 LAKE_FLUSH = "60 seconds"
 EMIT_INTERVAL = "300 seconds"
+#: Versions of a snapshot that stay.
+KEPT_VERSIONS = 3
 
 
 def start(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
@@ -59,10 +62,17 @@ def to_folder(
 def to_snapshot(
     df: DataFrame, path: str, checkpoint: str, every: str | None = EMIT_INTERVAL
 ) -> StreamingQuery:
-    """Replace a folder with the running aggregate at every trigger."""
+    """The running aggregate as a version of its own at every trigger, under ``path``.
+
+    ``sources.tables.read_snapshot`` reads the newest whole one, so a reader never meets
+    one that is being written.  The last ``KEPT_VERSIONS`` stay for readers at work.  In
+    complete mode the state holds every group ever seen: for windows that end, give
+    ``to_folder`` an aggregate with a watermark, which emits a window once and forgets it.
+    """
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/{VERSION}={batch_id:012d}")
+        drop_versions(batch.sparkSession, path, KEPT_VERSIONS)
 
     writer = df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     return start(writer.foreachBatch(replace), every)

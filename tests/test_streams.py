@@ -14,7 +14,7 @@ from newsmart.operators.dedup import stream_dedup
 from newsmart.plans import news as plans
 from newsmart.sinks import tables
 from newsmart.sinks.topics import land
-from newsmart.sources.tables import read_lake, read_table
+from newsmart.sources.tables import drop_versions, read_lake, read_snapshot, read_table
 from newsmart.sources.topics import landed_topics
 from newsmart.streaming import streams
 
@@ -161,3 +161,45 @@ def test_stateful_stream_into_the_lake(spark, folder):
     ).awaitTermination()
     found = read_lake(spark, f"{folder}/lake")
     assert found.select("content_hash").distinct().count() == 10
+
+
+def test_snapshots_are_read_whole(spark, folder):
+    schema = spark.createDataFrame([(1,)], "n long").schema
+    assert read_snapshot(spark, folder, schema).count() == 0
+    for version in range(1, 13):
+        spark.createDataFrame([(version,)], schema).write.parquet(f"{folder}/version={version:012d}")
+    # A version that is being written has no mark of success yet.
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = hadoop(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert system.delete(hadoop(f"{folder}/version=000000000012/_SUCCESS"), False)
+    assert [r.n for r in read_snapshot(spark, folder, schema).collect()] == [11]
+    drop_versions(spark, folder, 3)
+    assert [r.n for r in read_snapshot(spark, folder, schema).collect()] == [11]
+    left = [s.getPath().getName() for s in system.listStatus(hadoop(folder))]
+    assert sorted(left) == [f"version={v:012d}" for v in (9, 10, 11, 12)]
+
+
+def test_closed_windows_leave_the_state(spark, folder):
+    def drop(hours, name):
+        rows = spark.createDataFrame([(h,) for h in hours], "h long").select(
+            F.timestamp_seconds(F.lit(1_704_067_200) + F.col("h") * 3600).alias("timestamp"),
+            F.array(F.lit("AAPL")).alias("tickers"),
+            F.lit(None).cast("string").alias("raw_metadata"),
+        )
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        return rows.schema
+
+    def follow(schema):
+        news = spark.readStream.schema(schema).parquet(f"{folder}/in").withWatermark("timestamp", "1 hour")
+        query = streams.to_folder(tumbling_counts(news), f"{folder}/out", f"{folder}/c")
+        query.awaitTermination()
+        state = query.recentProgress[-1].stateOperators[0].numRowsTotal
+        out = spark.read.parquet(f"{folder}/out")
+        return state, sorted((r.window_start.hour, r.article_count) for r in out.collect())
+
+    schema = drop([0, 0, 1, 2, 3], "a")
+    state, closed = follow(schema)
+    assert closed == [(0, 2), (1, 1)] and state == 2
+    drop([0, 3, 9], "b")  # the first of them is late
+    state, closed = follow(schema)
+    assert closed == [(0, 2), (1, 1), (2, 1), (3, 2)] and state == 1
