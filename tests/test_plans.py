@@ -16,6 +16,11 @@ _EAGER = {
     "insert_conflicts",
     "lake_roundtrip",
     "fan_out",
+    "insert_history",
+    "analyses_history",
+    "insert_chain",
+    "process_news_in_place",
+    "dedup_source_key_in_place",
 }
 LAZY = sorted(n for n in QUERIES if n not in _EAGER and not n.startswith("stream_"))
 
