@@ -18,8 +18,10 @@ def _salted(analyses: DataFrame, articles: DataFrame, salts: int) -> tuple[DataF
         return analyses, ids
     # A salt from the whole row spreads one article's analyses over many tasks.
     salt = F.pmod(F.xxhash64(*analyses.columns), F.lit(salts)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return analyses.withColumn("_salt", salt), ids.select("*", every.alias("_salt"))
+    salted = analyses.withColumn("_salt", salt)
+    # An article is repeated for the salts its analyses have, not for all there are: Spark
+    # takes no account of rows that an explode adds, and would broadcast them.
+    return salted, salted.select(*_keys(salts)).distinct().join(ids, "article_event_id", "left_semi")
 
 
 def _keys(salts: int) -> list[str]:
@@ -31,7 +33,7 @@ def valid_analyses(analyses: DataFrame, articles: DataFrame, salts: int = 1) ->
 
     An article with very many analyses makes its partition skewed; AQE splits
     it.  Where AQE is off (inside a stateful stream), ``salts`` splits it by
-    hand at the price of ``salts`` copies of the article ids.
+    hand at the price of a second reading of ``analyses``: persist them.
     """
     left, right = _salted(analyses, articles, salts)
     return left.join(right, _keys(salts), "left_semi").select(*analyses.columns)

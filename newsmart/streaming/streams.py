@@ -111,6 +111,7 @@ def to_analyses(
 
     def annotate(batch: DataFrame, batch_id: int) -> None:
         news, name = batch.persist(), own_name(batch, "annotator", batch_id)
+        held = [news]
         try:
             analyses, failed = annotate_articles(
                 news,
@@ -120,13 +121,16 @@ def to_analyses(
                 F.current_timestamp(),
                 partitions=partitions,
             )
+            analyses = analyses.persist()  # read several times below; parsed once
+            held.append(analyses)
             orphans = write_analyses(analyses, root, name)
             failures = failed.select(
                 F.lit(ANALYSIS_TOPIC).alias("topic"), F.col("reply").alias("value"), "reason"
             )
             write_batch(orphans.unionByName(failures), f"{root}/{DEAD}", name)
         finally:
-            news.unpersist()
+            for frame in held:
+                frame.unpersist()
 
     writer = processed.writeStream.option("checkpointLocation", checkpoint)
     return start(writer.foreachBatch(annotate), every)

@@ -140,6 +140,14 @@ def test_foreign_key_halves(spark, salts):
     assert ids.isdisjoint({r.summary for r in orphans.collect()})
 
 
+def test_salts_repeat_an_article_no_more_often_than_its_analyses(spark):
+    from newsmart.operators.references import _salted
+
+    analyses, articles = references(spark)
+    _, ids = _salted(analyses, articles, 16)
+    assert ids.count() <= analyses.count()
+
+
 def test_hot_article_is_split(spark):
     """Sort-merge form, with thresholds low enough for the test's size."""
     changed = {
