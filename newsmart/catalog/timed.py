@@ -16,8 +16,8 @@ from newsmart.sources.tables import read_folder
 from newsmart.streaming.streams import to_folder
 from newsmart.streaming.timers import flushes, tick_snapshots
 
-#: Seconds that a timer may take on a busy machine.
-PATIENCE = 120
+#: Seconds that a timer may take on a busy machine, and further ones for each record.
+PATIENCE, PER_RECORD = 120, 1 / 500
 TICK, AGE = "6 seconds", "6 seconds"
 SLOTS, SIZE = 4, 20
 
@@ -36,9 +36,9 @@ def _drop(spark: SparkSession, sf_dir: str, part: int, path: str) -> DataFrame:
     return own
 
 
-def _until(stream: StreamingQuery, done: Callable[[], bool]) -> None:
-    """Wait for a running stream, then stop it."""
-    end = time.monotonic() + PATIENCE
+def _until(stream: StreamingQuery, done: Callable[[], bool], records: int) -> None:
+    """Wait for a running stream that takes so many records in, then stop it."""
+    end = time.monotonic() + PATIENCE + records * PER_RECORD
     try:
         while not done():
             if not stream.isActive:
@@ -76,8 +76,8 @@ def stream_timer_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
             return (total or 0) == expected
 
         if part:  # taken in, then stopped before or after its tick
-            _until(stream := run(), lambda: any(p.numInputRows for p in stream.recentProgress))
-        _until(run(), emitted)
+            _until(stream := run(), lambda: any(p.numInputRows for p in stream.recentProgress), expected)
+        _until(run(), emitted, expected)
     windows = read_folder(spark, f"{out}/data", snapshots.schema)
     earlier = windows.select(F.col("ticker").alias("t"), F.col("window_start").alias("s"))
     length = F.col("window_end").cast("double") - F.col("window_start").cast("double")
@@ -112,7 +112,7 @@ def _flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
         records = spark.readStream.schema(_RECORD).parquet(f"{out}/in")
         buffered = flushes(records, _number() % SLOTS, SIZE, AGE, F.col("stop"))
         stream = to_folder(buffered, f"{out}/data", f"{out}/checkpoint", "1 second")
-        _until(stream, lambda: read_folder(spark, f"{out}/data", buffered.schema).count() == expected)
+        _until(stream, lambda: read_folder(spark, f"{out}/data", buffered.schema).count() == expected, expected)
     return read_folder(spark, f"{out}/data", buffered.schema)
 
 

@@ -133,22 +133,25 @@ class _Buffer(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
         held, flushes, due = self.counts.get() or (0, 0, 0)
-        fresh: list[tuple] = []
-        stop = False
+        fresh: list[tuple] = []  # what no flush has taken: never more than a flush and a batch
+        stop = flushed = False
         for batch in rows:
             stop = stop or bool(batch["stop"].any())
             fresh += [(record,) for record in batch.loc[~batch["stop"], "record"]]
-        if held + len(fresh) >= self.size or stop:
-            whole = list(self.records.get()) + fresh if held else fresh
-            at = 0
-            while len(whole) - at >= self.size:
-                yield self._frame(key[0], flushes, SIZE, whole[at : at + self.size])
+            if held + len(fresh) < self.size:
+                continue
+            if held:
+                fresh, held = list(self.records.get()) + fresh, 0
+            at, flushed = 0, True
+            while len(fresh) - at >= self.size:
+                yield self._frame(key[0], flushes, SIZE, fresh[at : at + self.size])
                 at, flushes = at + self.size, flushes + 1
-            if stop and at < len(whole):
-                yield self._frame(key[0], flushes, STOP, whole[at:])
-                at, flushes = len(whole), flushes + 1
+            fresh = fresh[at:]
+        if stop and held + len(fresh):
+            yield self._frame(key[0], flushes, STOP, (list(self.records.get()) if held else []) + fresh)
+            fresh, held, flushes, flushed = [], 0, flushes + 1, True
+        if flushed:
             self.records.clear()
-            fresh, held = whole[at:], 0
             if due:
                 self.handle.deleteTimer(due)
                 due = 0

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from newsmart.sources.tables import read_folder, read_lake
@@ -41,6 +42,57 @@ def test_a_window_opens_at_its_first_article_and_is_emitted_once(spark, folder):
     assert all(0 < (r.window_end - r.window_start).total_seconds() <= 3 for r in made)
 
 
+class _State:
+    """What a processor keeps, and its timers."""
+
+    def __init__(self):
+        self.rows, self.value, self.timers = [], None, set()
+
+    def get(self):
+        return self.value if self.value is not None else iter(self.rows)
+
+    def update(self, value):
+        self.value = value
+
+    def appendList(self, rows):
+        self.rows += rows
+
+    def clear(self):
+        self.rows = []
+
+    registerTimer = property(lambda self: self.timers.add)
+    deleteTimer = property(lambda self: self.timers.remove)
+
+    def getCurrentProcessingTimeInMs(self):
+        return 1000
+
+
+def test_a_buffer_gives_out_what_is_full_before_it_takes_more_in():
+    buffer = timers._Buffer(10, 6)
+    buffer.handle, buffer.records, buffer.counts = _State(), _State(), _State()
+    buffer.counts.value = (0, 0, 0)
+    taken = 0
+
+    def rows(batches, stop=False):
+        nonlocal taken
+        for n in batches:
+            taken += n
+            records = [str(i) for i in range(taken - n, taken)]
+            yield pd.DataFrame({"stop": [False] * n + [True] * stop, "record": records + [None] * stop})
+
+    given = []
+    for frame in buffer.handleInputRows((3,), rows([7, 8, 25, 5, 64]), buffer.handle):
+        given += list(frame["record"])
+        assert frame["reason"].iloc[0] == "size" and len(frame) == 10
+        assert taken - len(given) < 10 + 64 and (len(given) > 40 or taken <= 45)
+    assert len(given) == 100 and buffer.counts.value == (9, 10, 7000) and buffer.handle.timers == {7000}
+    last = list(buffer.handleInputRows((3,), rows([3], stop=True), buffer.handle))
+    assert [(f["flush"].iloc[0], f["reason"].iloc[0], len(f)) for f in last] == [(10, "size", 10), (11, "stop", 2)]
+    given += [r for f in last for r in f["record"]]
+    assert given == [str(i) for i in range(112)]
+    assert buffer.counts.value == (0, 12, 0) and buffer.handle.timers == set() and buffer.records.rows == []
+
+
 def test_flushes_reach_the_lake(spark, folder):
     rows = articles(spark, range(45))
     rows.coalesce(1).write.parquet(f"{folder}/in")
