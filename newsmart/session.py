@@ -19,6 +19,8 @@ _RUNTIME = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Timestamps with min/max statistics, so time filters skip row groups.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Python workers hold a batch of whole texts: its rows bound their memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Stream state beyond executor memory goes to local disk and is
     # snapshotted to the checkpoint folder.
     "spark.sql.streaming.stateStore.providerClass": (

@@ -234,3 +234,12 @@ def test_admission(per_minute, seconds, rows):
 def test_a_trigger_too_short_is_refused(per_minute, seconds):
     with pytest.raises(ValueError, match="shorter"):
         admission_options(per_minute, seconds)
+
+
+def test_a_model_gets_batches_that_stay_small_however_long_the_table(spark):
+    def make():
+        return lambda prompts: [str(len(prompts))] * len(prompts)
+
+    prompts = spark.range(0, 3500, 1, 1).selectExpr("concat('e', id) as event_id", "'p' as prompt")
+    sizes = [int(r.reply) for r in ask_model(prompts, make).collect()]
+    assert len(sizes) == 3500 and max(sizes) <= 1000
