@@ -118,8 +118,8 @@ def insert_ignore(batch: DataFrame, table: DataFrame | Lookup) -> tuple[DataFram
     as such, never stored and never lost.
 
     The decision is made on (event_id, content_hash, timestamp) alone; then the
-    wide rows of either kind are shuffled once, after repeats of the same record
-    have been dropped in the map tasks.
+    wide rows to insert are shuffled once, after repeats of the same record have
+    been dropped in the map tasks, and of the others the clashes alone.
     """
     keys = stored(batch.groupBy(*_IDENTITY).agg(F.min("timestamp").alias("timestamp")), "keys")
     look_up = table if callable(table) else partial(present, table)
@@ -140,5 +140,7 @@ def insert_ignore(batch: DataFrame, table: DataFrame | Lookup) -> tuple[DataFram
         F.col("_by").isNull() | (F.struct("timestamp", "event_id") < F.col("_by"))
     )
     inserts = _pick(batch, winners.select(*_IDENTITY))
-    clashes = _pick(batch, clashing.select(*_IDENTITY))
+    # Clashes are few as a rule: their rows are picked out before anything wide is shuffled.
+    clashing = stored(clashing.select(*_IDENTITY), "clashing")
+    clashes = first_per_key(batch.join(clashing, _IDENTITY, "left_semi"), _IDENTITY, ["timestamp"])
     return inserts.select(*batch.columns), clashes.select(*batch.columns)

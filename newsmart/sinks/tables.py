@@ -157,14 +157,20 @@ def write_topics(envelopes: DataFrame, root: str, batch_id: str) -> None:
     batch = envelopes.persist()
     held = [batch]
 
-    def records(topic: str, rules: RecordRules) -> tuple[DataFrame, DataFrame]:
-        # Read several times below; decoded once.
-        decoded = decode(topic_values(batch, topic), rules).persist()
+    tasks = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def records(topic: str, rules: RecordRules, narrow: bool = True) -> tuple[DataFrame, DataFrame]:
+        values = topic_values(batch, topic)
+        if narrow:  # a topic of short records is a file or two, and so would be one task's
+            values = values.repartition(tasks)
+        # Read several times below; decoded once. An accepted record is not kept as written, too.
+        decoded = decode(values, rules)
+        decoded = decoded.withColumn("value", F.when(F.size("reasons") > 0, F.col("value"))).persist()
         held.append(decoded)
         return accepted(decoded, rules), rejected(decoded).select("topic", "value", "reason")
 
     try:
-        news, bad_news = records(S.PROCESSED_TOPIC, PROCESSED_RULES)
+        news, bad_news = records(S.PROCESSED_TOPIC, PROCESSED_RULES, narrow=False)
         aggregates, bad_aggregates = records(S.AGGREGATION_TOPIC, AGGREGATE_RULES)
         analyses, bad_analyses = records(S.ANALYSIS_TOPIC, ANALYSIS_RULES)
         taken = write_articles(news, root, batch_id)

@@ -192,3 +192,13 @@ def test_rows_whose_key_stands_once_are_not_shuffled(spark):
     plan = single._jdf.queryExecution().executedPlan().toString()
     moved = [line for line in plan.splitlines() if "Exchange" in line and "text" in line]
     assert not moved and "BroadcastHashJoin" in plan
+
+
+def test_only_clashes_are_shuffled_to_find_them(spark):
+    from conftest import plan_of
+
+    news = spark.createDataFrame(rows(*[(f"e{i}", i, f"h{i}") for i in range(50)], ("e7", 60, "new")), NEWS)
+    _, clashes = insert_ignore(news, news.limit(0).select("content_hash", "event_id"))
+    assert [(r.event_id, r.content_hash) for r in clashes.collect()] == [("e7", "new")]
+    plan = plan_of(clashes)
+    assert plan.index("Window") < plan.index("LeftSemi")
