@@ -154,9 +154,8 @@ def to_lake(
     """
     if lake_kind(processed.sparkSession, path) == "batch":
         raise ValueError(f"{path} is written by batch jobs")
-    rows = lake_rows(processed)
     writer = (
-        (spread(rows) if stateful else lay_out(rows))
+        (spread(lake_rows(processed)) if stateful else lake_rows(lay_out(processed)))
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", rows_per_file)

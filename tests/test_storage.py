@@ -18,6 +18,7 @@ from newsmart.sinks.lake import spread, write_lake
 from newsmart.sinks.topics import land
 from newsmart.sources.tables import read_lake, read_table
 from newsmart.sources.topics import landed_topics
+from newsmart.streaming import streams
 
 NOON = datetime(2024, 6, 15, 12)
 
@@ -142,6 +143,36 @@ def test_hot_partition_is_split_on_write(spark, folder, settings):
     assert read_lake(spark, folder).count() == 30_000
 
 
+def several_days(spark):
+    tickers = ["A", "B", "C", "D", "E", "F", "G", "H"]
+    return news(spark, *[processed(i, tickers, NOON + timedelta(days=i % 5)) for i in range(20)])
+
+
+def tasks_of_days(folder):
+    """Numbers of the tasks that wrote each day's files."""
+    found = {}
+    for path in glob.glob(f"{folder}/date=*/ticker=*/part-*.parquet"):
+        *_, day, _, name = path.split("/")
+        found.setdefault(day, set()).add(name.split("-")[1])
+    return found
+
+
+def test_a_day_is_written_by_one_task(spark, folder, settings):
+    settings(**{"coalescePartitions.enabled": "false"})
+    write_lake(several_days(spark), folder)
+    assert [len(tasks) for tasks in tasks_of_days(folder).values()] == [1] * 5
+    assert read_lake(spark, folder).count() == 20 * 8
+
+
+def test_a_stream_writes_a_day_by_one_task(spark, folder, settings):
+    settings(**{"coalescePartitions.enabled": "false"})
+    several_days(spark).write.parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(S.PROCESSED_NEWS).parquet(f"{folder}/in")
+    streams.to_lake(arriving, f"{folder}/lake", f"{folder}/checkpoint", every=None).awaitTermination()
+    assert [len(tasks) for tasks in tasks_of_days(f"{folder}/lake").values()] == [1] * 5
+    assert read_lake(spark, f"{folder}/lake").count() == 20 * 8
+
+
 def test_hot_partition_is_spread_where_plans_are_fixed(spark, folder, settings):
     settings(enabled="false")
     rows = spread(lake_rows(hot(spark, 3000)), 8).withColumn("task", F.spark_partition_id())
