@@ -56,24 +56,31 @@ def _bit(key: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), place)
 
 
-def by_repetition(df: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key stands once, and the others, among which are a few of the first kind.
+def by_membership(df: DataFrame, key: Column, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is not in ``wanted``, and the others, among which are a few of the first kind.
 
-    Keys alone are counted.  Those that stand more than once become a table of bits, at
-    most ``_MOST_WORDS`` rows however many they are, which is broadcast and decides row
+    ``wanted`` is a stored frame whose one column is ``_key``.  It becomes a table of bits, at
+    most ``_MOST_WORDS`` rows however many keys there are, which is broadcast and decides row
     by row where the rows are read.
     """
-    repeated = df.select(key.alias("_key")).groupBy("_key").count().where("count > 1").select("_key")
-    repeated = stored(repeated, "repeated-keys")
     # 32 bits per key, as long as there is room.
-    words = min(_MOST_WORDS, 1 << max(6, (repeated.count() // 2).bit_length()))
+    words = min(_MOST_WORDS, 1 << max(6, (wanted.count() // 2).bit_length()))
     word, bit = _word(F.col("_key"), words), _bit(F.col("_key"))
-    bits = repeated.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    bits = wanted.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
     marked = df.withColumn("_at", _word(key, words)).join(F.broadcast(bits), F.col("_at") == F.col("_word"), "left")
     maybe = F.coalesce(F.col("_bits").bitwiseAND(_bit(key)) != 0, F.lit(False))
     return marked.where(~maybe).select(*df.columns), marked.where(maybe).select(*df.columns)
 
 
+def by_repetition(df: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key stands once, and the others, among which are a few of the first kind.
+
+    Keys alone are counted; those that stand more than once are looked for in place.
+    """
+    repeated = df.select(key.alias("_key")).groupBy("_key").count().where("count > 1").select("_key")
+    return by_membership(df, key, stored(repeated, "repeated-keys"))
+
+
 def first_in_place(df: DataFrame, key: str | Column, order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key, shuffling only rows whose key stands more than once.
 

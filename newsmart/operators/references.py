@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, functions as F
 
 from newsmart.operators.chains import resolve
-from newsmart.operators.dedup import first_per_key
+from newsmart.operators.dedup import by_membership, first_per_key
 from newsmart.session import stored
 
 
@@ -100,11 +100,23 @@ def _settle(left: DataFrame) -> DataFrame:
     return settled.unionByName(first_per_key(left, ["content_hash"], _ORDER))
 
 
-def _pick(batch: DataFrame, identities: DataFrame) -> DataFrame:
-    """The batch's rows with the given identities, one row each.
+#: Where fewer than one in so many of a batch's records are picked, the others are dropped unshuffled.
+_FEW = 2
 
-    Repeats of a record go before the shuffle that the join shares.
+
+def _pick(batch: DataFrame, keys: DataFrame, winners: DataFrame) -> DataFrame:
+    """The batch's rows with the winners' identities, one row each.
+
+    Repeats of a record go before the shuffle that the join shares.  In a batch that brings
+    little new, so do the records that are not picked.
     """
+    marks = keys.select(F.lit(0).alias("_won")).union(winners.select(F.lit(1)))
+    picked, both = marks.agg(F.coalesce(F.sum("_won"), F.lit(0)), F.count("_won")).first()
+    if not picked:
+        return batch.limit(0)
+    if picked * _FEW < both - picked:
+        _, batch = by_membership(batch, F.col("content_hash"), winners.select(F.col("content_hash").alias("_key")))
+    identities = winners.select(*_IDENTITY)
     return first_per_key(batch, _IDENTITY, ["timestamp"]).join(identities, _IDENTITY, "left_semi")
 
 
@@ -119,7 +131,8 @@ def insert_ignore(batch: DataFrame, table: DataFrame | Lookup) -> tuple[DataFram
 
     The decision is made on (event_id, content_hash, timestamp) alone; then the
     wide rows to insert are shuffled once, after repeats of the same record have
-    been dropped in the map tasks, and of the others the clashes alone.
+    been dropped in the map tasks, and of the others the clashes alone.  Of a batch that
+    is known for the most part, only a little more than what is new is shuffled.
     """
     keys = stored(batch.groupBy(*_IDENTITY).agg(F.min("timestamp").alias("timestamp")), "keys")
     look_up = table if callable(table) else partial(present, table)
@@ -139,7 +152,7 @@ def insert_ignore(batch: DataFrame, table: DataFrame | Lookup) -> tuple[DataFram
     clashing = others.join(brought, "content_hash", "left").where(
         F.col("_by").isNull() | (F.struct("timestamp", "event_id") < F.col("_by"))
     )
-    inserts = _pick(batch, winners.select(*_IDENTITY))
+    inserts = _pick(batch, keys, winners)
     # Clashes are few as a rule: their rows are picked out before anything wide is shuffled.
     clashing = stored(clashing.select(*_IDENTITY), "clashing")
     clashes = first_per_key(batch.join(clashing, _IDENTITY, "left_semi"), _IDENTITY, ["timestamp"])

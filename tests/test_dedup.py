@@ -202,3 +202,32 @@ def test_only_clashes_are_shuffled_to_find_them(spark):
     assert [(r.event_id, r.content_hash) for r in clashes.collect()] == [("e7", "new")]
     plan = plan_of(clashes)
     assert plan.index("Window") < plan.index("LeftSemi")
+
+
+def rows_shuffled(frame, column):
+    """Most rows that an exchange with the column has moved, in a frame that has been run."""
+    found = [0]
+
+    def walk(plan) -> None:
+        if plan.nodeName() == "Exchange" and column in plan.schema().fieldNames():
+            found.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            walk(plan.executedPlan())
+        elif "QueryStage" in plan.nodeName():
+            walk(plan.plan())
+        children = plan.children().iterator()
+        while children.hasNext():
+            walk(children.next())
+
+    walk(frame._jdf.queryExecution().executedPlan())
+    return max(found)
+
+
+@pytest.mark.parametrize(("known", "most"), [(3000, 0), (2990, 100), (1000, 3000), (0, 3000)])
+def test_what_is_known_is_not_shuffled(spark, known, most):
+    batch = [(f"e{i}", i, f"h{i}") for i in range(3000)]
+    news = spark.createDataFrame(rows(*batch), NEWS)
+    table = spark.createDataFrame([(f"e{i}", f"h{i}") for i in range(known)], "event_id string, content_hash string")
+    inserts, _ = insert_ignore(news, table)
+    assert sorted(r.event_id for r in inserts.collect()) == sorted(f"e{i}" for i in range(known, 3000))
+    assert 3000 - known <= rows_shuffled(inserts, "title") <= most
